@@ -18,9 +18,13 @@ def value_counts(df: DataFrame, columns: list[str], by: list[str] | None = None)
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], by: list[str] | None = None
+    df: DataFrame, columns: list[str], probabilities: list[float],
+    by: list[str] | None = None, interpolate: bool = False,
 ) -> DataFrame:
-    """(by..., measure, probability, quantile): the smallest value whose rank reaches p.
+    """(by..., measure, probability, quantile) of several numeric columns.
+
+    By default the smallest value whose rank reaches p; with ``interpolate`` the
+    point at p on the line between the two neighbouring values.
 
     Equal values collapse before the shuffle. The distinct ones are range
     partitioned into ordered slices, a running total over the slice sizes tells
@@ -36,31 +40,41 @@ def exact_quantiles(
     sizes = ranged.groupBy(*group, "slice").agg(F.sum("n").alias("slice_n"))
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *group,
-        "slice",
-        F.coalesce(F.sum("slice_n").over(earlier), F.lit(0)).alias("before"),
-        "slice_n",
-        F.sum("slice_n").over(whole).alias("total"),
-        F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"),
-    ).withColumn("rank", _rank(F.col("probability"), F.col("total")))
-    wanted = offsets.filter("before < rank AND rank <= before + slice_n")
-
-    slices = attach(ranged, wanted.drop("slice_n", "total"), [*group, "slice"], how="inner")
-    running = (
-        Window.partitionBy(*group, "probability").orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("slice_n").over(whole)
+    offsets = sizes.withColumns(
+        {"before": F.coalesce(F.sum("slice_n").over(earlier), F.lit(0)), "total": total}
+    )
+    points = F.flatten(F.array(*[_points(float(p), F.col("total"), interpolate) for p in probabilities]))
+    wanted = (
+        offsets.select(*group, "slice", "before", "slice_n", F.inline(points))
+        .filter("before < rank AND rank <= before + slice_n")
+        .drop("slice_n")
     )
+
+    slices = attach(ranged, wanted, [*group, "slice"], how="inner")
+    point = [*group, "probability", "rank", "weight"]
+    running = Window.partitionBy(*point).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     reached = slices.withColumn("upto", F.col("before") + F.sum("n").over(running))
-    return (
-        reached.filter("upto >= rank")
-        .groupBy(*group, "probability")
-        .agg(F.min("value").alias("quantile"))
+    at_rank = reached.filter("upto >= rank").groupBy(*point).agg(F.min("value").alias("value"))
+    return at_rank.groupBy(*group, "probability").agg(
+        F.sum(F.col("value") * F.col("weight")).alias("quantile")
     )
 
 
-def _rank(p: Column, total: Column) -> Column:
-    return F.greatest(F.ceil(p * total), F.lit(1)).cast("bigint")
+def _points(p: float, total: Column, interpolate: bool) -> Column:
+    """(probability, rank, weight) of the values that make up one quantile."""
+    def point(rank: Column, weight: Column) -> Column:
+        return F.struct(
+            F.lit(p).alias("probability"), rank.cast("bigint").alias("rank"),
+            weight.cast("double").alias("weight"),
+        )
+
+    if not interpolate:
+        return F.array(point(F.greatest(F.ceil(F.lit(p) * total), F.lit(1)), F.lit(1.0)))
+    place = F.lit(p) * (total - 1)
+    part = place - F.floor(place)
+    both = F.array(point(F.floor(place) + 1, 1 - part), point(F.floor(place) + 2, part))
+    return F.filter(both, lambda x: x["weight"] > 0)
 
 
 def approximate_medians(df: DataFrame, columns: list[str], error: float = 0.01) -> dict[str, float]:
