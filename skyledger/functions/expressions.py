@@ -36,21 +36,28 @@ def blank_to_null(value: Column) -> Column:
     return F.nullif(F.trim(value), F.lit(""))
 
 
-def plain_value(text: Column) -> Column:
-    """Tidy one delimited-file value: blank is null, an integral number loses its fraction.
+def bare_text(text: Column) -> Column:
+    """Text without surrounding white space, or null where nothing is left."""
+    return F.nullif(F.trim(text, F.lit(WHITESPACE)), F.lit(""))
 
-    The number pattern is tested first because the JVM also reads a trailing
-    ``d`` or ``f`` as part of a number, which would turn code ``5D`` into 5.
+
+def written_number(bare: Column) -> Column:
+    """The number a text spells out, or null.
+
+    The pattern is tested first because the JVM also reads a trailing ``d`` or
+    ``f`` as part of a number, which would turn code ``5D`` into 5.
+    """
+    return F.when(bare.rlike(DECIMAL_NUMBER), bare.try_cast("double"))
+
+
+def plain_value(bare: Column, number: Column, kind: str = "string") -> Column:
+    """One delimited-file value: an integral number loses its fraction, other text stays.
+
+    ``kind`` is ``string``, or ``variant`` to keep numbers apart from text.
     """
-    bare = F.trim(text, F.lit(WHITESPACE))
-    number = F.when(bare.rlike(DECIMAL_NUMBER), bare.try_cast("double"))
-    whole = number.try_cast("bigint")
-    return F.when(bare == "", F.lit(None)).otherwise(
-        F.coalesce(
-            F.when(number == whole, whole.cast("string")),
-            number.cast("string"),
-            bare,
-        )
+    whole = F.floor(number).try_cast("bigint")
+    return F.coalesce(
+        F.when(number == whole, whole.cast(kind)), number.cast(kind), bare.cast(kind)
     )
 
 

@@ -62,7 +62,8 @@ def _parts() -> dict[str, Column]:
     }
 
 
-PARTS = list(_parts())
+PARTS = ["flights", "arr_min", "arr_min_n", "arr_late", "cancelled", "cancelled_n",
+         "weather_hit", "nas_hit", "aircraft_hit"]
 
 
 def cells(flights: DataFrame, extra: list[str]) -> DataFrame:

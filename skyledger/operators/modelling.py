@@ -173,7 +173,7 @@ def fit_matrix(sets: dict[str, DataFrame], estimators: dict) -> tuple[dict, dict
 
 def ranking_quality(predictions: DataFrame, label: str = LABEL, raw: str = "rawPrediction") -> dict[str, float]:
     """Area under the ROC and the precision-recall curve."""
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, numBins=0)
+    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw)
     areas = {"roc_auc": "areaUnderROC", "pr_auc": "areaUnderPR"}
     return {k: evaluator.evaluate(predictions, {evaluator.metricName: m}) for k, m in areas.items()}
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
-from skyledger.operators import cleaning, exploration, features, history, rollups
+from skyledger.operators import cleaning, features, history, rollups
 from skyledger.operators.quantiles import exact_quantiles
 from skyledger.plans.fixture import FIXTURE_YEARS, flights_raw
 from skyledger.sources.staging import stage
+from skyledger.streaming.messages import to_messages
 
 RUN_ID = "run-1"
 
@@ -46,6 +47,11 @@ class Lake:
     def raw(self) -> DataFrame:
         return flights_raw(self.spark, self.sf_dir)
 
+    @cached_property
+    def messages(self) -> DataFrame:
+        """The records as JSON texts."""
+        return stage(to_messages(self.raw), "messages")
+
     @property
     def typed(self) -> DataFrame:
         return cleaning.conform_types(self.raw)

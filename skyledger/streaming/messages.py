@@ -1,31 +1,28 @@
 """Flight rows as JSON messages, and messages as flight rows."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger import schemas as S
 from skyledger.functions import expressions as X
+from skyledger.operators.cleaning import tidy_values
 
 BROKEN = "_broken"
 
 
-def _json_value(text: Column) -> Column:
-    """A number where the text reads as one, else a string; blank is left out."""
-    plain = X.plain_value(text)
-    number = F.when(F.trim(text, F.lit(X.WHITESPACE)).rlike(X.DECIMAL_NUMBER), F.try_parse_json(plain))
-    return F.coalesce(number, plain.cast("variant"))
-
-
 def to_messages(df: DataFrame, columns: list[str] = S.INGEST_COLUMNS) -> DataFrame:
-    """One JSON text ``value`` per row: tidy values, arrival time and where the row came from."""
-    body = [_json_value(F.col(c)).alias(c) for c in columns if c in df.columns]
+    """One JSON text ``value`` per row: tidy values, arrival time and where the row came from.
+
+    A value that reads as a number is sent as one, anything else as text; blanks
+    are left out.
+    """
+    body = [c for c in columns if c in df.columns]
     ingest = F.col("ingest_ts") if "ingest_ts" in df.columns else F.current_timestamp()
-    origin = [
-        ingest.cast("string").alias("ingest_ts"),
-        *[F.col(c) for c in ("source_file", "source_year", "source_month") if c in df.columns],
-    ]
-    return df.select(F.to_json(F.struct(*body, *origin)).alias("value"))
+    origin = [c for c in ("source_file", "source_year", "source_month") if c in df.columns]
+    timed = df.withColumn("ingest_ts", ingest.cast("string"))
+    tidy = tidy_values(timed, body, "variant")
+    return tidy.select(F.to_json(F.struct(*body, "ingest_ts", *origin)).alias("value"))
 
 
 def message_schema() -> T.StructType:
@@ -41,7 +38,7 @@ def parse_messages(lines: DataFrame, schema: T.StructType) -> DataFrame:
     with_mark = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
     parsed = F.from_json("value", with_mark, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
     rows = lines.filter(F.trim("value") != "").select("value", parsed.alias("m"))
-    broken = F.col("m").isNull() | F.col(f"m.{BROKEN}").isNotNull()
+    broken = ~F.ltrim("value").startswith("{") | F.col(f"m.{BROKEN}").isNotNull()
     return rows.select(
         *[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields],
         F.when(broken, F.col("value")).alias("message"),
