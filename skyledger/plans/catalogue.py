@@ -1,6 +1,8 @@
 """All registered queries; importing the modules fills the registry."""
 
-from skyledger.plans import queries_cleaning, queries_rollups  # noqa: F401
+from skyledger.plans import (  # noqa: F401
+    queries_cleaning, queries_quality, queries_rollups,
+)
 from skyledger.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
