@@ -39,11 +39,14 @@ def add_plain_weight(df: DataFrame, label: str, weight: float = PLAIN_WEIGHT) ->
     return df.withColumn("sample_weight", F.when(F.col(label) == 1, weight).otherwise(1.0))
 
 
-def keep_fraction(negatives: int, positives: int, on_time_share: float = ON_TIME_SHARE) -> float:
+def keep_fraction(
+    negatives: int, positives: int,
+    on_time_share: float = ON_TIME_SHARE, delayed_share: float = DELAYED_SHARE,
+) -> float:
     """Share of negatives to keep for the wanted mix, at most all of them."""
     if not negatives:
         return 1.0
-    wanted = int(positives * (on_time_share / (1 - on_time_share)))
+    wanted = int(positives * (on_time_share / delayed_share))
     return min(wanted, negatives) / negatives
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
-from skyledger.operators import cleaning, features, history, rollups
+from skyledger.operators import cleaning, features, history, modelling, rollups
 from skyledger.operators.quantiles import exact_quantiles
-from skyledger.plans.fixture import FIXTURE_YEARS, flights_raw
+from skyledger.plans.fixture import FIXTURE_OLD_DATA, FIXTURE_TRAIN_END, FIXTURE_YEARS, flights_raw
 from skyledger.sources.staging import stage
 from skyledger.streaming.messages import to_messages
 
@@ -115,6 +115,24 @@ class Lake:
         joined = history.attach(self.scheduled, self.prior, [*history.CELL, history.DAY])
         return stage(features.feature_table(joined), "features")
 
+    @cached_property
+    def sets(self) -> modelling.TrainingSets:
+        return modelling.training_sets(self.features, FIXTURE_TRAIN_END, FIXTURE_OLD_DATA)
+
+    @cached_property
+    def preparation(self) -> modelling.InputPreparation:
+        return modelling.InputPreparation.fit(self.sets.weighted)
+
+    @cached_property
+    def vectors(self) -> dict[str, DataFrame]:
+        """Written feature vectors of both weightings and of the test rows."""
+        keep = {"weighted": [modelling.LABEL, modelling.WEIGHT], "hybrid": [modelling.LABEL, modelling.WEIGHT],
+                "test": [modelling.LABEL]}
+        return {
+            n: stage(self.preparation.vectors(getattr(self.sets, n), cols), f"vectors-{n}")
+            for n, cols in keep.items()
+        }
+
     @property
     def monthly(self) -> DataFrame:
         return rollups.monthly_delay(self.cells)

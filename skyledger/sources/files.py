@@ -1,13 +1,16 @@
 """Delimited, JSON and Parquet files, and what a landing folder holds.
 
-Landing folders are laid out as ``year=YYYY/month=MM``; Spark turns the two
-folder names into columns and skips folders that a filter rules out.
+Landing folders are laid out as ``year=YYYY/month=MM``.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
+from skyledger.sources.staging import stage
+
+
+KEYS = ("year", "month")
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -20,67 +23,84 @@ def read_year(df: DataFrame, year: int, months: tuple[int, int] = (1, 12)) -> Da
     return df.filter((F.col("source_year") == year) & F.col("source_month").between(*months))
 
 
+def landing_path(folder: str, year: int | None, month: int | None, keys: tuple[str, str] = KEYS) -> str:
+    """Path pattern of the files of a year, a month, or everything."""
+    if year is None and month is None:
+        return folder
+    y = "*" if year is None else str(year)
+    m = "*" if month is None else f"{{{month},{month:02d}}}"
+    return f"{folder}/{keys[0]}={y}/{keys[1]}={m}"
+
+
+def path_number(key: str, path: str = "_metadata.file_path") -> Column:
+    """The number after ``key=`` in a file's path."""
+    return F.regexp_extract(F.col(path), rf"/{key}=0*([0-9]+)/", 1).try_cast("int")
+
+
 def read_landing_csv(
     spark: SparkSession, folder: str, year: int | None = None, month: int | None = None,
-    columns: list[str] = S.INGEST_COLUMNS,
+    columns: list[str] = S.INGEST_COLUMNS, keys: tuple[str, str] = KEYS,
 ) -> DataFrame:
     """Landing files as text columns picked by header name, plus file, year and month.
 
     All files must have the header of the first one; another order or set of
-    names is an error instead of values under the wrong name. Bytes that are not
-    UTF-8 come out as replacement characters.
+    names is an error instead of values under the wrong name. A blank field is
+    null. Bytes that are not UTF-8 come out as replacement characters. The folder numbers are taken from
+    the path, since the files have columns of the same names.
     """
     df = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
-        .option("basePath", folder)
-        .csv(folder)
+        .option("recursiveFileLookup", True)
+        .csv(landing_path(folder, year, month, keys))
     )
-    return pick_partitions(df, year, month).select(
+    return df.select(
         *columns,
         F.col("_metadata.file_name").alias("source_file"),
-        F.col("year").alias("source_year"),
-        F.col("month").alias("source_month"),
+        path_number(keys[0]).alias("source_year"),
+        path_number(keys[1]).alias("source_month"),
     )
 
 
-def write_landing_csv(df: DataFrame, folder: str) -> None:
-    """Write columns plus ``year`` and ``month`` as landing files, values unchanged."""
-    writer = df.write.partitionBy("year", "month").option("header", True)
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
-
+def write_landing_csv(df: DataFrame, folder: str, keys: tuple[str, str]) -> None:
+    """Write text columns as landing files in month folders, values unchanged.
 
-def pick_partitions(df: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
-    """Optional year and month, as partition filters."""
-    if year is not None:
-        df = df.filter(F.col("year") == year)
-    if month is not None:
-        df = df.filter(F.col("month") == month)
-    return df
+    The key columns only name folders. A rebalance gives each month few files
+    and splits a month that is too large for one.
+    """
+    writer = df.hint("rebalance", *keys).write.partitionBy(*keys).option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
 
 
-def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    return spark.read.option("pathGlobFilter", pattern).option("basePath", folder).text(folder)
+def pull_months(
+    df: DataFrame, years: tuple[int, int], year: str = "flight_year", month: str = "flight_month"
+) -> DataFrame:
+    """All months of a range of years as one staged table; months without rows add nothing."""
+    wanted = df.filter(F.col(year).between(*years) & F.col(month).between(1, 12))
+    return stage(wanted, "pulled-months")
 
 
-def file_lines(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def file_lines(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", keys: tuple[str, str] = KEYS
+) -> DataFrame:
     """(file_path, year, month, data_rows, header) per file, from one pass over the lines.
 
     The header is the line at the lowest position of the split at offset 0. Lines
     are counted per task first, so a file of any size is spread over its splits.
     """
-    lines = _lines(spark, folder, pattern).select(
-        F.col("_metadata.file_path").alias("file_path"), "year", "month", "value",
+    text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder)
+    lines = text.select(
+        F.col("_metadata.file_path").alias("file_path"), "value",
         (F.col("_metadata.file_block_start") == 0).alias("first_split"),
         F.monotonically_increasing_id().alias("place"),
     )
     head = F.min_by(
         F.when(F.col("first_split"), F.col("value")), F.when(F.col("first_split"), F.col("place"))
     )
-    return (
-        lines.groupBy("file_path", "year", "month")
-        .agg(F.count("*").alias("lines"), head.alias("header"))
-        .select("file_path", "year", "month", (F.col("lines") - 1).alias("data_rows"), "header")
+    counted = lines.groupBy("file_path").agg(F.count("*").alias("lines"), head.alias("header"))
+    return counted.select(
+        "file_path", path_number(keys[0], "file_path").alias("year"),
+        path_number(keys[1], "file_path").alias("month"), (F.col("lines") - 1).alias("data_rows"), "header",
     )
 
 
@@ -118,18 +138,19 @@ def file_digests(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Da
 
 
 def file_manifest(
-    spark: SparkSession, folder: str, expected: DataFrame | None = None, pattern: str = "*.csv"
+    spark: SparkSession, folder: str, expected: DataFrame | None = None, pattern: str = "*.csv",
+    keys: tuple[str, str] = KEYS,
 ) -> DataFrame:
     """One row per (year, month): size, digest, rows, and missing, invalid or extracted.
 
     ``expected`` (year, month) adds months for which there is no file. When a month
     has several files the newest one counts.
     """
-    found = check_headers(file_lines(spark, folder, pattern))
-    found = found.join(file_digests(spark, folder, pattern), "file_path", "full")
-    # a file without any line has no row among the lines; its folder names say the month
-    path_part = lambda key: F.regexp_extract("file_path", rf"/{key}=([0-9]+)/", 1).try_cast("int")
-    found = found.withColumns({k: F.coalesce(F.col(k), path_part(k)) for k in ("year", "month")})
+    lines = check_headers(file_lines(spark, folder, pattern, keys)).drop("year", "month")
+    # a file without any line is among the digests only
+    found = file_digests(spark, folder, pattern).join(lines, "file_path", "left")
+    numbers = {n: path_number(k, "file_path") for n, k in zip(("year", "month"), keys)}
+    found = found.withColumns(numbers)
     newest = F.struct("download_timestamp", "file_path")
     body = F.struct(
         "file_path", "file_size_bytes", "checksum_sha256", "download_timestamp",
@@ -142,7 +163,7 @@ def file_manifest(
     problem = (
         F.when(f.isNull(), "no file")
         .when(f["file_size_bytes"] == 0, "empty file")
-        .when(~f["header_ok"], F.concat(F.lit("missing columns: "), F.concat_ws(",", f["missing"])))
+        .when(~F.coalesce(f["header_ok"], F.lit(False)), F.concat(F.lit("missing columns: "), F.concat_ws(",", f["missing"])))
         .when(f["row_count_estimate"] == 0, "no data rows")
     )
     status = F.when(f.isNull(), "missing").when(problem.isNotNull(), "invalid").otherwise("extracted")
