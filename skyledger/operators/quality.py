@@ -12,25 +12,26 @@ RUN_METRICS = [
 ]
 
 
-def run_metrics(tagged: DataFrame, keys: list[str] = S.FLIGHT_KEY) -> DataFrame:
+def run_metrics(tagged: DataFrame, latest: DataFrame) -> DataFrame:
     """Per source year: raw, valid and rejected rows, valid share, duplicates among the valid.
 
-    One grouping by key and validity feeds all of them; it collapses copies
-    before the shuffle.
+    ``tagged`` are the rows with their reject reason and ``latest`` what is left
+    after de-duplication; both are only counted per year.
     """
     valid = F.col("reject_reason").isNull()
-    per_key = tagged.select("source_year", *keys, valid.alias("valid")).groupBy(
-        "source_year", "valid", *[F.when(F.col("valid"), F.col(c)).alias(c) for c in keys]
-    ).agg(F.count("*").alias("n"))
-    good, n = F.col("valid"), F.col("n")
-    wide = per_key.groupBy(F.col("source_year").alias("year")).agg(
-        F.sum("n").alias("raw_total_rows"),
-        F.sum(F.when(good, n).otherwise(0)).alias("valid_row_count"),
-        F.sum(F.when(~good, n).otherwise(0)).alias("rejected_row_count"),
-        F.sum(F.when(good, n - 1).otherwise(0)).alias("duplicate_count"),
+    counted = tagged.groupBy(F.col("source_year").alias("year")).agg(
+        F.count("*").alias("raw_total_rows"),
+        F.count_if(valid).alias("valid_row_count"),
+        F.count_if(~valid).alias("rejected_row_count"),
+    )
+    kept = latest.groupBy(F.col("source_year").alias("year")).agg(F.count("*").alias("kept"))
+    extra = F.col("valid_row_count") - F.coalesce("kept", F.lit(0))
+    wide = counted.join(kept, "year", "left").withColumns(
+        {
+            "duplicate_count": extra,
+            "valid_row_ratio": X.ratio_or_zero(F.col("valid_row_count"), F.col("raw_total_rows")),
+        }
     )
-    ratio = X.ratio_or_zero(F.col("valid_row_count"), F.col("raw_total_rows"))
-    wide = wide.withColumn("valid_row_ratio", ratio)
     doubles = [F.col(m).cast("double").alias(m) for m in RUN_METRICS]
     return wide.select("year", *doubles).unpivot(["year"], RUN_METRICS, "metric_name", "metric_value")
 

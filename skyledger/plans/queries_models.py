@@ -200,15 +200,12 @@ def _(lk):
     loaded = type(model).load(f"{folder}/random_forest")
     again = modelling.InputPreparation.load(folder, lk.spark)
     keep = [*S.FLIGHT_KEY, LABEL]
-    both = modelling.score(lk.sets.test, lk.preparation, model, keep).select(
-        *keep, F.col("probability").alias("before")
-    ).join(modelling.score(lk.sets.test, again, loaded, keep), keep_nulls_equal(keep), "inner")
-    return both.agg(F.count("*").alias("n"), F.count_if(F.col("before") != F.col("probability")).alias("changed"))
-
-
-def keep_nulls_equal(keys: list[str]) -> list[str]:
-    """Join keys; the flight key has no nulls but for the departure time."""
-    return [k for k in keys if k != "CRSDepTime"]
+    before = modelling.score(lk.sets.test, lk.preparation, model, keep).withColumn("side", F.lit(1))
+    after = modelling.score(lk.sets.test, again, loaded, keep).withColumn("side", F.lit(-1))
+    per_row = before.unionByName(after).groupBy(*keep, "probability", "prediction").agg(
+        F.count_if(F.col("side") == 1).alias("n"), F.sum("side").alias("balance")
+    )
+    return per_row.agg(F.sum("n").alias("n"), F.count_if(F.col("balance") != 0).alias("changed"))
 
 
 # --- measures on a score that both engines can compute

@@ -279,7 +279,7 @@ UNION ALL SELECT year, 'duplicate_count', extra FROM m)
 
 @query("q10_run_metrics", _METRICS_SQL + "SELECT * FROM metrics")
 def _(lk):
-    return rounded(quality.run_metrics(lk.tagged))
+    return rounded(quality.run_metrics(lk.tagged, lk.clean))
 
 
 @query("q10_yearly_cap_metrics", """
@@ -299,7 +299,7 @@ def _(lk):
 @query("s14_metric_log", _METRICS_SQL + """
 SELECT 'run-1' AS run_id, metric_name, metric_value, year, CAST(NULL AS INTEGER) AS month FROM metrics""")
 def _(lk):
-    return rounded(sinks.metric_rows(quality.run_metrics(lk.tagged), RUN_ID).drop("created_at"))
+    return rounded(sinks.metric_rows(quality.run_metrics(lk.tagged, lk.clean), RUN_ID).drop("created_at"))
 
 
 _METRIC_GATES_SQL = """
@@ -316,7 +316,7 @@ UNION ALL SELECT 'duplicate_rate', CASE WHEN extra / raw < 0.01 THEN 1 ELSE 0 EN
 
 @query("q1_q4_metric_gates", _METRICS_SQL.rstrip() + "," + _METRIC_GATES_SQL + "SELECT * FROM metric_gates")
 def _(lk):
-    return rounded(quality.metric_gates(quality.run_metrics(lk.tagged)))
+    return rounded(quality.metric_gates(quality.run_metrics(lk.tagged, lk.clean)))
 
 
 def _table_gates_sql() -> str:
@@ -343,7 +343,7 @@ UNION ALL SELECT 'leakage_free', 1, 0.0, 'none')
 
 
 def _report(lk):
-    return quality.gate_report(quality.run_metrics(lk.tagged), lk.clean, lk.features, FIXTURE_YEARS)
+    return quality.gate_report(quality.run_metrics(lk.tagged, lk.clean), lk.clean, lk.features, FIXTURE_YEARS)
 
 
 @query("q7_gate_report", _REPORT_SQL + "SELECT * FROM report")
