@@ -14,6 +14,7 @@ DAY_PARTS = [(6, "Early Morning"), (12, "Morning"), (17, "Afternoon"), (21, "Eve
 DAY_PART_ELSE = "Night"
 SHORT_PI = 3.14159
 WHITESPACE = " \t\n\r\x0b\x0c"
+ISO_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 DECIMAL_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -28,8 +29,13 @@ def to_int(value: Column) -> Column:
 
 
 def to_day(value: Column) -> Column:
-    """Date from ``yyyy-MM-dd`` text, or null."""
-    return F.try_to_date(value.cast("string"), "yyyy-MM-dd")
+    """Date from ``yyyy-MM-dd`` text, or null.
+
+    A pattern and a cast, which is several times faster than a date formatter;
+    the pattern keeps out the shorter forms that a cast would also take.
+    """
+    text = value.cast("string")
+    return F.when(text.rlike(ISO_DAY), text.try_cast("date"))
 
 
 def blank_to_null(value: Column) -> Column:

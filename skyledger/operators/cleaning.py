@@ -8,19 +8,21 @@ from skyledger.functions import expressions as X
 
 
 def conform_types(df: DataFrame) -> DataFrame:
-    """Give every column its type in one projection; a value that does not parse is null."""
+    """Give every column its type; a value that does not parse is null.
+
+    The source period falls back to the flight date, in a second projection so
+    that the date is parsed once.
+    """
     typed: dict[str, Column] = {"FlightDate": X.to_day(F.col("FlightDate"))}
     typed |= {c: X.to_int(F.col(c)) for c in S.INTEGER_COLUMNS}
     typed |= {c: X.to_double(F.col(c)) for c in S.DOUBLE_COLUMNS}
     typed |= {c: X.blank_to_null(F.col(c)) for c in S.TEXT_COLUMNS}
-    for name, part in (("source_year", F.year), ("source_month", F.month)):
-        from_date = part(X.to_day(F.col("FlightDate")))
-        given = X.to_int(F.col(name)) if name in df.columns else F.lit(None).cast("int")
-        typed[name] = F.coalesce(given, from_date)
-    for name in ("OriginAirportID", "DestAirportID"):
-        if name in df.columns:
-            typed[name] = X.to_int(F.col(name))
-    return df.withColumns(typed)
+    optional = ("OriginAirportID", "DestAirportID", "source_year", "source_month")
+    typed |= {c: X.to_int(F.col(c)) for c in optional if c in df.columns}
+    period = {}
+    for name, part in (("source_year", F.year("FlightDate")), ("source_month", F.month("FlightDate"))):
+        period[name] = F.coalesce(F.col(name), part) if name in df.columns else part
+    return df.withColumns(typed).withColumns(period)
 
 
 def reject_rules(years: tuple[int, int], require_schedule: bool = False) -> dict[str, Column]:

@@ -91,26 +91,43 @@ def prior_statistics(cell_days: DataFrame, keys: list[str]) -> DataFrame:
     return running.select(*keys, DAY, *_quotients(STATISTICS[tuple(keys)]))
 
 
-def _assemble(cell_table: DataFrame, join_extra: list[str], statistics_of) -> DataFrame:
-    grain = [*CELL, *join_extra]
-    out = cell_table.select(*grain)
-    for keys in STATISTICS:
-        out = attach(out, statistics_of(list(keys)), [*keys, *join_extra])
+def _attach_all(out: DataFrame, kinds: list[tuple[str, ...]], extra: list[str], statistics_of) -> DataFrame:
+    for keys in kinds:
+        out = attach(out, statistics_of(list(keys)), [*keys, *extra])
     return out
 
 
+ROUTE, ROUTE_CARRIER = ("Origin", "Dest"), ("Origin", "Dest", S.CARRIER)
+SINGLE = [keys for keys in STATISTICS if len(keys) == 1]
+
+
 def period_lookup(flights: DataFrame, by: list[str] | None = None) -> DataFrame:
     """All statistics per (origin, dest, carrier) and period; the period is everything by default."""
     by = by or []
     table = stage(cells(flights, by), "history-cells")
-    lookup = _assemble(table, by, lambda keys: period_statistics(table, keys, by))
+    own = table.select(*CELL, *by, *_quotients(STATISTICS[ROUTE_CARRIER]))
+    lookup = _attach_all(own, [ROUTE, *SINGLE], by, lambda keys: period_statistics(table, keys, by))
     return stage(lookup, "history-period")
 
 
 def prior_lookup(flights: DataFrame) -> DataFrame:
-    """All statistics per (origin, dest, carrier, day), from earlier days only."""
+    """All statistics per (origin, dest, carrier, day), from earlier days only.
+
+    Route statistics are running sums over the cells themselves, ordered by day and
+    ending the day before; one exchange by route serves both windows, whose groups
+    are bounded by the calendar times the carriers. The small tables per carrier,
+    origin and destination are joined.
+    """
     table = stage(cells(flights, [DAY]), "history-cell-days")
-    lookup = _assemble(table, [DAY], lambda keys: prior_statistics(table, keys))
+    day = F.unix_date(DAY)
+    own = table
+    for keys in (ROUTE, ROUTE_CARRIER):
+        before = Window.partitionBy(*keys).orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
+        own = own.withColumns({
+            out: X.ratio(F.sum(a).over(before), F.sum(b).over(before))
+            for out, (a, b) in STATISTICS[keys].items()
+        })
+    lookup = _attach_all(own.drop(*PARTS), SINGLE, [DAY], lambda keys: prior_statistics(table, keys))
     return stage(lookup, "history-prior")
 
 

@@ -95,23 +95,29 @@ def duplicate_estimate(df: DataFrame, keys: list[str] = S.FLIGHT_KEY) -> DataFra
 DELAY_QUANTILES = {0.5: "p50", 0.95: "p95", 0.99: "p99", 0.995: "p995"}
 
 
-def delay_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(metric_name, metric_value) of mean, deviation, quantiles and maximum; 0 when unknown."""
-    moments = {}
-    for c in columns:
-        moments |= {f"{c}_mean": F.mean(c), f"{c}_std": F.stddev(c), f"{c}_max_val": F.max(c)}
-    row = df.agg(*[v.alias(k) for k, v in moments.items()])
-    plain = to_long(row, list(moments), "metric_name", "metric_value")
+def _moments(c: str) -> dict[str, Column]:
+    return {f"{c}_mean": F.mean(c), f"{c}_std": F.stddev(c), f"{c}_max_val": F.max(c)}
+
+
+def _delay_quantiles(df: DataFrame, columns: list[str]) -> DataFrame:
     label = F.coalesce(*[F.when(F.col("probability") == p, F.lit(n)) for p, n in DELAY_QUANTILES.items()])
-    found = exact_quantiles(df, columns, list(DELAY_QUANTILES))
-    named = found.select(
+    named = exact_quantiles(df, columns, list(DELAY_QUANTILES)).select(
         F.concat_ws("_", "measure", label).alias("metric_name"), F.col("quantile").alias("metric_value")
     )
     expected = df.sparkSession.createDataFrame(
         [(f"{c}_{n}",) for c in columns for n in DELAY_QUANTILES.values()], "metric_name string"
     )
-    every = plain.unionByName(expected.join(named, "metric_name", "left"))
-    return every.withColumn("metric_value", F.coalesce("metric_value", F.lit(0.0)))
+    found = expected.join(named, "metric_name", "left")
+    return found.withColumn("metric_value", F.coalesce("metric_value", F.lit(0.0)))
+
+
+def delay_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(metric_name, metric_value) of mean, deviation, quantiles and maximum; 0 when unknown."""
+    moments = {n: F.coalesce(m, F.lit(0.0)) for c in columns for n, m in _moments(c).items()}
+    row = df.agg(*[v.alias(k) for k, v in moments.items()])
+    return to_long(row, list(moments), "metric_name", "metric_value").unionByName(
+        _delay_quantiles(df, columns)
+    )
 
 
 def flag_balance(df: DataFrame, flags: list[str]) -> DataFrame:
@@ -122,12 +128,16 @@ def flag_balance(df: DataFrame, flags: list[str]) -> DataFrame:
     return long.select("flag", "positive_count", rate.alias("positive_rate"))
 
 
+def ranked_carriers(counted: DataFrame, k: int) -> DataFrame:
+    """The first k of (airline_code, rows) by rows; equal counts go by name."""
+    order = [F.desc("rows"), F.asc_nulls_first("airline_code")]
+    best = counted.orderBy(*order).limit(k)
+    return best.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
 def top_carriers(df: DataFrame, k: int = 5) -> DataFrame:
-    """The k carriers with the most rows, ranked; equal counts go by name."""
-    counted = df.groupBy(F.col(S.CARRIER).alias("airline_code")).agg(F.count("*").alias("rows"))
-    best = counted.orderBy(F.desc("rows"), F.asc_nulls_first("airline_code")).limit(k)
-    place = F.row_number().over(Window.orderBy(F.desc("rows"), F.asc_nulls_first("airline_code")))
-    return best.withColumn("place", place)
+    """The k carriers with the most rows, ranked."""
+    return ranked_carriers(rows_by(df, S.CARRIER).withColumnRenamed(S.CARRIER, "airline_code"), k)
 
 
 def rows_by(df: DataFrame, column: str) -> DataFrame:
@@ -146,27 +156,35 @@ def quality_summary(df: DataFrame, years: tuple[int, int] = S.YEARS) -> DataFram
         )
 
     critical = [*S.CRITICAL_COLUMNS, "Year"]
-    scalars = {"total_rows": F.count("*")}
+    flags, delays = ["DepDel15", "ArrDel15", "Cancelled"], ["DepDelayMinutes", "ArrDelayMinutes"]
+    total = F.count("*")
+    scalars = {"total_rows": total}
     scalars |= {f"null_count_{c}": F.count_if(F.col(c).isNull()) for c in critical}
     scalars["invalid_year_count"] = F.count_if(~F.col("Year").between(*years))
+    for c in flags:
+        positive = F.count_if(F.col(c) == 1)
+        scalars[f"{c}_positive_count"] = positive
+        scalars[f"{c}_positive_rate"] = F.round(X.ratio_or_zero(positive, total), 6)
+    for c in delays:
+        scalars |= {n: F.coalesce(m, F.lit(0.0)) for n, m in _moments(c).items()}
     row = df.agg(*[v.alias(k) for k, v in scalars.items()])
     name, value = F.col("metric_name"), F.col("metric_value")
 
     def part_name(prefix: str, c: str) -> Column:
         return F.concat(F.lit(prefix), F.coalesce(F.col(c).cast("string"), F.lit("None")))
 
-    balance = flag_balance(df, ["DepDel15", "ArrDel15", "Cancelled"])
+    # years, months and carriers are counted on one small table, whose exchange Spark reuses
+    combos = df.groupBy("Year", "Month", S.CARRIER).agg(F.count("*").alias("n"))
+    per_year, per_month = (combos.groupBy(c).agg(F.sum("n").alias("rows")) for c in ("Year", "Month"))
+    carriers = combos.groupBy(F.col(S.CARRIER).alias("airline_code")).agg(F.sum("n").alias("rows"))
     duplicates = duplicate_estimate(df)
     pieces = [
         metric(to_long(row, list(scalars), "metric_name", "metric_value"), name, value),
-        metric(rows_by(df, "Year"), part_name("total_rows_year_", "Year"), F.col("rows"), year=F.col("Year")),
-        metric(rows_by(df, "Month"), part_name("total_rows_month_", "Month"), F.col("rows"),
-               month=F.col("Month")),
+        metric(per_year, part_name("total_rows_year_", "Year"), F.col("rows"), year=F.col("Year")),
+        metric(per_month, part_name("total_rows_month_", "Month"), F.col("rows"), month=F.col("Month")),
         metric(to_long(duplicates, duplicates.columns, "metric_name", "metric_value"), name, value),
-        metric(delay_statistics(df, ["DepDelayMinutes", "ArrDelayMinutes"]), name, value),
-        metric(balance, F.concat("flag", F.lit("_positive_count")), F.col("positive_count")),
-        metric(balance, F.concat("flag", F.lit("_positive_rate")), F.col("positive_rate")),
-        metric(top_carriers(df), F.concat(F.lit("top_carrier_rank_"), F.col("place").cast("string")),
+        metric(_delay_quantiles(df, delays), name, value),
+        metric(ranked_carriers(carriers, 5), F.concat(F.lit("top_carrier_rank_"), F.col("place").cast("string")),
                F.col("rows")),
     ]
     out = pieces[0]

@@ -6,6 +6,8 @@ also arrives a second time a day later, so de-duplication has work to do.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.sources.staging import spread
+
 FIXTURE_YEARS = (1996, 2000)
 FIXTURE_TRAIN_END = "2000-01-01"
 FIXTURE_OLD_DATA = "1998-01-01"
@@ -89,4 +91,5 @@ FROM copies
 def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived records of one data folder; no side is broadcast by hand."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    tables["lineitem"] = spread(tables["lineitem"])
     return spark.sql(_FLIGHTS, **tables)

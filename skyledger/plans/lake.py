@@ -9,10 +9,13 @@ from skyledger import schemas as S
 from skyledger.operators import cleaning, features, history, modelling, rollups
 from skyledger.operators.quantiles import exact_quantiles
 from skyledger.plans.fixture import FIXTURE_OLD_DATA, FIXTURE_TRAIN_END, FIXTURE_YEARS, flights_raw
-from skyledger.sources.staging import stage
+from skyledger.sources import files, sinks
+from skyledger.sources.staging import new_path, stage
 from skyledger.streaming.messages import to_messages
 
 RUN_ID = "run-1"
+LANDED_COLUMNS = [c for c in S.INGEST_COLUMNS if c != "DOT_ID_Reporting_Airline"]
+LANDED_FOLDERS = ("source_year", "source_month")
 
 
 def caps_of(flights: DataFrame, p: float = S.CAP_PERCENTILE) -> tuple[float, float]:
@@ -52,6 +55,21 @@ class Lake:
         """The records as JSON texts."""
         return stage(to_messages(self.raw), "messages")
 
+    @cached_property
+    def landing_folder(self) -> str:
+        """The records as delimited files in month folders."""
+        folder = new_path(self.spark, "landing")
+        numbers = [F.col(c).cast("int").alias(k) for c, k in zip(("Year", "Month"), LANDED_FOLDERS)]
+        files.write_landing_csv(self.raw.select(*LANDED_COLUMNS, *numbers), folder, LANDED_FOLDERS)
+        return folder
+
+    @cached_property
+    def month_table(self) -> str:
+        """The clean flights laid out by month."""
+        path = new_path(self.spark, "by-month")
+        sinks.write_by_month(self.clean, path)
+        return path
+
     @property
     def typed(self) -> DataFrame:
         return cleaning.conform_types(self.raw)

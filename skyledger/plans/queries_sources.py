@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger import schemas as S
-from skyledger.plans.lake import RUN_ID
+from skyledger.plans.lake import LANDED_COLUMNS, LANDED_FOLDERS, RUN_ID
 from skyledger.plans.registry import query, rounded
 from skyledger.sources import blocks, files, sinks
 from skyledger.sources.staging import new_path, shared_dir
@@ -42,24 +42,8 @@ def _(lk):
     return rows.groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
 
-_CSV_COLUMNS = [c for c in S.INGEST_COLUMNS if c != "DOT_ID_Reporting_Airline"]
-
-
-_FOLDERS = ("source_year", "source_month")
-
-
-def _landing(lk) -> str:
-    """The raw records as delimited landing files, written once per lake."""
-    if not hasattr(lk, "landing_folder"):
-        folder = new_path(lk.spark, "landing")
-        numbers = [F.col(c).cast("int").alias(k) for c, k in zip(("Year", "Month"), _FOLDERS)]
-        files.write_landing_csv(lk.raw.select(*_CSV_COLUMNS, *numbers), folder, _FOLDERS)
-        lk.landing_folder = folder
-    return lk.landing_folder
-
-
 def _csv(lk, year=None, month=None):
-    return files.read_landing_csv(lk.spark, _landing(lk), year, month, _CSV_COLUMNS, _FOLDERS)
+    return files.read_landing_csv(lk.spark, lk.landing_folder, year, month, LANDED_COLUMNS, LANDED_FOLDERS)
 
 
 @query("s6_csv_read", """
@@ -86,7 +70,7 @@ def _(lk):
     months = lk.spark.range(1994 * 12, 2003 * 12).select(
         F.floor(F.col("id") / 12).cast("int").alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month")
     )
-    manifest = files.file_manifest(lk.spark, _landing(lk), months, keys=_FOLDERS)
+    manifest = files.file_manifest(lk.spark, lk.landing_folder, months, keys=LANDED_FOLDERS)
     return manifest.select(
         F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"),
         "row_count_estimate", "status",
@@ -98,7 +82,7 @@ def _(lk):
 SELECT CAST(Year AS INTEGER) AS year, CAST(Month AS INTEGER) AS month, true AS header_ok,
   'Tail_Color' AS missing_extra FROM raw GROUP BY ALL""")
 def _(lk):
-    lines = files.file_lines(lk.spark, _landing(lk), keys=_FOLDERS)
+    lines = files.file_lines(lk.spark, lk.landing_folder, keys=LANDED_FOLDERS)
     good = files.check_headers(lines)
     extra = files.missing_columns(F.col("header"), [*S.REQUIRED_FILE_COLUMNS, "Tail_Color"])
     by_month = good.withColumn("extra", F.concat_ws(",", extra)).groupBy("year", "month")
@@ -108,7 +92,7 @@ def _(lk):
 @query("s20_rows_per_file", """
 SELECT CAST(Year AS INTEGER) AS year, CAST(Month AS INTEGER) AS month, COUNT(*) AS data_rows FROM raw GROUP BY ALL""")
 def _(lk):
-    lines = files.file_lines(lk.spark, _landing(lk), keys=_FOLDERS)
+    lines = files.file_lines(lk.spark, lk.landing_folder, keys=LANDED_FOLDERS)
     return lines.groupBy("year", "month").agg(F.sum("data_rows").alias("data_rows"))
 
 
@@ -124,23 +108,15 @@ def _by_month(df):
     )
 
 
-def _month_table(lk) -> str:
-    if not hasattr(lk, "month_table"):
-        path = new_path(lk.spark, "by-month")
-        sinks.write_by_month(lk.clean, path)
-        lk.month_table = path
-    return lk.month_table
-
-
 @query("s3_month_partition_read", _PART_SQL + " WHERE FlightDate BETWEEN DATE '1998-01-01' AND DATE '1998-06-30' GROUP BY ALL")
 def _(lk):
-    table = lk.spark.read.parquet(_month_table(lk))
+    table = lk.spark.read.parquet(lk.month_table)
     return _by_month(table.filter("flight_year_part = 1998 AND flight_month_part BETWEEN 1 AND 6"))
 
 
 @query("s11_month_layout", _PART_SQL + " GROUP BY ALL")
 def _(lk):
-    return _by_month(lk.spark.read.parquet(_month_table(lk)))
+    return _by_month(lk.spark.read.parquet(lk.month_table))
 
 
 @query("s10_rerun_replaces", "SELECT 'run-1' AS pipeline_run_id, COUNT(*) AS n FROM monthly UNION ALL SELECT 'run-2', COUNT(*) FROM monthly")

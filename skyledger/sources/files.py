@@ -119,18 +119,29 @@ def check_headers(files: DataFrame, required: list[str] = S.REQUIRED_FILE_COLUMN
     return files.withColumn("missing", missing).withColumn("header_ok", F.size("missing") == 0)
 
 
+def _whole_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    return reader.option("recursiveFileLookup", True).load(folder)
+
+
+def listed_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """(file_path) of all files, also empty ones, which a read leaves out.
+
+    It is the listing that planning a read needs anyway; no content is read.
+    """
+    paths = _whole_files(spark, folder, pattern).inputFiles()
+    listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    return listed.withColumn("file_path", F.regexp_replace("file_path", "^file:/+", "file:/"))
+
+
 def file_digests(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """(file_path, file_size_bytes, checksum_sha256) of whole files.
 
     A digest needs its file in one piece; Spark reads one file per row, up to the
     2 GB its binary source allows.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True).load(folder)
-    )
-    return files.select(
-        F.col("path").alias("file_path"),
+    return _whole_files(spark, folder, pattern).select(
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("length").alias("file_size_bytes"),
         F.sha2(F.col("content"), 256).alias("checksum_sha256"),
         F.col("modificationTime").alias("download_timestamp"),
@@ -147,13 +158,15 @@ def file_manifest(
     has several files the newest one counts.
     """
     lines = check_headers(file_lines(spark, folder, pattern, keys)).drop("year", "month")
-    # a file without any line is among the digests only
-    found = file_digests(spark, folder, pattern).join(lines, "file_path", "left")
+    digests = file_digests(spark, folder, pattern)
     numbers = {n: path_number(k, "file_path") for n, k in zip(("year", "month"), keys)}
-    found = found.withColumns(numbers)
+    found = (
+        listed_files(spark, folder, pattern).join(lines, "file_path", "left")
+        .join(digests, "file_path", "left").withColumns(numbers)
+    )
     newest = F.struct("download_timestamp", "file_path")
     body = F.struct(
-        "file_path", "file_size_bytes", "checksum_sha256", "download_timestamp",
+        "file_path", F.coalesce("file_size_bytes", F.lit(0)).alias("file_size_bytes"), "checksum_sha256", "download_timestamp",
         F.coalesce("data_rows", F.lit(0)).alias("row_count_estimate"), "header_ok", "missing",
     )
     latest = found.groupBy("year", "month").agg(F.max_by(body, newest).alias("f"))

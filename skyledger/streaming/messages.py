@@ -14,14 +14,16 @@ BROKEN = "_broken"
 def to_messages(df: DataFrame, columns: list[str] = S.INGEST_COLUMNS) -> DataFrame:
     """One JSON text ``value`` per row: tidy values, arrival time and where the row came from.
 
-    A value that reads as a number is sent as one, anything else as text; blanks
-    are left out.
+    In the numeric columns of the message layout a value that reads as a number
+    is sent as one and anything else as text, for the receiver to turn down.
+    Blanks are left out.
     """
     body = [c for c in columns if c in df.columns]
+    texts = {f.name for f in message_schema().fields if isinstance(f.dataType, T.StringType)}
     ingest = F.col("ingest_ts") if "ingest_ts" in df.columns else F.current_timestamp()
     origin = [c for c in ("source_file", "source_year", "source_month") if c in df.columns]
-    timed = df.withColumn("ingest_ts", ingest.cast("string"))
-    tidy = tidy_values(timed, body, "variant")
+    tidy = tidy_values(df.withColumn("ingest_ts", ingest.cast("string")), [c for c in body if c in texts])
+    tidy = tidy_values(tidy, [c for c in body if c not in texts], "variant")
     return tidy.select(F.to_json(F.struct(*body, "ingest_ts", *origin)).alias("value"))
 
 
