@@ -36,8 +36,8 @@ def enrich(flights: DataFrame, caps) -> DataFrame:
 class Lake:
     """Raw, cleaned, rolled-up and feature tables.
 
-    The clean flights and the feature table are written tables, since many
-    results start from them; everything else is a plan on top.
+    The raw records, the clean flights and the feature table are written tables,
+    as in a run of the jobs; everything else is a plan on top.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -46,9 +46,10 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
-        return flights_raw(self.spark, self.sf_dir)
+        """The raw table, as a landing job would have left it."""
+        return stage(flights_raw(self.spark, self.sf_dir), "raw")
 
     @cached_property
     def messages(self) -> DataFrame:
