@@ -37,11 +37,11 @@ def run_metrics(tagged: DataFrame, latest: DataFrame) -> DataFrame:
 
 
 def cap_metrics(quantiles: DataFrame) -> DataFrame:
-    """(year, metric_name, metric_value) rows for caps computed per source year."""
+    """(year, metric_name, metric_value) rows for caps; the year is null where one cap serves all."""
     name = F.when(F.col("measure") == "DepDelayMinutes", "dep_delay_cap_p995").otherwise("arr_delay_cap_p995")
+    year = F.col("source_year") if "source_year" in quantiles.columns else F.lit(None).cast("int")
     return quantiles.select(
-        F.col("source_year").alias("year"), name.alias("metric_name"),
-        F.col("quantile").alias("metric_value"),
+        year.alias("year"), name.alias("metric_name"), F.col("quantile").alias("metric_value")
     )
 
 

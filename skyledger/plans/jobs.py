@@ -16,14 +16,10 @@ from pyspark.sql import functions as F
 from skyledger import schemas as S
 from skyledger.operators import cleaning, features, history, modelling, profiling, quality, rollups
 from skyledger.operators.joins import attach
-from skyledger.operators.quantiles import exact_quantiles
-from skyledger.plans.lake import caps_of, enrich
+from skyledger.plans.lake import DELAYS, cap_quantiles, caps_of, enrich
 from skyledger.sources import sinks
 from skyledger.sources.staging import stage
 
-DELAYS = ["DepDelayMinutes", "ArrDelayMinutes"]
-
-
 @dataclass(frozen=True)
 class Run:
     """Where a run's tables are and what it is called."""
@@ -100,12 +96,10 @@ def prepare(run: Run, raw: DataFrame, history_mode: str = "strict_prior", per_ye
     quality.require_rows(clean, "the table of valid rows")
 
     metrics = quality.run_metrics(tagged, clean)
-    yearly_caps = exact_quantiles(
-        cleaning.completed_flights(clean), DELAYS, [S.CAP_PERCENTILE], by=["source_year"]
-    )
-    metrics = metrics.unionByName(quality.cap_metrics(yearly_caps))
+    caps = stage(cap_quantiles(clean, by=by), "caps")
+    metrics = metrics.unionByName(quality.cap_metrics(caps))
 
-    flights = _with_yearly_caps(clean, yearly_caps) if per_year else enrich(clean, caps_of(clean))
+    flights = _with_yearly_caps(clean, caps) if per_year else enrich(clean, caps_of(caps))
     curated = flights.select(*S.CURATED_COLUMNS).withColumn("pipeline_run_id", F.lit(run.run_id))
     sinks.write_by_month(curated, run.path("ontime_curated"))
     _write_stamped(run, flights.select(*S.POST_EVENT_COLUMNS), "ontime_post_event_analysis")

@@ -18,13 +18,18 @@ LANDED_COLUMNS = [c for c in S.INGEST_COLUMNS if c != "DOT_ID_Reporting_Airline"
 LANDED_FOLDERS = ("source_year", "source_month")
 
 
-def caps_of(flights: DataFrame, p: float = S.CAP_PERCENTILE) -> tuple[float, float]:
-    """(departure, arrival) caps over completed flights."""
-    found = exact_quantiles(cleaning.completed_flights(flights), ["DepDelayMinutes", "ArrDelayMinutes"], [p])
-    by_measure = {r["measure"]: r["quantile"] for r in found.collect()}
-    return tuple(
-        by_measure.get(m, S.CAP_WITHOUT_DATA) for m in ("DepDelayMinutes", "ArrDelayMinutes")
-    )
+DELAYS = ["DepDelayMinutes", "ArrDelayMinutes"]
+
+
+def cap_quantiles(flights: DataFrame, p: float = S.CAP_PERCENTILE, by: list[str] | None = None) -> DataFrame:
+    """Caps of both delays over completed flights, per group if wanted."""
+    return exact_quantiles(cleaning.completed_flights(flights), DELAYS, [p], by=by)
+
+
+def caps_of(quantiles: DataFrame) -> tuple[float, float]:
+    """(departure, arrival) caps out of two rows; without data the default."""
+    found = {r["measure"]: r["quantile"] for r in quantiles.collect()}
+    return tuple(found.get(m, S.CAP_WITHOUT_DATA) for m in DELAYS)
 
 
 def enrich(flights: DataFrame, caps) -> DataFrame:
@@ -97,7 +102,7 @@ class Lake:
 
     @cached_property
     def caps(self) -> tuple[float, float]:
-        return caps_of(self.clean)
+        return caps_of(cap_quantiles(self.clean))
 
     @property
     def flights(self) -> DataFrame:

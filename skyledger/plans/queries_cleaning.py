@@ -6,7 +6,7 @@ from skyledger import schemas as S
 from skyledger.functions import expressions as X
 from skyledger.operators import cleaning, features, rollups
 from skyledger.operators.quantiles import exact_quantiles
-from skyledger.plans.lake import RUN_ID, enrich
+from skyledger.plans.lake import DELAYS, RUN_ID, cap_quantiles, caps_of, enrich
 from skyledger.plans.registry import query, rounded
 from skyledger.streaming import messages
 
@@ -109,9 +109,7 @@ def _(lk):
 
 @query("p10_capped_delays_p95", _capped_sql(0.95))
 def _(lk):
-    from skyledger.plans.lake import caps_of
-
-    return enrich(lk.clean, caps_of(lk.clean, 0.95)).select(*S.FLIGHT_KEY, *_CAPPED)
+    return enrich(lk.clean, caps_of(cap_quantiles(lk.clean, 0.95))).select(*S.FLIGHT_KEY, *_CAPPED)
 
 
 _CURATED = [c for c in S.CURATED_COLUMNS if not c.endswith(("_original", "_capped")) and c not in
@@ -271,10 +269,9 @@ def _(lk):
 SELECT quantile_disc(DepDelayMinutes, 0.995) AS dep_cap, quantile_disc(ArrDelayMinutes, 0.995) AS arr_cap
 FROM flights WHERE Cancelled = 0 AND Diverted = 0""")
 def _(lk):
-    columns = ["DepDelayMinutes", "ArrDelayMinutes"]
-    found = exact_quantiles(cleaning.completed_flights(lk.clean), columns, [S.CAP_PERCENTILE])
+    found = cap_quantiles(lk.clean)
     picked = [F.max(F.when(F.col("measure") == c, F.col("quantile"))).alias(n)
-              for c, n in zip(columns, ("dep_cap", "arr_cap"))]
+              for c, n in zip(DELAYS, ("dep_cap", "arr_cap"))]
     return found.agg(*picked).fillna(S.CAP_WITHOUT_DATA)
 
 
@@ -284,8 +281,7 @@ FROM flights WHERE Cancelled = 0 AND Diverted = 0 GROUP BY source_year
 UNION ALL SELECT source_year, 'ArrDelayMinutes', quantile_disc(ArrDelayMinutes, 0.95)
 FROM flights WHERE Cancelled = 0 AND Diverted = 0 GROUP BY source_year""")
 def _(lk):
-    flown = cleaning.completed_flights(lk.clean)
-    found = exact_quantiles(flown, ["DepDelayMinutes", "ArrDelayMinutes"], [0.95], by=["source_year"])
+    found = cap_quantiles(lk.clean, 0.95, by=["source_year"])
     return found.select("source_year", "measure", F.col("quantile").alias("cap"))
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from skyledger import schemas as S
 from skyledger.operators import exploration, profiling, quality, sampling
 from skyledger.plans.fixture import FIXTURE_YEARS
-from skyledger.plans.lake import RUN_ID
+from skyledger.plans.lake import RUN_ID, cap_quantiles
 from skyledger.plans.registry import query, rounded
 from skyledger.sources import sinks
 
@@ -288,12 +288,7 @@ FROM flights WHERE Cancelled = 0 AND Diverted = 0 GROUP BY source_year
 UNION ALL SELECT source_year, 'arr_delay_cap_p995', quantile_disc(ArrDelayMinutes, 0.995)
 FROM flights WHERE Cancelled = 0 AND Diverted = 0 GROUP BY source_year""")
 def _(lk):
-    from skyledger.operators.cleaning import completed_flights
-    from skyledger.operators.quantiles import exact_quantiles
-
-    return quality.cap_metrics(
-        exact_quantiles(completed_flights(lk.clean), _DELAYS, [0.995], by=["source_year"])
-    )
+    return quality.cap_metrics(cap_quantiles(lk.clean, by=["source_year"]))
 
 
 @query("s14_metric_log", _METRICS_SQL + """

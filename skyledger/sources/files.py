@@ -89,14 +89,15 @@ def file_lines(
     are counted per task first, so a file of any size is spread over its splits.
     """
     text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder)
+    first_split = F.col("_metadata.file_block_start") == 0
+    # only the first split of a file carries its text any further
     lines = text.select(
-        F.col("_metadata.file_path").alias("file_path"), "value",
-        (F.col("_metadata.file_block_start") == 0).alias("first_split"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.when(first_split, F.col("value")).alias("value"),
+        first_split.alias("first_split"),
         F.monotonically_increasing_id().alias("place"),
     )
-    head = F.min_by(
-        F.when(F.col("first_split"), F.col("value")), F.when(F.col("first_split"), F.col("place"))
-    )
+    head = F.min_by("value", F.when(F.col("first_split"), F.col("place")))
     counted = lines.groupBy("file_path").agg(F.count("*").alias("lines"), head.alias("header"))
     return counted.select(
         "file_path", path_number(keys[0], "file_path").alias("year"),
