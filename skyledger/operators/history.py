@@ -18,6 +18,8 @@ from skyledger.sources.staging import stage
 
 CELL = ["Origin", "Dest", S.CARRIER]
 DAY = "FlightDate"
+PERIODS = ["source_year", "source_month", "Year", "Month"]
+ROWS = "_rows"  # flights per key of a lookup
 
 # keys -> {output: (summed part, counted part)}
 STATISTICS = {
@@ -105,7 +107,9 @@ def period_lookup(flights: DataFrame, by: list[str] | None = None) -> DataFrame:
     """All statistics per (origin, dest, carrier) and period; the period is everything by default."""
     by = by or []
     table = stage(cells(flights, by), "history-cells")
-    own = table.select(*CELL, *by, *_quotients(STATISTICS[ROUTE_CARRIER]))
+    own = table.select(
+        *CELL, *by, F.col("flights").alias(ROWS), *_quotients(STATISTICS[ROUTE_CARRIER])
+    )
     lookup = _attach_all(own, [ROUTE, *SINGLE], by, lambda keys: period_statistics(table, keys, by))
     return stage(lookup, "history-period")
 
@@ -120,7 +124,7 @@ def prior_lookup(flights: DataFrame) -> DataFrame:
     """
     table = stage(cells(flights, [DAY]), "history-cell-days")
     day = F.unix_date(DAY)
-    own = table
+    own = table.withColumn(ROWS, F.col("flights"))
     for keys in (ROUTE, ROUTE_CARRIER):
         before = Window.partitionBy(*keys).orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
         own = own.withColumns({
@@ -131,9 +135,19 @@ def prior_lookup(flights: DataFrame) -> DataFrame:
     return stage(lookup, "history-prior")
 
 
+def join_history(flights: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Flights with the statistics of a lookup; its columns say whether days or periods matter."""
+    keys = [c for c in lookup.columns if c in (*CELL, DAY, *PERIODS)]
+    return attach(flights, lookup, keys, weight=ROWS)
+
+
 def add_history(flights: DataFrame, mode: str = "strict_prior", by: list[str] | None = None) -> DataFrame:
+    return join_history(flights, lookup_for(flights, mode, by))
+
+
+def lookup_for(flights: DataFrame, mode: str = "strict_prior", by: list[str] | None = None) -> DataFrame:
     if mode == "strict_prior":
-        return attach(flights, prior_lookup(flights), [*CELL, DAY])
+        return prior_lookup(flights)
     if mode == "full_period":
-        return attach(flights, period_lookup(flights, by), [*CELL, *(by or [])])
+        return period_lookup(flights, by)
     raise ValueError(f"unknown history mode {mode!r}")

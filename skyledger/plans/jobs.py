@@ -104,9 +104,8 @@ def prepare(run: Run, raw: DataFrame, history_mode: str = "strict_prior", per_ye
     sinks.write_by_month(curated, run.path("ontime_curated"))
     _write_stamped(run, flights.select(*S.POST_EVENT_COLUMNS), "ontime_post_event_analysis")
 
-    keys = [*history.CELL, history.DAY] if history_mode == "strict_prior" else [*history.CELL, *by]
-    known = history.prior_lookup(clean) if history_mode == "strict_prior" else history.period_lookup(clean, by)
-    table = features.feature_table(attach(flights, known, keys))
+    known = history.lookup_for(clean, history_mode, by)
+    table = features.feature_table(history.join_history(flights, known))
     _write_stamped(run, table, "ontime_features")
 
     per_year_rows = run.read("ontime_features").groupBy(F.col("flight_year").alias("year")).agg(

@@ -136,7 +136,7 @@ class Lake:
     @cached_property
     def features(self) -> DataFrame:
         """Feature table with strictly earlier history."""
-        joined = history.attach(self.scheduled, self.prior, [*history.CELL, history.DAY])
+        joined = history.join_history(self.scheduled, self.prior)
         return stage(features.feature_table(joined), "features")
 
     @cached_property

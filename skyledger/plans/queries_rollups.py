@@ -280,13 +280,13 @@ for _op, _keys in (("h1_route_history", ("Origin", "Dest")), ("h2_carrier_histor
 
 @query("h6_cause_history", f"SELECT {_KEY}, {_r(', '.join(S.CAUSE_HISTORY_COLUMNS))} FROM period")
 def _(lk):
-    joined = attach(lk.clean, lk.period, history.CELL)
+    joined = history.join_history(lk.clean, lk.period)
     return rounded(joined.select(*S.FLIGHT_KEY, *S.CAUSE_HISTORY_COLUMNS))
 
 
 @query("j1_history_by_period", f"SELECT {_KEY}, {_r(_ALL_HISTORY)} FROM period")
 def _(lk):
-    joined = attach(lk.clean, lk.period, history.CELL)
+    joined = history.join_history(lk.clean, lk.period)
     return rounded(joined.select(*S.FLIGHT_KEY, *S.HISTORY_COLUMNS, *S.CAUSE_HISTORY_COLUMNS))
 
 
@@ -301,7 +301,7 @@ def _(lk):
 
 @query("h7_prior_history", f"SELECT {_KEY}, {_r(_ALL_HISTORY)} FROM features")
 def _(lk):
-    joined = attach(lk.clean, lk.prior, [*history.CELL, history.DAY])
+    joined = history.join_history(lk.clean, lk.prior)
     return rounded(joined.select(*S.FLIGHT_KEY, *S.HISTORY_COLUMNS, *S.CAUSE_HISTORY_COLUMNS))
 
 

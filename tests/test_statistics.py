@@ -10,6 +10,7 @@ from skyledger.operators import (
     exploration, history, joins, profiling, quality, rollups, sampling, scoring, serving,
 )
 from skyledger.operators.quantiles import exact_quantiles
+from skyledger.sources.staging import stage
 
 
 def skewed_numbers(n=3000, seed=3):
@@ -46,6 +47,19 @@ def test_attach_broadcasts_only_below_its_bound(spark):
     assert sorted(small.collect()) == sorted(large.collect())
 
 
+def test_hot_keys_are_kept_out_of_the_shuffled_match(spark):
+    fact = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 3000).alias("k"), "id")
+    lookup = stage(fact.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("v")), "lookup")
+    split = joins.attach(fact, lookup, ["k"], max_broadcast_rows=10, weight="n")
+    plain = fact.join(lookup.drop("n"), "k", "left")
+    assert sorted(map(tuple, split.select("k", "id", "v").collect())) == sorted(map(tuple, plain.collect()))
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [k" in plan
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning(k" in line]
+    assert shuffled and all("_salt" in line for line in shuffled)
+
+
 def flights_for_history(make_flights):
     rng = np.random.default_rng(7)
     rows = []
@@ -91,7 +105,7 @@ def brute_history(pdf, mode):
 @pytest.mark.parametrize("mode", ["strict_prior", "full_period"])
 @pytest.mark.parametrize("bound", [joins.BROADCAST_ROWS, 0])
 def test_history_equals_brute_force(make_flights, monkeypatch, mode, bound):
-    monkeypatch.setattr(joins.attach, "__defaults__", ("left", bound))
+    monkeypatch.setattr(joins.attach, "__defaults__", ("left", bound, None))
     df = flights_for_history(make_flights)
     number = "Flight_Number_Reporting_Airline"
     got = {r[number]: r for r in history.add_history(df, mode).collect()}
