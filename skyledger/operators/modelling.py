@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
-from skyledger.functions import expressions as X
 from skyledger.operators import features as feat
 from skyledger.operators import sampling, scoring
 from skyledger.operators.quantiles import approximate_medians
