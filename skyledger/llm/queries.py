@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import mixing, shards
+from skyledger.llm import mixing, quality_model, quality_rules, shards, token_counts
+
+TOKENIZERS = "/opt/tokenizers"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,10 +27,38 @@ def query(function=None, *, sql: str | None = None):
     return register(function) if function else register
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    try:
+        from public_tokenizers import path
+    except ImportError:
+        return f"{TOKENIZERS}/{name}"
+    return path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they are over 2048."""
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query(sql=mixing.MIX_SQL)
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
