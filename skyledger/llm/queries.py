@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import mixing, quality_model, quality_rules, shards, token_counts
+from skyledger.llm import mixing, quality_model, quality_rules, shards, token_counts, toxicity
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -40,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
