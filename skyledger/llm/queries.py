@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import mixing, quality_model, quality_rules, shards, token_counts, toxicity
+from skyledger.llm import mixing, near_dedup, quality_model, quality_rules, shards, token_counts, toxicity
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -46,6 +46,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, over word triples at 85 per cent."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), percent=85, shingle=3)
+
+
 @query
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
