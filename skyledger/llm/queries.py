@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import mixing, near_dedup, quality_model, quality_rules, shards, token_counts, toxicity
+from skyledger.llm import (
+    mixing, near_dedup, quality_model, quality_rules, shards, substring_dedup, token_counts, toxicity,
+)
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -40,6 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without repeated passages of 35 words."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""

@@ -35,13 +35,15 @@ def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -
         yield batch.slice(start), texts[start:]
 
 
-def over_slices(docs: DataFrame, work: Callable, schema: str, text: str = "text", **given) -> DataFrame:
+def over_slices(
+    docs: DataFrame, work: Callable, schema: str, text: str = "text", most: int = SLICE_BYTES, **given,
+) -> DataFrame:
     """``work(part, texts, **given)`` on every slice; it returns the columns of ``schema`` as a dict."""
     names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in slices(batch, text):
+            for part, texts in slices(batch, text, most):
                 out = work(part, texts, **given)
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x, pa.Array) else pa.array(x) for x in (out[n] for n in names)], names=names
