@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import (
-    mixing, near_dedup, quality_model, quality_rules, shards, substring_dedup, token_counts, toxicity,
+    mixing, near_dedup, pieces, quality_model, quality_rules, shards, substring_dedup, token_counts, toxicity,
+    vector_dedup,
 )
 
 TOKENIZERS = "/opt/tokenizers"
@@ -86,7 +87,19 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("n_copies")).alias("taken"))
 
 
+@query
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and whether decoding gives its text back."""
+    return pieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), with_pieces=False)
+
+
 @query
 def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return shards.shard_table(table(spark, sf_dir, "documents"), 8)
+
+
+@query
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding at a cosine of 0.9."""
+    return vector_dedup.link_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
