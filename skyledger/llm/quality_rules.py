@@ -19,6 +19,7 @@ WINDOW = 5
 LEAST_ROWS = 50
 WIDTH = 3.0
 MEASURES = ("chars_per_token", "byte_share", "entropy")
+LEAST_REACH = {"chars_per_token": 0.05, "byte_share": 0.01, "entropy": 0.1}
 _loaded: dict = {}
 
 BASE_COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -125,47 +126,55 @@ def _rates(measured: DataFrame) -> DataFrame:
         "chars_per_token": F.col("word_chars") / tokens,
         "byte_share": F.col("n_byte_tokens") / tokens,
         "base_failed": (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20),
-        # texts of like length are judged together: entropy rises with the number of tokens
-        "octave": F.floor(F.log2(tokens.cast("double"))).cast("int"),
+        # texts of like length are judged together: entropy rises with the number of words
+        "octave": F.floor(F.log2(F.greatest("n_words", F.lit(1)).cast("double"))).cast("int"),
         "language": F.coalesce("lang", F.lit("")),
     })
 
 
-def bands(rated: DataFrame, width: float = WIDTH) -> DataFrame:
-    """Per language and length octave, the range of each measure that is let through.
+def bands(rated: DataFrame, by: list[str], names: tuple[str, ...], width: float = WIDTH) -> DataFrame:
+    """Per group of ``by``, the range of each measure that is let through, and the number of documents behind it.
 
     From the quartiles of the documents that pass the base rules, ``width`` times their
     distance (a small least distance) beyond them. Quartiles come from mergeable sketches,
     so a language of any size is summed before the shuffle.
     """
-    quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 2000).alias(f"q_{m}") for m in MEASURES]
-    found = rated.filter("not base_failed").groupBy("language", "octave").agg(F.count("*").alias("n_band"), *quartiles)
-    least = {"chars_per_token": 0.05, "byte_share": 0.01, "entropy": 0.1}
+    quartiles = [F.percentile_approx(m, [0.25, 0.75], 2000).alias(f"q_{m}") for m in names]
+    found = rated.filter("not base_failed").groupBy(*by).agg(F.count("*").alias("n"), *quartiles)
     out = []
-    for m in MEASURES:
+    for m in names:
         q = F.col(f"q_{m}")
-        reach = F.greatest(q[2] - q[0], F.lit(least[m])) * width
-        out += [(q[0] - reach).alias(f"low_{m}"), (q[2] + reach).alias(f"high_{m}")]
-    return found.select("language", "octave", "n_band", *out)
+        reach = F.greatest(q[1] - q[0], F.lit(LEAST_REACH[m])) * width
+        out.append(F.struct((q[0] - reach).alias("low"), (q[1] + reach).alias("high")).alias(m))
+    return found.select(*by, F.struct("n", *out).alias("band"))
 
 
 def judge(docs: DataFrame, path: str, width: float = WIDTH, least_rows: int = LEAST_ROWS) -> DataFrame:
     """All measures of each document with base_failed and kept.
 
     A document is kept if it passes the base rules and every measure lies in the band of
-    its language and length; a group of fewer than ``least_rows`` documents has no band
-    and rejects nothing. A null language is a language of its own. Rows count singly,
-    repeated ones too; an empty table gives no rows; other columns are not read. The
-    texts are read once; the bands come from the staged measures.
+    its language and length (in octaves of words). A language with too few documents of a
+    length, under ``least_rows``, judges it by the language's band for all lengths instead,
+    twice as wide and without the entropy; a language with too few of all rejects nothing. A null language is
+    a language of its own. Rows count singly, repeated ones too; an empty table gives no
+    rows; other columns are not read. The texts are read once; the bands come from the
+    staged measures.
     """
     rated = stage(_rates(measures(docs, path)), "quality-measures")
-    limits = stage(bands(rated, width), "quality-bands")
-    joined = attach(rated, limits, ["language", "octave"])
-    fits = F.lit(True)
-    for m in MEASURES:
-        fits = fits & F.col(m).between(F.col(f"low_{m}"), F.col(f"high_{m}"))
-    inside = F.when(F.coalesce("n_band", F.lit(0)) < least_rows, F.lit(True)).otherwise(fits)
+    near = stage(bands(rated, ["language", "octave"], MEASURES, width), "quality-bands")
+    wide = stage(bands(rated, ["language"], MEASURES[:2], width * 2), "quality-wide-bands")
+    joined = attach(rated, near.withColumnRenamed("band", "near"), ["language", "octave"])
+    joined = attach(joined, wide.withColumnRenamed("band", "wide"), ["language"])
+
+    def inside(band: str, names: tuple[str, ...]):
+        fits = F.lit(True)
+        for m in names:
+            fits = fits & F.col(m).between(F.col(f"{band}.{m}.low"), F.col(f"{band}.{m}.high"))
+        return fits
+
+    enough = [F.coalesce(f"{band}.n", F.lit(0)) >= least_rows for band in ("near", "wide")]
+    fits = F.when(enough[0], inside("near", MEASURES)).when(enough[1], inside("wide", MEASURES[:2])).otherwise(True)
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & inside).alias("kept"), "n_tokens", *MEASURES,
+        (~F.col("base_failed") & fits).alias("kept"), "n_tokens", *MEASURES,
     )
