@@ -92,14 +92,11 @@ def mix(docs: DataFrame, seed: str = "mix-1", share_percent: int = 150, most: in
     targets = stage(source_targets(sizes, share_percent, most, weights), "mix-targets")
     keyed = [F.coalesce("source", F.lit("")).alias("_key"), F.col("source").isNull().alias("_none")]
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    lookup = targets.select(*keyed, rate.alias("_rate"))
-    joined = attach(docs.select("*", *keyed), lookup, ["_key", "_none"])
-    extra = chance(F.col("doc_id"), seed) < F.col("_rate") - F.floor("_rate")
-    times = (F.floor("_rate") + extra.cast("long")).cast("int")
-    return (
-        joined.withColumn("_copy", F.explode(F.sequence(F.lit(0), times)))
-        .filter("_copy > 0").select(*docs.columns)
-    )
+    lookup = targets.select(*keyed, rate.alias("rate"))
+    joined = attach(docs.select(F.struct(*docs.columns).alias("row"), *keyed), lookup, ["_key", "_none"])
+    extra = chance(F.col("row.doc_id"), seed) < F.col("rate") - F.floor("rate")
+    times = (F.floor("rate") + extra.cast("long")).cast("int")
+    return joined.select(F.explode(F.array_repeat("row", times)).alias("row")).select("row.*")
 
 
 MIX_SQL = r"""
