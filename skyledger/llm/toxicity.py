@@ -32,6 +32,7 @@ OTHER = SIZE - 1
 CLASS = {c: i + 1 for i, c in enumerate(LETTERS)}
 _CLASS_OF = np.full(0x110000, OTHER, dtype=np.uint8)
 _CLASS_OF[[ord(c) for c in CLASS]] = list(CLASS.values())
+_CLASS_OF[[ord(c.upper()) for c in CLASS if len(c.upper()) == 1]] = [k for c, k in CLASS.items() if len(c.upper()) == 1]
 _CLASS_OF[ord("\n")] = 0
 
 LEET_COST, MASK_COST, DROP_COST, PAIR_COST, BREAK_COST = 0.7, 1.5, 0.3, 3.0, 1.0
@@ -43,6 +44,7 @@ _EDGE = re.compile(r"^[^\w@$!|+(<€£¥*]+|[^\w@*]+$")
 _DRAWN = re.compile(r"([^\W\d_])\1\1")
 _APART = re.compile(r"[^\W_](?:[._\-~'*/\\]+[^\W_]){2,}")
 _DISGUISE = re.compile(r"[0-9@$!|+(<€£¥*]")
+_SINGLE = re.compile(r"(?:[^\W_]|[@$!|+(<€£¥*])[.,\-]?")  # one letter, or what may stand for one
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -58,8 +60,7 @@ def _trigrams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not kinds:
                 continue
             joined = (b"\n\n" + b"\n\n".join(kinds) + b"\n\n").decode("utf-8", "replace")
-            lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in joined) if not joined.isascii() else joined.lower()
-            at = _CLASS_OF[np.frombuffer(lower.encode("utf-32-le", "replace"), dtype=np.uint32)].astype(np.int64)
+            at = _CLASS_OF[np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)].astype(np.int64)
             edge = at == 0
             # the number of the word that each place belongs to; both edges after a word are its own
             word = np.cumsum(edge[:-2] & edge[1:-1] & ~edge[2:]) - 1
@@ -161,9 +162,8 @@ def set_apart(words: list[bytes]) -> Iterator[str]:
     for w in words:
         # one code point, perhaps with a comma or a full stop
         c = w.decode("utf-8", "replace") if len(w) <= 5 else ""
-        c = c[0] if len(c) == 1 or (len(c) == 2 and c[1] in ".,-") else ""
-        if c and (c.isalnum() or c in LEET or c == "*"):
-            run.append(c.lower())
+        if _SINGLE.fullmatch(c):
+            run.append(c[0].lower())
             continue
         if len(run) >= RUN:
             yield "".join(run)
@@ -174,7 +174,7 @@ def set_apart(words: list[bytes]) -> Iterator[str]:
 
 def _short_runs(lists: list[list[bytes]], kinds: list[bytes], codes: np.ndarray, starts: np.ndarray) -> dict[int, list[str]]:
     """For each text with letters set apart, the joined runs; others are skipped without a look."""
-    short = np.array([len(k) <= 5 and len(k.decode("utf-8", "replace")) <= 2 for k in kinds], dtype=bool)
+    short = np.array([len(k) <= 5 and bool(_SINGLE.fullmatch(k.decode("utf-8", "replace"))) for k in kinds], dtype=bool)
     flags = short[codes]
     if len(flags) < RUN:
         return {}
@@ -210,24 +210,47 @@ def restored_text(text: str, model: np.ndarray) -> str:
 # ---- scoring
 
 def _word_features(words: list[str], bits: int) -> np.ndarray:
-    """Five hashed features of each word: itself and its beginnings of four to seven letters."""
-    asked = []
-    for w in words:
-        asked += [w.encode(), *[f"{n}:{w[:n]}".encode() if len(w) >= n else b"" for n in (4, 5, 6, 7)]]
-    return (hashes(asked, len(asked)) & np.uint64((1 << bits) - 1)).astype(np.int32).reshape(-1, 5)
+    """Five hashed features of each word: itself and its beginnings of four to seven letters.
 
+    Each distinct beginning is hashed once; a word too short for one has the feature of
+    the empty word there.
+    """
+    columns = []
+    for n in (0, 4, 5, 6, 7):
+        asked = [w[:n] if len(w) >= n else "" for w in words] if n else words
+        place = {w: i for i, w in enumerate(dict.fromkeys(asked))}
+        hashed = hashes((w.encode() for w in place), len(place), seed=n + 1) & np.uint64((1 << bits) - 1)
+        columns.append(hashed.astype(np.int32)[np.fromiter(map(place.__getitem__, asked), np.int64, count=len(asked))])
+    return np.stack(columns, axis=1)
 
-def text_features(texts: list, model: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (text, feature) of the restored words, and the number of restored words per text."""
-    lists, starts = split_words(texts)
-    kinds, codes = coded(lists, int(starts[-1]))
+
+def _restored_kinds(kinds: list[bytes], model: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The restored form of each distinct word, and whether it was disguised."""
     words, changed = [], np.zeros(len(kinds), dtype=np.int64)
     for i, k in enumerate(kinds):
-        core = plain(k.decode("utf-8", "replace"))
-        if disguised(core):
+        # plain ASCII letters, perhaps with one mark after them, need no look at their edges
+        body = k[:-1] if k[-1:] in (b".", b",") else k
+        if body.isalpha():
+            core = body.lower().decode()
+            hidden = _DRAWN.search(core)
+        else:
+            core = plain(k.decode("utf-8", "replace"))
+            hidden = disguised(core)
+        if hidden:
             core = decode(core, model)
             changed[i] = 1
         words.append(core)
+    return words, changed
+
+
+def text_features(texts: list, model: np.ndarray, bits: int = BITS, useful=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (text, feature) of the restored words, and the number of restored words per text.
+
+    With ``useful``, one flag per feature, only words with a useful feature are paired.
+    """
+    lists, starts = split_words(texts)
+    kinds, codes = coded(lists, int(starts[-1]))
+    words, changed = _restored_kinds(kinds, model)
     per_kind = _word_features(words, bits)
     owner = np.repeat(np.arange(len(texts)), np.diff(starts))
     n_restored = np.bincount(owner, weights=changed[codes], minlength=len(texts)).astype(np.int64)
@@ -238,6 +261,9 @@ def text_features(texts: list, model: np.ndarray, bits: int = BITS) -> tuple[np.
                 more_owner.append(t)
                 more.append(w)
             n_restored[t] += 1
+    if useful is not None:
+        mine = useful[per_kind].any(axis=1)[codes]
+        owner, codes = owner[mine], codes[mine]
     pairs = np.stack([np.repeat(owner, 5), per_kind[codes].ravel()], axis=1)
     if more:
         extra = np.stack([np.repeat(more_owner, 5), _word_features(more, bits).ravel()], axis=1)
@@ -268,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn, letters, sample: int = SA
 
 def _scores(part: pa.RecordBatch, texts: list, letters, weights, bits: int) -> dict:
     w, bias = weights.value
-    owner, feature, n_restored = text_features(texts, letters.value, bits)
+    owner, feature, n_restored = text_features(texts, letters.value, bits, w != 0)
     known = w[feature] != 0
     key = np.unique(owner[known].astype(np.int64) << 32 | feature[known])
     logit = bias + np.bincount(key >> 32, weights=w[key & 0xFFFFFFFF], minlength=len(texts))
