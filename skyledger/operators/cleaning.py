@@ -8,17 +8,17 @@ from skyledger.functions import expressions as X
 
 
 def conform_types(df: DataFrame) -> DataFrame:
-    """Give every column its type; a value that does not parse is null.
+    """Give every column its type; a value that does not parse is null, a missing column an error.
 
-    The source period falls back to the flight date, in a second projection so
-    that the date is parsed once.
+    Only the source period may be missing: it falls back to the flight date, in a second
+    projection so that the date is parsed once.
     """
     typed: dict[str, Column] = {"FlightDate": X.to_day(F.col("FlightDate"))}
     typed |= {c: X.to_int(F.col(c)) for c in S.INTEGER_COLUMNS}
     typed |= {c: X.to_double(F.col(c)) for c in S.DOUBLE_COLUMNS}
     typed |= {c: X.blank_to_null(F.col(c)) for c in S.TEXT_COLUMNS}
-    optional = ("OriginAirportID", "DestAirportID", "source_year", "source_month")
-    typed |= {c: X.to_int(F.col(c)) for c in optional if c in df.columns}
+    typed |= {c: X.to_int(F.col(c)) for c in ("OriginAirportID", "DestAirportID")}
+    typed |= {c: X.to_int(F.col(c)) for c in ("source_year", "source_month") if c in df.columns}
     period = {}
     for name, part in (("source_year", F.year("FlightDate")), ("source_month", F.month("FlightDate"))):
         period[name] = F.coalesce(F.col(name), part) if name in df.columns else part

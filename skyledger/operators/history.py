@@ -95,7 +95,9 @@ def prior_statistics(cell_days: DataFrame, keys: list[str]) -> DataFrame:
 
 def _attach_all(out: DataFrame, kinds: list[tuple[str, ...]], extra: list[str], statistics_of) -> DataFrame:
     for keys in kinds:
-        out = attach(out, statistics_of(list(keys)), [*keys, *extra])
+        # staged, since it is counted before it is joined
+        statistics = stage(statistics_of(list(keys)), f"history-{'-'.join(keys)}")
+        out = attach(out, statistics, [*keys, *extra])
     return out
 
 

@@ -1,9 +1,10 @@
 """Attaching a table that is unique per key to a larger one."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 1_000
 HOT_SPREAD = 256
 
@@ -11,22 +12,37 @@ HOT_SPREAD = 256
 def attach(
     fact: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
     max_broadcast_rows: int = BROADCAST_ROWS, weight: str | None = None,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Equi-join ``lookup`` to ``fact``; broadcast it only when it is counted to be small.
+    """Equi-join ``lookup`` to ``fact``; broadcast it only when rows and bytes are counted to be few.
 
     Past the bound it is a shuffle join. ``weight`` names a lookup column with the
     number of fact rows per key; with it the rows of very frequent keys are kept out
     of the shuffled match, otherwise adaptive execution has to split them. Pass a
     staged ``lookup`` so that counting it does not compute it twice.
     """
-    counted = lookup.limit(max_broadcast_rows + 1).count()
-    if counted <= max_broadcast_rows:
+    few = lookup.limit(max_broadcast_rows + 1).agg(F.count("*").alias("rows"), F.sum(_width(lookup)).alias("bytes")).first()
+    if few["rows"] <= max_broadcast_rows and (few["bytes"] or 0) <= max_broadcast_bytes:
         return fact.join(F.broadcast(lookup.drop(weight) if weight else lookup), keys, how)
     if weight and how == "left":
         return _attach_hot_apart(fact, lookup, keys, weight)
     return fact.join(lookup.hint("shuffle_merge"), keys, how)
 
 
+def _width(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory."""
+    total = F.lit(16)
+    for name, kind in df.dtypes:
+        quoted = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            total = total + 16 + F.coalesce(F.octet_length(quoted), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            total = total + 16 + F.coalesce(F.octet_length(F.to_json(F.struct(quoted))), F.lit(0))
+        else:
+            total = total + 8
+    return total.cast("long")
+
+
 def _attach_hot_apart(fact: DataFrame, lookup: DataFrame, keys: list[str], weight: str) -> DataFrame:
     """Left join whose frequent keys are answered by a broadcast.
 

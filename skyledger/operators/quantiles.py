@@ -51,7 +51,7 @@ def exact_quantiles(
         .drop("slice_n")
     )
 
-    slices = attach(ranged, wanted, [*group, "slice"], how="inner")
+    slices = attach(ranged, stage(wanted, "wanted-ranks"), [*group, "slice"], how="inner")
     point = [*group, "probability", "rank", "weight"]
     running = Window.partitionBy(*point).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     reached = slices.withColumn("upto", F.col("before") + F.sum("n").over(running))

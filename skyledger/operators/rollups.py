@@ -183,6 +183,18 @@ def delay_reasons(post_event: DataFrame) -> DataFrame:
     )
 
 
+def all_rollups(cells: DataFrame, post_event: DataFrame) -> dict[str, DataFrame]:
+    """The six stored rollups by name; five of them from the same cells."""
+    return {
+        "agg_monthly_delay": monthly_delay(cells),
+        "agg_carrier_performance": carrier_performance(cells),
+        "agg_airport_performance": airport_performance(cells),
+        "agg_route_performance": route_performance(cells),
+        "agg_hourly_delay": hourly_delay(cells),
+        "agg_delay_reason": delay_reasons(post_event),
+    }
+
+
 ROLLUP_KEYS = {
     "agg_monthly_delay": ["year", "month"],
     "agg_carrier_performance": ["year", "month", "airline_code"],

@@ -44,12 +44,13 @@ SELECT
   CAST(day(d) AS STRING) AS DayofMonth,
   CAST(weekday(d) + 1 AS STRING) AS DayOfWeek,
   brand AS Reporting_Airline,
+  CAST(19000 + l_suppkey % 100 AS STRING) AS DOT_ID_Reporting_Airline,
   CASE WHEN k % 103 = 0 THEN '  ' ELSE brand END AS IATA_CODE_Reporting_Airline,
   concat('N', CAST(l_suppkey AS STRING)) AS Tail_Number,
   CAST(l_partkey AS STRING) AS Flight_Number_Reporting_Airline,
   CAST(o_id AS STRING) AS OriginAirportID,
   CASE WHEN k % 113 = 0 THEN '' ELSE o_name END AS Origin,
-  concat(o_name, ' City') AS OriginCityName,
+  CASE WHEN k % 61 = 0 THEN concat(o_name, ' "Old" City, ', o_reg) ELSE concat(o_name, ' City') END AS OriginCityName,
   o_reg AS OriginState,
   concat(o_reg, ' Region') AS OriginStateName,
   CAST(d_id AS STRING) AS DestAirportID,

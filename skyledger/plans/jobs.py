@@ -155,14 +155,7 @@ def aggregate(run: Run) -> str:
     cells = stage(
         rollups.sum_cells(rollups.as_cells(run.read("ontime_curated")), rollups.CELL_KEYS), "cells"
     )
-    tables = {
-        "agg_monthly_delay": rollups.monthly_delay(cells),
-        "agg_carrier_performance": rollups.carrier_performance(cells),
-        "agg_airport_performance": rollups.airport_performance(cells),
-        "agg_route_performance": rollups.route_performance(cells),
-        "agg_hourly_delay": rollups.hourly_delay(cells),
-        "agg_delay_reason": rollups.delay_reasons(run.read("ontime_post_event_analysis")),
-    }
+    tables = rollups.all_rollups(cells, run.read("ontime_post_event_analysis"))
     for name, table in tables.items():
         sinks.write_run(rollups.stamp_run(table, run.run_id), run.path(name), "pipeline_run_id")
     return f"{len(tables)} tables"

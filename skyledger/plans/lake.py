@@ -14,7 +14,6 @@ from skyledger.sources.staging import new_path, stage
 from skyledger.streaming.messages import to_messages
 
 RUN_ID = "run-1"
-LANDED_COLUMNS = [c for c in S.INGEST_COLUMNS if c != "DOT_ID_Reporting_Airline"]
 LANDED_FOLDERS = ("source_year", "source_month")
 
 
@@ -63,10 +62,12 @@ class Lake:
 
     @cached_property
     def landing_folder(self) -> str:
-        """The records as delimited files in month folders."""
+        """The records as delimited files in month folders; every other month has its columns in another order."""
         folder = new_path(self.spark, "landing")
         numbers = [F.col(c).cast("int").alias(k) for c, k in zip(("Year", "Month"), LANDED_FOLDERS)]
-        files.write_landing_csv(self.raw.select(*LANDED_COLUMNS, *numbers), folder, LANDED_FOLDERS)
+        for rest, columns in ((0, S.INGEST_COLUMNS), (1, S.INGEST_COLUMNS[::-1])):
+            some = self.raw.filter(F.col("Month").cast("int") % 2 == rest)
+            files.write_landing_csv(some.select(*columns, *numbers), folder, LANDED_FOLDERS)
         return folder
 
     @cached_property
@@ -76,6 +77,13 @@ class Lake:
         sinks.write_by_month(self.clean, path)
         return path
 
+    @cached_property
+    def feature_months(self) -> str:
+        """The feature table laid out by month."""
+        path = new_path(self.spark, "features-by-month")
+        sinks.write_by_month(self.features, path)
+        return path
+
     @property
     def typed(self) -> DataFrame:
         return cleaning.conform_types(self.raw)
@@ -182,6 +190,21 @@ class Lake:
         return rollups.delay_reasons(self.post_event)
 
 
+    @cached_property
+    def rollup_folder(self) -> str:
+        """The rollups as two runs have stored them: one over the earlier years, then one over all."""
+        folder = new_path(self.spark, "rollups")
+        for run, rows in (("run-0", self.clean.filter(F.col("Year") < FIXTURE_YEARS[1])), (RUN_ID, self.clean)):
+            cells = stage(rollups.sum_cells(rollups.as_cells(rows), rollups.CELL_KEYS), "cells")
+            for name, table in rollups.all_rollups(cells, rows.select(*S.POST_EVENT_COLUMNS)).items():
+                sinks.write_run(rollups.stamp_run(table, run), f"{folder}/{name}", "pipeline_run_id")
+        return folder
+
+    def served(self, name: str) -> DataFrame:
+        """A stored rollup as a dashboard sees it: the newest row of each key."""
+        return rollups.newest_rows(self.spark.read.parquet(f"{self.rollup_folder}/{name}"), name)
+
+
 _open: dict[tuple[str, str], Lake] = {}
 
 

@@ -51,19 +51,11 @@ def _(lk):
     return lk.valid.select(*S.FLIGHT_KEY, "Year", "Distance", "CRSArrTime")
 
 
-@query("p6_rejected_rows", """
-SELECT 'run-1' AS run_id, source_file, reject_reason, Origin AS origin, CAST(Distance AS DOUBLE) AS distance,
-  CAST(FlightDate AS VARCHAR) AS flight_date, CRSDepTime AS dep_time
-FROM tagged WHERE reject_reason IS NOT NULL""")
+@query("p6_rejected_rows", "SELECT 'run-1' AS run_id, * FROM tagged WHERE reject_reason IS NOT NULL")
 def _(lk):
     log = cleaning.reject_log(lk.rejected, RUN_ID)
-    kept = "Origin STRING, Distance DOUBLE, FlightDate STRING, CRSDepTime INT"
-    row = F.from_json("raw_row", kept)
-    return log.select(
-        "run_id", "source_file", "reject_reason", row["Origin"].alias("origin"),
-        row["Distance"].alias("distance"), row["FlightDate"].alias("flight_date"),
-        row["CRSDepTime"].alias("dep_time"),
-    )
+    row = F.from_json("raw_row", lk.rejected.drop("reject_reason").schema)
+    return log.select("run_id", "reject_reason", row.alias("r")).select("run_id", "reject_reason", "r.*")
 
 
 @query("p7_fill_categories", """
@@ -164,12 +156,9 @@ def _plain_sql(c: str) -> str:
             f"ELSE CAST({as_double} AS VARCHAR) END ELSE TRIM({c}) END")
 
 
-_TIDIED = [c for c in S.INGEST_COLUMNS if c != "DOT_ID_Reporting_Airline"]
-
-
-@query("p14_tidy_values", "SELECT " + ", ".join(f"{_plain_sql(c)} AS {c}" for c in _TIDIED) + " FROM raw")
+@query("p14_tidy_values", "SELECT " + ", ".join(f"{_plain_sql(c)} AS {c}" for c in S.INGEST_COLUMNS) + " FROM raw")
 def _(lk):
-    return cleaning.tidy_values(lk.raw.select(*_TIDIED), _TIDIED)
+    return cleaning.tidy_values(lk.raw.select(*S.INGEST_COLUMNS), S.INGEST_COLUMNS)
 
 
 @query("p14_tidy_prices", f"""
@@ -181,21 +170,21 @@ def _(lk):
     return cleaning.tidy_values(rows, ["price", "discount"])
 
 
-_MESSAGE_OUT = ["FlightDate", S.CARRIER, "Origin", "Dest", "DepDelay", "Distance", "Cancelled", "source_file"]
-_MESSAGE_SQL = f"""
-SELECT {_plain_sql('FlightDate')} AS FlightDate,
-  {_plain_sql('IATA_CODE_Reporting_Airline')} AS IATA_CODE_Reporting_Airline,
-  {_plain_sql('Origin')} AS Origin, {_plain_sql('Dest')} AS Dest, CAST(DepDelay AS DOUBLE) AS DepDelay,
-  CAST(Distance AS DOUBLE) AS Distance, CAST(Cancelled AS INTEGER) AS Cancelled, source_file
-FROM raw"""
+def _sent_sql(c: str, kind: str) -> str:
+    if kind == "string":
+        return f"{_plain_sql(c)} AS {c}"
+    number = f"CAST(NULLIF(TRIM({c}), '') AS DOUBLE)"
+    return f"{number} AS {c}" if kind == "double" else f"CAST({number} AS INTEGER) AS {c}"
+
+
+_SENT = [field.split()[:2] for field in S.MESSAGE_DDL.split(",")][:len(S.INGEST_COLUMNS)]
 
 
-@query("p15_message_fields", _MESSAGE_SQL)
+@query("p15_message_fields", "SELECT " + ", ".join(_sent_sql(c, k.lower()) for c, k in _SENT) + """, source_file
+FROM raw WHERE CRSDepTime <> 'abc'""")
 def _(lk):
-    kinds = "FlightDate STRING, IATA_CODE_Reporting_Airline STRING, Origin STRING, Dest STRING, " \
-            "DepDelay DOUBLE, Distance DOUBLE, Cancelled INT, source_file STRING"
-    read = lk.messages.select(F.from_json("value", kinds).alias("m"))
-    return read.select("m.*").select(*_MESSAGE_OUT)
+    read = messages.parse_messages(lk.messages, messages.message_schema())
+    return read.filter(~F.col("broken")).select(*S.INGEST_COLUMNS, "source_file")
 
 
 _LANDED_SQL = """

@@ -6,6 +6,7 @@ from skyledger import schemas as S
 from skyledger.operators import history, rollups, serving
 from skyledger.operators.joins import attach
 from skyledger.plans.registry import query, rounded
+from skyledger.sources.staging import stage
 
 _KEY = ", ".join(S.FLIGHT_KEY)
 
@@ -104,20 +105,20 @@ def _(lk):
 
 @query("d1_total_flights", "SELECT CAST(SUM(total_flights) AS BIGINT) AS total_flights FROM monthly")
 def _(lk):
-    return serving.total_flights(lk.monthly)
+    return serving.total_flights(lk.served("agg_monthly_delay"))
 
 
 @query("d2_arrival_delay_series", """
 SELECT MAKE_DATE(year, month, 1) AS time, ROUND(avg_arr_delay, 9) AS avg_arr_delay FROM monthly ORDER BY time""")
 def _(lk):
-    return rounded(serving.monthly_series(lk.monthly, "avg_arr_delay"))
+    return rounded(serving.monthly_series(lk.served("agg_monthly_delay"), "avg_arr_delay"))
 
 
 @query("d3_cancellation_series", """
 SELECT MAKE_DATE(year, month, 1) AS time, ROUND(cancellation_rate, 9) AS cancellation_rate
 FROM monthly ORDER BY time""")
 def _(lk):
-    return rounded(serving.monthly_series(lk.monthly, "cancellation_rate"))
+    return rounded(serving.monthly_series(lk.served("agg_monthly_delay"), "cancellation_rate"))
 
 
 def _top_sql(table: str, key: str, measure: str, where: str = "") -> str:
@@ -128,23 +129,23 @@ GROUP BY {key} ORDER BY AVG({measure}) DESC, {key} LIMIT 15"""
 
 @query("d4_carriers_by_delay", _top_sql("carriers", "airline_code", "avg_arr_delay"))
 def _(lk):
-    return rounded(serving.top_by_mean(lk.carriers, "airline_code", "avg_arr_delay"))
+    return rounded(serving.top_by_mean(lk.served("agg_carrier_performance"), "airline_code", "avg_arr_delay"))
 
 
 @query("d5_carriers_by_cancellation", _top_sql("carriers", "airline_code", "cancellation_rate"))
 def _(lk):
-    return rounded(serving.top_by_mean(lk.carriers, "airline_code", "cancellation_rate"))
+    return rounded(serving.top_by_mean(lk.served("agg_carrier_performance"), "airline_code", "cancellation_rate"))
 
 
 @query("d6_worst_origins", _top_sql("airports", "airport_code", "delay_rate", "WHERE airport_role = 'origin'"))
 def _(lk):
-    return rounded(serving.worst_airports(lk.airports, "origin"))
+    return rounded(serving.worst_airports(lk.served("agg_airport_performance"), "origin"))
 
 
 @query("d7_worst_destinations",
        _top_sql("airports", "airport_code", "delay_rate", "WHERE airport_role = 'destination'"))
 def _(lk):
-    return rounded(serving.worst_airports(lk.airports, "destination"))
+    return rounded(serving.worst_airports(lk.served("agg_airport_performance"), "destination"))
 
 
 @query("d8_worst_routes", """
@@ -152,7 +153,7 @@ SELECT route, origin, dest, CAST(SUM(total_flights) AS BIGINT) AS total_flights,
   ROUND(AVG(avg_arr_delay), 9) AS avg_arr_delay, ROUND(AVG(cancellation_rate), 9) AS cancellation_rate
 FROM routes GROUP BY ALL ORDER BY AVG(avg_arr_delay) DESC NULLS LAST, route LIMIT 20""")
 def _(lk):
-    return rounded(serving.worst_routes(lk.routes))
+    return rounded(serving.worst_routes(lk.served("agg_route_performance")))
 
 
 @query("d9_minutes_by_cause", """
@@ -162,14 +163,14 @@ UNION ALL SELECT 'NAS', SUM(total_nas_delay_min) FROM reasons
 UNION ALL SELECT 'Security', SUM(total_security_delay_min) FROM reasons
 UNION ALL SELECT 'Late Aircraft', SUM(total_late_aircraft_delay_min) FROM reasons""")
 def _(lk):
-    return serving.minutes_by_cause(lk.reasons)
+    return serving.minutes_by_cause(lk.served("agg_delay_reason"))
 
 
 @query("d10_weather_minutes", """
 SELECT MAKE_DATE(year, month, 1) AS time, SUM(total_weather_delay_min) AS weather_delay_minutes
 FROM reasons GROUP BY year, month ORDER BY time""")
 def _(lk):
-    return serving.weather_minutes(lk.reasons)
+    return serving.weather_minutes(lk.served("agg_delay_reason"))
 
 
 _RANGE = (1997, 1999)
@@ -178,21 +179,21 @@ _RANGE = (1997, 1999)
 @query("d11_flights_in_range", """
 SELECT CAST(SUM(total_flights) AS BIGINT) AS total_flights FROM carriers WHERE year BETWEEN 1997 AND 1999""")
 def _(lk):
-    return serving.total_flights(lk.carriers, _RANGE)
+    return serving.total_flights(lk.served("agg_carrier_performance"), _RANGE)
 
 
 @query("d12_delayed_flights", """
 SELECT ROUND(SUM(total_flights * arr_delay_rate), 0) AS delayed_flights
 FROM carriers WHERE year BETWEEN 1997 AND 1999""")
 def _(lk):
-    return serving.delayed_flights(lk.carriers, _RANGE)
+    return serving.delayed_flights(lk.served("agg_carrier_performance"), _RANGE)
 
 
 @query("d13_overall_delay_percent", """
 SELECT ROUND(SUM(total_flights * arr_delay_rate) / SUM(total_flights) * 100, 1) AS overall_delay_rate_pct
 FROM carriers WHERE year BETWEEN 1997 AND 1999""")
 def _(lk):
-    return serving.overall_delay_percent(lk.carriers, _RANGE)
+    return serving.overall_delay_percent(lk.served("agg_carrier_performance"), _RANGE)
 
 
 @query("d14_monthly_trend", """
@@ -200,14 +201,14 @@ SELECT MAKE_DATE(year, month, 1) AS flight_date, ROUND(avg_arr_delay, 2) AS avg_
   ROUND(avg_dep_delay, 2) AS avg_departure_delay_min
 FROM monthly WHERE year BETWEEN 1997 AND 1999 ORDER BY flight_date""")
 def _(lk):
-    return serving.monthly_trend(lk.monthly, _RANGE)
+    return serving.monthly_trend(lk.served("agg_monthly_delay"), _RANGE)
 
 
 @query("d15_hour_weekday_map", """
 SELECT dep_hour AS departure_hour, day_of_week, ROUND(AVG(delay_rate) * 100, 1) AS delay_rate_pct
 FROM hourly GROUP BY dep_hour, day_of_week ORDER BY 1, 2""")
 def _(lk):
-    return serving.hour_weekday_map(lk.hourly)
+    return serving.hour_weekday_map(lk.served("agg_hourly_delay"))
 
 
 @query("d16_cause_shares", """
@@ -217,21 +218,21 @@ SELECT airline_code, ROUND(AVG(pct_carrier) * 100, 1) AS carrier_delay_pct,
 FROM reasons WHERE year BETWEEN 1997 AND 1999 GROUP BY airline_code
 ORDER BY carrier_delay_pct DESC, airline_code LIMIT 10""")
 def _(lk):
-    return serving.cause_shares(lk.reasons, _RANGE)
+    return serving.cause_shares(lk.served("agg_delay_reason"), _RANGE)
 
 
 @query("d17_busiest_routes", """
 SELECT route, CAST(SUM(total_flights) AS BIGINT) AS total, ROUND(AVG(arr_delay_rate), 9) AS rate
 FROM routes WHERE year BETWEEN 1997 AND 1999 GROUP BY route ORDER BY total DESC, route LIMIT 10""")
 def _(lk):
-    return rounded(serving.busiest_routes(lk.routes, _RANGE))
+    return rounded(serving.busiest_routes(lk.served("agg_route_performance"), _RANGE))
 
 
 @query("d18_worst_airports_any_role", """
 SELECT airport_code, ROUND(AVG(delay_rate) * 100, 2) AS rate FROM airports
 WHERE year BETWEEN 1997 AND 1999 GROUP BY airport_code ORDER BY rate DESC, airport_code LIMIT 10""")
 def _(lk):
-    return serving.worst_airports_any_role(lk.airports, _RANGE)
+    return serving.worst_airports_any_role(lk.served("agg_airport_performance"), _RANGE)
 
 
 @query("d19_yearly_trend", """
@@ -294,7 +295,7 @@ def _(lk):
 SELECT {_KEY}, ROUND(route_carrier_arr_delay_rate_prev, 9) AS route_carrier_arr_delay_rate_prev FROM period""")
 def _(lk):
     keys = ["Origin", "Dest", S.CARRIER]
-    stats = history.period_statistics(history.cells(lk.clean, []), keys, [])
+    stats = stage(history.period_statistics(history.cells(lk.clean, []), keys, []), "route-carriers")
     joined = attach(lk.clean, stats, keys)
     return rounded(joined.select(*S.FLIGHT_KEY, "route_carrier_arr_delay_rate_prev"))
 

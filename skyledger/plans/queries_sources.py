@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger import schemas as S
-from skyledger.plans.lake import LANDED_COLUMNS, LANDED_FOLDERS, RUN_ID
+from skyledger.plans.lake import LANDED_FOLDERS, RUN_ID
 from skyledger.plans.registry import query, rounded
 from skyledger.sources import blocks, files, sinks
 from skyledger.sources.staging import new_path, shared_dir
@@ -21,7 +21,8 @@ def _(lk):
 @query("s2_year_read", f"""
 SELECT {_KEYS}, source_year, source_month FROM flights WHERE source_year = 1998 AND source_month BETWEEN 1 AND 12""")
 def _(lk):
-    return files.read_year(lk.clean, 1998).select(*S.FLIGHT_KEY, "source_year", "source_month")
+    table = lk.spark.read.parquet(lk.month_table)
+    return files.read_year(table, 1998).select(*S.FLIGHT_KEY, "source_year", "source_month")
 
 
 _SCORING = ["flight_month", "flight_day", "day_of_week", "dep_hour", "season", S.CARRIER, "Origin", "Dest",
@@ -33,7 +34,8 @@ _HISTORY = S.HISTORY_COLUMNS + S.CAUSE_HISTORY_COLUMNS
 @query("s4_pruned_year_read", "SELECT " + ", ".join(
     f"ROUND({c}, 9) AS {c}" if c in _HISTORY else c for c in _SCORING) + " FROM features WHERE flight_year = 1999")
 def _(lk):
-    return rounded(lk.features.filter("flight_year = 1999").select(*_SCORING))
+    table = lk.spark.read.parquet(lk.feature_months)
+    return rounded(files.read_year(table, 1999).select(*_SCORING))
 
 
 @query("s5_parquet_count", "SELECT l_returnflag, COUNT(*) AS n FROM lineitem GROUP BY l_returnflag")
@@ -43,14 +45,17 @@ def _(lk):
 
 
 def _csv(lk, year=None, month=None):
-    return files.read_landing_csv(lk.spark, lk.landing_folder, year, month, LANDED_COLUMNS, LANDED_FOLDERS)
+    return files.read_landing_csv(lk.spark, lk.landing_folder, year, month, keys=LANDED_FOLDERS)
+
 
+_BLANKS = {"Origin", "Dest", "CancellationCode"}
 
-@query("s6_csv_read", """
-SELECT FlightDate, IATA_CODE_Reporting_Airline, Flight_Number_Reporting_Airline, NULLIF(Origin, '') AS Origin,
-  NULLIF(Dest, '') AS Dest, CRSDepTime, ArrDelay, NULLIF(CancellationCode, '') AS CancellationCode, CAST(Year AS INTEGER) AS source_year, CAST(Month AS INTEGER) AS source_month FROM raw""")
+
+@query("s6_csv_read", "SELECT " + ", ".join(
+    f"NULLIF({c}, '') AS {c}" if c in _BLANKS else c for c in S.INGEST_COLUMNS) + """,
+  CAST(Year AS INTEGER) AS source_year, CAST(Month AS INTEGER) AS source_month FROM raw""")
 def _(lk):
-    return _csv(lk).select(*S.FLIGHT_KEY, "ArrDelay", "CancellationCode", "source_year", "source_month")
+    return _csv(lk).select(*S.INGEST_COLUMNS, "source_year", "source_month")
 
 
 @query("s7_folder_filter", """
@@ -108,10 +113,9 @@ def _by_month(df):
     )
 
 
-@query("s3_month_partition_read", _PART_SQL + " WHERE FlightDate BETWEEN DATE '1998-01-01' AND DATE '1998-06-30' GROUP BY ALL")
+@query("s3_month_partition_read", _PART_SQL + " WHERE FlightDate >= DATE '1998-01-01' AND FlightDate < DATE '1999-01-01' GROUP BY ALL")
 def _(lk):
-    table = lk.spark.read.parquet(lk.month_table)
-    return _by_month(table.filter("flight_year_part = 1998 AND flight_month_part BETWEEN 1 AND 6"))
+    return _by_month(files.read_year(lk.spark.read.parquet(lk.month_table), 1998))
 
 
 @query("s11_month_layout", _PART_SQL + " GROUP BY ALL")
@@ -128,19 +132,17 @@ def _(lk):
 
 
 @query("s21_monthly_pull", """
-SELECT flight_year, flight_month, COUNT(*) AS n FROM scheduled WHERE flight_year BETWEEN 1997 AND 1998 GROUP BY ALL""")
+SELECT FlightDate, Origin, Dest, CRSDepTime, carrier AS IATA_CODE_Reporting_Airline, Flight_Number_Reporting_Airline,
+  route, distance_bucket, ArrDel15 AS arr_del15_label FROM scheduled WHERE flight_year BETWEEN 1997 AND 1998""")
 def _(lk):
-    pulled = files.pull_months(lk.features, (1997, 1998))
-    return pulled.groupBy("flight_year", "flight_month").agg(F.count("*").alias("n"))
+    pulled = files.pull_months(lk.spark.read.parquet(lk.feature_months), (1997, 1998))
+    return pulled.select(*S.FLIGHT_KEY, "route", "distance_bucket", "arr_del15_label")
 
 
 @query("s22_block_totals", """
 SELECT COUNT(*) AS rows, CAST(SUM(COALESCE(ArrDel15, 0)) AS BIGINT) AS late, SUM(Distance) AS miles FROM flights""")
 def _(lk):
-    partial = blocks.process_blocks(
-        lk.features.select("arr_del15_label", "Distance"), blocks.label_totals, "rows bigint, late bigint, miles double"
-    )
-    return partial.agg(*[F.sum(c).alias(c) for c in ("rows", "late", "miles")])
+    return blocks.label_totals(lk.features)
 
 
 # --- messages and streams
@@ -170,7 +172,7 @@ def _(lk):
 def _stream(lk, rows_of, name: str, files_per_trigger=None):
     """Land the lake's messages by a stream that ends when all files are read."""
     source = new_path(lk.spark, f"{name}-in")
-    lk.messages.repartition(4).write.text(source)
+    lk.messages.write.text(source)
     table = new_path(lk.spark, f"{name}-table")
     checkpoint = f"{shared_dir(lk.spark)}/skyledger/stream-checkpoints/{table.rsplit('/', 1)[1]}"
     lines = landing.file_lines(lk.spark, source, files_per_trigger)
@@ -202,12 +204,14 @@ def _(lk):
 
 
 @query("r4_arrival_time", f"""
-SELECT COUNT(*) AS n, COUNT(*) AS stamped FROM raw WHERE {_GOOD}""")
+SELECT Flight_Number_Reporting_Airline, TRY_CAST(FlightDate AS DATE) AS FlightDate, NULLIF(TRIM(Origin), '') AS Origin,
+  true AS stamped FROM raw WHERE {_GOOD}""")
 def _(lk):
     table, schema = _stream(lk, landing.landed_rows, "stamped", files_per_trigger=1)
     landed = landing.good_rows(lk.spark, table, schema)
+    # the messages' own times lie in the last century
     recent = F.col("ingest_ts") > F.lit("2020-01-01").cast("timestamp")
-    return landed.agg(F.count("*").alias("n"), F.count_if(recent).alias("stamped"))
+    return landed.select("Flight_Number_Reporting_Airline", "FlightDate", "Origin", recent.alias("stamped"))
 
 
 _EVENT_FIELDS = T.StructType([
@@ -219,29 +223,61 @@ _EVENT_FIELDS = T.StructType([
 
 @query("r5_paced_replay", "SELECT event_type, COUNT(*) AS n, ROUND(SUM(value), 6) AS total FROM events GROUP BY event_type")
 def _(lk):
-    table, schema = _event_stream(lk, copies=1)
+    table, schema = _event_stream(lk)
     landed = landing.good_rows(lk.spark, table, schema)
     return landed.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))
 
 
-@query("r6_resends_dropped", "SELECT event_id, user_id, event_type FROM events")
+_BALANCE_SQL = """
+SELECT (SELECT COUNT(*) FROM events) + COUNT(*) FILTER (event_id % 3 = 0)
+    + 2 * COUNT(*) FILTER (event_id % 10 = 0) AS sent,
+  (SELECT COUNT(*) FROM events) AS good, COUNT(*) FILTER (event_id % 3 = 0) AS resent,
+  2 * COUNT(*) FILTER (event_id % 10 = 0) AS dead FROM events"""
+
+
+@query("r6_resends_dropped", "SELECT event_id, user_id, event_type, value FROM events")
 def _(lk):
-    table, schema = _event_stream(lk, copies=2, drop=True)
-    return landing.good_rows(lk.spark, table, schema).select("event_id", "user_id", "event_type")
+    table, schema = _event_stream(lk, faulty=True)
+    landed = landing.good_rows(lk.spark, table, schema)
+    return landing.without_resends(landed, ["event_id"], "sent_at").select("event_id", "user_id", "event_type", "value")
 
 
-def _event_stream(lk, copies: int, drop: bool = False):
-    """Events as messages, each sent ``copies`` times, landed a file at a time."""
-    events = lk.table("events").select(
-        "event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("sent_at"),
-        F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("_copy"),
+@query("r6_message_balance", _BALANCE_SQL)
+def _(lk):
+    """Every message of a faulty feed is good, sent again or a dead letter."""
+    table, schema = _event_stream(lk, faulty=True)
+    landed = landing.good_rows(lk.spark, table, schema)
+    kept = landing.without_resends(landed, ["event_id"], "sent_at")
+    letters = landing.dead_letters(lk.spark, table, schema)
+    counts = [(landed, "landed"), (kept, "good"), (letters, "dead")]
+    rows = counts[0][0].select(F.lit("landed").alias("what"))
+    for df, name in counts[1:]:
+        rows = rows.union(df.select(F.lit(name)))
+    totals = rows.agg(*[F.count_if(F.col("what") == name).alias(name) for _, name in counts])
+    return totals.select(
+        (F.col("landed") + F.col("dead")).alias("sent"), "good", (F.col("landed") - F.col("good")).alias("resent"), "dead",
     )
+
+
+def _event_stream(lk, faulty: bool = False):
+    """Events as messages, landed a file at a time.
+
+    A faulty feed holds a third of the events twice, a broken and a blank message for
+    every tenth, and sends its oldest events last.
+    """
+    events = lk.table("events").withColumn("sent_at", F.col("ts").cast("timestamp"))
+    body = F.to_json(F.struct(*[f.name for f in _EVENT_FIELDS.fields])).alias("value")
     source, table = new_path(lk.spark, "events-in"), new_path(lk.spark, "events-table")
-    body = F.to_json(F.struct(*[f.name for f in _EVENT_FIELDS.fields]))
-    events.select(body.alias("value")).repartition(4).write.text(source)
-    rows = messages.parse_messages(landing.file_lines(lk.spark, source, 2), _EVENT_FIELDS)
-    if drop:
-        rows = landing.without_resends(rows, ["event_id"], "sent_at", "60 days")
+    if faulty:
+        early = F.col("event_id") % 7 == 0
+        events.filter(~early).select(body).write.text(source)
+        events.filter("event_id % 3 = 0").select(body).write.mode("append").text(source)
+        spoilt = F.array(F.substring(F.to_json(F.struct("event_id", "event_type")), 1, 12), F.lit("  "))
+        events.filter("event_id % 10 = 0").select(F.explode(spoilt).alias("value")).write.mode("append").text(source)
+        events.filter(early).select(body).write.mode("append").text(source)
+    else:
+        events.select(body).write.text(source)
+    rows = messages.parse_messages(landing.file_lines(lk.spark, source, 1), _EVENT_FIELDS)
     checkpoint = f"{shared_dir(lk.spark)}/skyledger/stream-checkpoints/{table.rsplit('/', 1)[1]}"
     landing.start_landing(rows, table, checkpoint).awaitTermination()
     return table, rows.schema

@@ -57,12 +57,13 @@ TABLES_SQL = {
     CAST(EXTRACT(DAY FROM d) AS VARCHAR) AS DayofMonth,
     CAST(ISODOW(d) AS VARCHAR) AS DayOfWeek,
     brand AS Reporting_Airline,
+    CAST(19000 + l_suppkey % 100 AS VARCHAR) AS DOT_ID_Reporting_Airline,
     CASE WHEN k % 103 = 0 THEN '  ' ELSE brand END AS IATA_CODE_Reporting_Airline,
     'N' || l_suppkey AS Tail_Number,
     CAST(l_partkey AS VARCHAR) AS Flight_Number_Reporting_Airline,
     CAST(o_id AS VARCHAR) AS OriginAirportID,
     CASE WHEN k % 113 = 0 THEN '' ELSE o_name END AS Origin,
-    o_name || ' City' AS OriginCityName, o_reg AS OriginState,
+    CASE WHEN k % 61 = 0 THEN o_name || ' "Old" City, ' || o_reg ELSE o_name || ' City' END AS OriginCityName, o_reg AS OriginState,
     o_reg || ' Region' AS OriginStateName,
     CAST(d_id AS VARCHAR) AS DestAirportID,
     CASE WHEN k % 127 = 0 THEN '' ELSE d_name END AS Dest,
@@ -102,7 +103,7 @@ TABLES_SQL = {
     CAST(TRUNC(TRY_CAST(Month AS DOUBLE)) AS INTEGER) AS Month,
     CAST(TRUNC(TRY_CAST(DayofMonth AS DOUBLE)) AS INTEGER) AS DayofMonth,
     CAST(TRUNC(TRY_CAST(DayOfWeek AS DOUBLE)) AS INTEGER) AS DayOfWeek,
-    Reporting_Airline, NULLIF(TRIM(IATA_CODE_Reporting_Airline), '') AS IATA_CODE_Reporting_Airline,
+    Reporting_Airline, DOT_ID_Reporting_Airline, NULLIF(TRIM(IATA_CODE_Reporting_Airline), '') AS IATA_CODE_Reporting_Airline,
     Tail_Number, Flight_Number_Reporting_Airline,
     CAST(OriginAirportID AS INTEGER) AS OriginAirportID, NULLIF(TRIM(Origin), '') AS Origin,
     OriginCityName, NULLIF(TRIM(OriginState), '') AS OriginState, OriginStateName,

@@ -3,14 +3,22 @@
 Landing folders are laid out as ``year=YYYY/month=MM``.
 """
 
+import csv
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger import schemas as S
+from skyledger.operators.joins import attach
+from skyledger.sources.sinks import MONTH_PARTITION
 from skyledger.sources.staging import stage
 
 
 KEYS = ("year", "month")
+WHOLE_FILE = 1 << 30  # larger files are digested in pieces
+PIECE = 8 << 20
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -18,9 +26,11 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def read_year(df: DataFrame, year: int, months: tuple[int, int] = (1, 12)) -> DataFrame:
-    """One year of a table, as a filter that reaches the scan."""
-    return df.filter((F.col("source_year") == year) & F.col("source_month").between(*months))
+def read_year(
+    df: DataFrame, year: int, months: tuple[int, int] = (1, 12), keys: tuple[str, str] = tuple(MONTH_PARTITION),
+) -> DataFrame:
+    """One year of a table laid out by month; only that year's folders are read."""
+    return df.filter((F.col(keys[0]) == year) & F.col(keys[1]).between(*months))
 
 
 def landing_path(folder: str, year: int | None, month: int | None, keys: tuple[str, str] = KEYS) -> str:
@@ -37,45 +47,95 @@ def path_number(key: str, path: str = "_metadata.file_path") -> Column:
     return F.regexp_extract(F.col(path), rf"/{key}=0*([0-9]+)/", 1).try_cast("int")
 
 
+def header_lines(
+    spark: SparkSession, folder: str, required: list[str] = S.REQUIRED_FILE_COLUMNS, pattern: str = "*",
+) -> DataFrame:
+    """(file_path, header) of files whose first line names at least one required column.
+
+    Of the lines in the splits at offset 0 only those that hold such a name go on,
+    hardly more than one per file; the one at the lowest place is the header.
+    """
+    text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder)
+    placed = text.select(
+        F.col("_metadata.file_path").alias("file_path"), "value",
+        (F.col("_metadata.file_block_start") == 0).alias("first_split"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    named = placed.filter(F.col("first_split") & F.col("value").rlike("|".join(required)))
+    return named.groupBy("file_path").agg(F.min_by("value", "place").alias("header"))
+
+
+def header_names(header: str) -> list[str]:
+    """Column names of a header line."""
+    return [name.strip().lstrip("\ufeff") for name in next(csv.reader([header]))]
+
+
 def read_landing_csv(
     spark: SparkSession, folder: str, year: int | None = None, month: int | None = None,
     columns: list[str] = S.INGEST_COLUMNS, keys: tuple[str, str] = KEYS,
 ) -> DataFrame:
-    """Landing files as text columns picked by header name, plus file, year and month.
+    """Landing files as text columns picked by each file's own header, plus file, year and month.
+
+    Files may have their columns in any order; one without a wanted column is an error.
+    A blank field is null, a doubled quote inside quotes is one. Bytes that are not UTF-8
+    come out as replacement characters. The folder numbers are taken from the path, since
+    the files have columns of the same names.
 
-    All files must have the header of the first one; another order or set of
-    names is an error instead of values under the wrong name. A blank field is
-    null. Bytes that are not UTF-8 come out as replacement characters. The folder numbers are taken from
-    the path, since the files have columns of the same names.
+    Headers come from a pass over the files' first splits; only the distinct ones, one per
+    layout, reach the driver. Files of one layout are read by name; several layouts are
+    read once by position, each row with its file's layout.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("recursiveFileLookup", True)
-        .csv(landing_path(folder, year, month, keys))
+    path = landing_path(folder, year, month, keys)
+    heads = stage(header_lines(spark, path), "csv-headers")
+    headers = [r["header"] for r in heads.select("header").distinct().orderBy("header").collect()]
+    layouts = [header_names(h) for h in headers]
+    for names in layouts:
+        if lacking := [c for c in columns if c not in names]:
+            raise ValueError(f"a file's header lacks {', '.join(lacking)}")
+    if not layouts:
+        raise ValueError(f"no file below {path} has a header")
+    width = max(map(len, layouts))
+    plain = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    rows = (
+        spark.read.schema(plain).option("header", True).option("enforceSchema", True).option("quote", '"')
+        .option("escape", '"').option("recursiveFileLookup", True).csv(path)
     )
-    return df.select(
-        *columns,
+    origin = [
         F.col("_metadata.file_name").alias("source_file"),
         path_number(keys[0]).alias("source_year"),
         path_number(keys[1]).alias("source_month"),
+    ]
+    if len(layouts) == 1:
+        return rows.select(*[F.col(f"_c{layouts[0].index(c)}").alias(c) for c in columns], *origin)
+    layout = F.coalesce(*[F.when(F.col("header") == h, F.lit(i)) for i, h in enumerate(headers)])
+    numbered = stage(heads.select("file_path", layout.alias("_layout")), "csv-layouts")
+    placed = attach(
+        rows.select("*", *origin, F.col("_metadata.file_path").alias("file_path")), numbered, ["file_path"], how="left"
     )
 
+    def pick(name: str) -> Column:
+        return F.coalesce(*[F.when(F.col("_layout") == i, F.col(f"_c{names.index(name)}")) for i, names in enumerate(layouts)])
+
+    return placed.select(*[pick(c).alias(c) for c in columns], "source_file", "source_year", "source_month")
+
 
 def write_landing_csv(df: DataFrame, folder: str, keys: tuple[str, str]) -> None:
-    """Write text columns as landing files in month folders, values unchanged.
+    """Add text columns as landing files in month folders, values unchanged, quotes doubled.
 
     The key columns only name folders. A rebalance gives each month few files
     and splits a month that is too large for one.
     """
-    writer = df.hint("rebalance", *keys).write.partitionBy(*keys).option("header", True)
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    writer = df.hint("rebalance", *keys).write.partitionBy(*keys).mode("append").option("header", True)
+    writer.option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
 
 
 def pull_months(
-    df: DataFrame, years: tuple[int, int], year: str = "flight_year", month: str = "flight_month"
+    df: DataFrame, years: tuple[int, int], year: str = MONTH_PARTITION[0], month: str = MONTH_PARTITION[1]
 ) -> DataFrame:
-    """All months of a range of years as one staged table; months without rows add nothing."""
+    """All months of a range of years of a table laid out by month, as one staged table.
+
+    Months without rows add nothing; only the years' folders are read.
+    """
     wanted = df.filter(F.col(year).between(*years) & F.col(month).between(1, 12))
     return stage(wanted, "pulled-months")
 
@@ -83,23 +143,16 @@ def pull_months(
 def file_lines(
     spark: SparkSession, folder: str, pattern: str = "*.csv", keys: tuple[str, str] = KEYS
 ) -> DataFrame:
-    """(file_path, year, month, data_rows, header) per file, from one pass over the lines.
+    """(file_path, year, month, data_rows, header) per file that is not empty.
 
-    The header is the line at the lowest position of the split at offset 0. Lines
-    are counted per task first, so a file of any size is spread over its splits.
+    Lines are counted by path alone, with partial counts per task, so a file of any size
+    is spread over its splits and no line is sorted. The headers come from a pass of
+    their own; a first line without any required name counts as no header.
     """
     text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder)
-    first_split = F.col("_metadata.file_block_start") == 0
-    # only the first split of a file carries its text any further
-    lines = text.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.when(first_split, F.col("value")).alias("value"),
-        first_split.alias("first_split"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    head = F.min_by("value", F.when(F.col("first_split"), F.col("place")))
-    counted = lines.groupBy("file_path").agg(F.count("*").alias("lines"), head.alias("header"))
-    return counted.select(
+    counted = text.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("lines"))
+    heads = header_lines(spark, folder, pattern=pattern)
+    return counted.join(heads, "file_path", "left").select(
         "file_path", path_number(keys[0], "file_path").alias("year"),
         path_number(keys[1], "file_path").alias("month"), (F.col("lines") - 1).alias("data_rows"), "header",
     )
@@ -125,28 +178,62 @@ def _whole_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return reader.option("recursiveFileLookup", True).load(folder)
 
 
-def listed_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(file_path) of all files, also empty ones, which a read leaves out.
+def file_sizes(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """(file_path, file_size_bytes, download_timestamp) of files that are not empty; no content is read."""
+    return _whole_files(spark, folder, pattern).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size_bytes"),
+        F.col("modificationTime").alias("download_timestamp"),
+    )
+
+
+def empty_files(spark: SparkSession, folder: str, pattern: str, found: DataFrame, keys: tuple[str, str] = KEYS) -> DataFrame:
+    """(file_path) of files in months of which ``found`` (year, month) has none.
 
-    It is the listing that planning a read needs anyway; no content is read.
+    A read leaves empty files out, so they come from the listing that planning a read
+    makes anyway. Only paths of months without a file that holds something go back.
     """
-    paths = _whole_files(spark, folder, pattern).inputFiles()
+    full = {(r["year"], r["month"]) for r in found.select("year", "month").distinct().collect()}
+    number = [re.compile(rf"/{k}=0*([0-9]+)/") for k in keys]
+
+    def month_of(path: str) -> tuple:
+        return tuple(int(m[1]) if (m := n.search(path)) else None for n in number)
+
+    paths = [p for p in _whole_files(spark, folder, pattern).inputFiles() if month_of(p) not in full]
     listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
     return listed.withColumn("file_path", F.regexp_replace("file_path", "^file:/+", "file:/"))
 
 
-def file_digests(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(file_path, file_size_bytes, checksum_sha256) of whole files.
+def _stream_digests(batches):
+    """Digests of whole files, read in pieces."""
+    import hashlib
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for batch in batches:
+        digests = []
+        for path in batch.column("file_path").to_pylist():
+            store, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+            digest = hashlib.sha256()
+            with store.open_input_stream(place) as file:
+                while piece := file.read(PIECE):
+                    digest.update(piece)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("file_path"), pa.array(digests, pa.string())], names=["file_path", "checksum_sha256"])
+
 
-    A digest needs its file in one piece; Spark reads one file per row, up to the
-    2 GB its binary source allows.
+def file_digests(spark: SparkSession, folder: str, pattern: str = "*.csv", whole: int = WHOLE_FILE) -> DataFrame:
+    """(file_path, checksum_sha256) of all files that are not empty.
+
+    A digest needs its file's bytes in order. Files up to ``whole`` bytes are read as one
+    value each; larger ones are read piece by piece inside a task, through the file
+    system that their address names. The filter on the length reaches the reader.
     """
-    return _whole_files(spark, folder, pattern).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("length").alias("file_size_bytes"),
-        F.sha2(F.col("content"), 256).alias("checksum_sha256"),
-        F.col("modificationTime").alias("download_timestamp"),
-    )
+    found = _whole_files(spark, folder, pattern)
+    path = F.col("_metadata.file_path").alias("file_path")
+    small = found.filter(F.col("length") <= whole).select(path, F.sha2(F.col("content"), 256).alias("checksum_sha256"))
+    large = found.filter(F.col("length") > whole).select(path)
+    return small.unionByName(large.mapInArrow(_stream_digests, "file_path string, checksum_sha256 string"))
 
 
 def file_manifest(
@@ -156,14 +243,16 @@ def file_manifest(
     """One row per (year, month): size, digest, rows, and missing, invalid or extracted.
 
     ``expected`` (year, month) adds months for which there is no file. When a month
-    has several files the newest one counts.
+    has several files the newest one counts; a file that holds something goes before an
+    empty one.
     """
     lines = check_headers(file_lines(spark, folder, pattern, keys)).drop("year", "month")
-    digests = file_digests(spark, folder, pattern)
     numbers = {n: path_number(k, "file_path") for n, k in zip(("year", "month"), keys)}
+    sizes = stage(file_sizes(spark, folder, pattern).withColumns(numbers), "file-sizes")
+    empty = empty_files(spark, folder, pattern, sizes, keys).withColumns(numbers)
     found = (
-        listed_files(spark, folder, pattern).join(lines, "file_path", "left")
-        .join(digests, "file_path", "left").withColumns(numbers)
+        sizes.unionByName(empty, allowMissingColumns=True).join(lines, "file_path", "left")
+        .join(file_digests(spark, folder, pattern), "file_path", "left")
     )
     newest = F.struct("download_timestamp", "file_path")
     body = F.struct(

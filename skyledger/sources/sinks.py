@@ -9,6 +9,12 @@ MONTH_PARTITION = ["flight_year_part", "flight_month_part"]
 SORT_ORDER = ["FlightDate", S.CARRIER, "Origin", "Dest"]
 
 
+def with_month(df: DataFrame, date_column: str = "FlightDate") -> DataFrame:
+    """Adds the year and month that tables are laid out by."""
+    day = F.col(date_column)
+    return df.withColumns(dict(zip(MONTH_PARTITION, (F.year(day), F.month(day)))))
+
+
 def lay_out_by_month(df: DataFrame, date_column: str = "FlightDate") -> DataFrame:
     """Rows brought together by month and sorted inside each task.
 
@@ -16,10 +22,8 @@ def lay_out_by_month(df: DataFrame, date_column: str = "FlightDate") -> DataFram
     month that is far larger than the others over several tasks and merges small
     ones, so one busy month does not become one writer.
     """
-    day = F.col(date_column)
-    dated = df.withColumns(dict(zip(MONTH_PARTITION, (F.year(day), F.month(day)))))
     order = [c for c in SORT_ORDER if c in df.columns]
-    return dated.hint("rebalance", *MONTH_PARTITION).sortWithinPartitions(*MONTH_PARTITION, *order)
+    return with_month(df, date_column).hint("rebalance", *MONTH_PARTITION).sortWithinPartitions(*MONTH_PARTITION, *order)
 
 
 def write_by_month(df: DataFrame, path: str, date_column: str = "FlightDate") -> None:

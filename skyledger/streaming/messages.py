@@ -16,15 +16,14 @@ def to_messages(df: DataFrame, columns: list[str] = S.INGEST_COLUMNS) -> DataFra
 
     In the numeric columns of the message layout a value that reads as a number
     is sent as one and anything else as text, for the receiver to turn down.
-    Blanks are left out.
+    Blanks are left out; a missing column is an error.
     """
-    body = [c for c in columns if c in df.columns]
     texts = {f.name for f in message_schema().fields if isinstance(f.dataType, T.StringType)}
     ingest = F.col("ingest_ts") if "ingest_ts" in df.columns else F.current_timestamp()
     origin = [c for c in ("source_file", "source_year", "source_month") if c in df.columns]
-    tidy = tidy_values(df.withColumn("ingest_ts", ingest.cast("string")), [c for c in body if c in texts])
-    tidy = tidy_values(tidy, [c for c in body if c not in texts], "variant")
-    return tidy.select(F.to_json(F.struct(*body, "ingest_ts", *origin)).alias("value"))
+    tidy = tidy_values(df.withColumn("ingest_ts", ingest.cast("string")), [c for c in columns if c in texts])
+    tidy = tidy_values(tidy, [c for c in columns if c not in texts], "variant")
+    return tidy.select(F.to_json(F.struct(*columns, "ingest_ts", *origin)).alias("value"))
 
 
 def message_schema() -> T.StructType:
@@ -34,13 +33,14 @@ def message_schema() -> T.StructType:
 def parse_messages(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` plus ``message`` and ``broken``.
 
-    A line that is no object, or has a value of the wrong kind, is broken; its text
-    is kept in ``message`` so that nothing is lost.
+    A line that is no object, or has a value of the wrong kind, is broken, and so are
+    blank and null ones; its text is kept in ``message`` so that nothing is lost.
     """
     with_mark = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
     parsed = F.from_json("value", with_mark, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
-    rows = lines.filter(F.trim("value") != "").select("value", parsed.alias("m"))
-    broken = ~F.ltrim("value").startswith("{") | F.col(f"m.{BROKEN}").isNotNull()
+    rows = lines.select("value", parsed.alias("m"))
+    is_object = F.coalesce(F.ltrim("value").startswith("{"), F.lit(False))
+    broken = ~is_object | F.col(f"m.{BROKEN}").isNotNull()
     return rows.select(
         *[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields],
         F.when(broken, F.col("value")).alias("message"),

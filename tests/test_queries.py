@@ -7,6 +7,7 @@ import pytest
 
 from conftest import DATA
 from skyledger.plans.catalogue import ORACLES, QUERIES
+from skyledger.plans.lake import lake
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -53,8 +54,23 @@ def test_plans_hold_no_cross_joins_or_row_functions(spark, name):
         assert bad not in plan
 
 
-def test_filters_and_columns_reach_the_scan(spark):
-    plan = QUERIES["s2_year_read"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(source_year,1998)" in plan
+def plan_of(spark, name):
+    return QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["s2_year_read", "s3_month_partition_read", "s4_pruned_year_read"])
+def test_a_year_reads_its_own_folders(spark, name):
+    plan = plan_of(spark, name)
+    assert "flight_year_part" in plan.split("PartitionFilters: ")[1].split("]")[0]
     scan = plan.split("ReadSchema: ")[1]
-    assert "Distance" not in scan and "ArrDelay" not in scan
+    assert "ArrDelayMinutes" not in scan and "TailNumber" not in scan
+
+
+DASHBOARDS = [n for n in QUERIES if n.startswith("d") and int(n[1:].split("_")[0]) <= 18]
+
+
+@pytest.mark.parametrize("name", DASHBOARDS)
+def test_dashboards_read_stored_rollups_only(spark, name):
+    lake(spark, DATA).rollup_folder  # stored before, as by the aggregate job
+    read = QUERIES[name](spark, DATA).inputFiles()
+    assert read and all("/rollups-" in path and "/agg_" in path for path in read)
