@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from skyledger import schemas as S
 from skyledger.functions import expressions as X
 from skyledger.operators.quantiles import exact_quantiles
+from skyledger.sources.staging import stage
 
 
 def column_profile(
@@ -144,8 +145,26 @@ def rows_by(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("rows"))
 
 
+def _sums(c: str) -> dict[str, Column]:
+    """What mean, deviation and maximum can be put together from."""
+    x = F.col(c)
+    return {"n": F.count(x), "sum": F.sum(x), "squares": F.sum(x * x), "max": F.max(x)}
+
+
+def _from_sums(prefix: str) -> dict[str, Column]:
+    n, total, squares = (F.sum(f"{prefix}_{part}") for part in ("n", "sum", "squares"))
+    spread = F.greatest(squares - total * total / n, F.lit(0.0))
+    return {
+        "mean": F.when(n > 0, total / n), "std": F.when(n > 1, F.sqrt(spread / (n - 1))), "max_val": F.max(f"{prefix}_max"),
+    }
+
+
 def quality_summary(df: DataFrame, years: tuple[int, int] = S.YEARS) -> DataFrame:
-    """(metric_name, metric_value, year, month): the whole data set in long form."""
+    """(metric_name, metric_value, year, month): the whole data set in long form.
+
+    Three passes over the rows: one grouping by year, month and carrier that everything
+    additive comes from, the keys for the duplicates, and the value counts of the delays.
+    """
     def metric(frame: DataFrame, name: Column, value: Column, year=None, month=None) -> DataFrame:
         nothing = F.lit(None)
         return frame.select(
@@ -157,26 +176,29 @@ def quality_summary(df: DataFrame, years: tuple[int, int] = S.YEARS) -> DataFram
 
     critical = [*S.CRITICAL_COLUMNS, "Year"]
     flags, delays = ["DepDel15", "ArrDel15", "Cancelled"], ["DepDelayMinutes", "ArrDelayMinutes"]
-    total = F.count("*")
-    scalars = {"total_rows": total}
-    scalars |= {f"null_count_{c}": F.count_if(F.col(c).isNull()) for c in critical}
-    scalars["invalid_year_count"] = F.count_if(~F.col("Year").between(*years))
+    # one pass: everything that adds up, per year, month and carrier
+    parts = {"total_rows": F.count("*")}
+    parts |= {f"null_count_{c}": F.count_if(F.col(c).isNull()) for c in critical}
+    parts["invalid_year_count"] = F.count_if(~F.col("Year").between(*years))
+    parts |= {f"{c}_positive_count": F.count_if(F.col(c) == 1) for c in flags}
+    sums = {f"_{c}_{n}": part for c in delays for n, part in _sums(c).items()}
+    combos = stage(
+        df.groupBy("Year", "Month", S.CARRIER).agg(*[v.alias(k) for k, v in (parts | sums).items()]), "summary-parts"
+    )
+    total = F.sum("total_rows")
+    scalars = {name: F.coalesce(F.sum(name), F.lit(0)) for name in parts}
     for c in flags:
-        positive = F.count_if(F.col(c) == 1)
-        scalars[f"{c}_positive_count"] = positive
-        scalars[f"{c}_positive_rate"] = F.round(X.ratio_or_zero(positive, total), 6)
+        scalars[f"{c}_positive_rate"] = F.round(X.ratio_or_zero(F.sum(f"{c}_positive_count"), total), 6)
     for c in delays:
-        scalars |= {n: F.coalesce(m, F.lit(0.0)) for n, m in _moments(c).items()}
-    row = df.agg(*[v.alias(k) for k, v in scalars.items()])
+        scalars |= {f"{c}_{n}": F.coalesce(v, F.lit(0.0)) for n, v in _from_sums(f"_{c}").items()}
+    row = combos.agg(*[v.alias(k) for k, v in scalars.items()])
     name, value = F.col("metric_name"), F.col("metric_value")
 
     def part_name(prefix: str, c: str) -> Column:
         return F.concat(F.lit(prefix), F.coalesce(F.col(c).cast("string"), F.lit("None")))
 
-    # years, months and carriers are counted on one small table, whose exchange Spark reuses
-    combos = df.groupBy("Year", "Month", S.CARRIER).agg(F.count("*").alias("n"))
-    per_year, per_month = (combos.groupBy(c).agg(F.sum("n").alias("rows")) for c in ("Year", "Month"))
-    carriers = combos.groupBy(F.col(S.CARRIER).alias("airline_code")).agg(F.sum("n").alias("rows"))
+    per_year, per_month = (combos.groupBy(c).agg(F.sum("total_rows").alias("rows")) for c in ("Year", "Month"))
+    carriers = combos.groupBy(F.col(S.CARRIER).alias("airline_code")).agg(F.sum("total_rows").alias("rows"))
     duplicates = duplicate_estimate(df)
     pieces = [
         metric(to_long(row, list(scalars), "metric_name", "metric_value"), name, value),

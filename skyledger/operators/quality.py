@@ -36,13 +36,23 @@ def run_metrics(tagged: DataFrame, latest: DataFrame) -> DataFrame:
     return wide.select("year", *doubles).unpivot(["year"], RUN_METRICS, "metric_name", "metric_value")
 
 
-def cap_metrics(quantiles: DataFrame) -> DataFrame:
-    """(year, metric_name, metric_value) rows for caps; the year is null where one cap serves all."""
-    name = F.when(F.col("measure") == "DepDelayMinutes", "dep_delay_cap_p995").otherwise("arr_delay_cap_p995")
-    year = F.col("source_year") if "source_year" in quantiles.columns else F.lit(None).cast("int")
-    return quantiles.select(
-        year.alias("year"), name.alias("metric_name"), F.col("quantile").alias("metric_value")
-    )
+CAP_NAMES = {"DepDelayMinutes": "dep_delay_cap_p995", "ArrDelayMinutes": "arr_delay_cap_p995"}
+
+
+def cap_metrics(quantiles: DataFrame, years: DataFrame | None = None) -> DataFrame:
+    """(year, metric_name, metric_value) of both caps, as they are applied: without data the default.
+
+    ``years`` (source_year) lists the years that have caps of their own; without it one
+    cap serves all and the year is null.
+    """
+    measures = F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(n).alias("metric_name")) for m, n in CAP_NAMES.items()])
+    by = ["measure"] if years is None else ["source_year", "measure"]
+    groups = quantiles.sparkSession.range(1) if years is None else years.select("source_year").distinct()
+    expected = groups.select(*by[:-1], F.inline(measures))
+    applied = expected.join(quantiles.select(*by, "quantile"), by, "left")
+    year = F.lit(None).cast("int") if years is None else F.col("source_year")
+    value = F.coalesce("quantile", F.lit(S.CAP_WITHOUT_DATA))
+    return applied.select(year.alias("year"), "metric_name", value.alias("metric_value"))
 
 
 def _gate(name: str, passed: Column, value: Column, detail: str) -> Column:

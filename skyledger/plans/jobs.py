@@ -1,7 +1,8 @@
-"""The jobs of a run: profile, prepare, check, aggregate and train.
+"""The jobs of a run: land, profile, prepare, check, aggregate and train.
 
 Tables are Parquet folders below one root. Every job logs its start and its end,
-and rerunning it with the same run id replaces what it wrote.
+and rerunning it with the same run id replaces what it wrote. Landing is the
+exception: files replace their months, messages are only ever added.
 """
 
 import json
@@ -17,8 +18,9 @@ from skyledger import schemas as S
 from skyledger.operators import cleaning, features, history, modelling, profiling, quality, rollups
 from skyledger.operators.joins import attach
 from skyledger.plans.lake import DELAYS, cap_quantiles, caps_of, enrich
-from skyledger.sources import sinks
-from skyledger.sources.staging import stage
+from skyledger.sources import files, sinks
+from skyledger.sources.staging import stage, temporary
+from skyledger.streaming import landing
 
 @dataclass(frozen=True)
 class Run:
@@ -45,17 +47,26 @@ class Run:
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
 
 
+def first_line(problem: Exception) -> str:
+    """What to log of an exception; one without a text gives its kind."""
+    return next(iter(str(problem).splitlines()), "") or type(problem).__name__
+
+
 def logged(done: str):
-    """Log STARTED, then ``done`` with the job's message, or FAILED with the problem."""
+    """Log STARTED, then ``done`` with the job's message, or FAILED with the problem.
+
+    Tables staged by the job are removed when it ends.
+    """
     def wrap(job: Callable[..., str]):
         @wraps(job)
         def run_job(run: Run, *args, **kwargs) -> str:
             name = job.__name__
             run.log(name, "STARTED")
             try:
-                message = job(run, *args, **kwargs)
+                with temporary(run.spark):
+                    message = job(run, *args, **kwargs)
             except Exception as problem:
-                run.log(name, "FAILED", str(problem).splitlines()[0])
+                run.log(name, "FAILED", first_line(problem))
                 raise
             status = message if message.startswith("QUALITY_") else done
             run.log(name, status.split(":")[0], message)
@@ -66,6 +77,47 @@ def logged(done: str):
     return wrap
 
 
+RAW_FILES, RAW_STREAM = "ontime_raw_files", "ontime_raw_stream"
+SOURCE_MONTH = ["source_year", "source_month"]
+
+
+@logged("LANDING_COMPLETED")
+def land(run: Run, folder: str, kind: str = "files") -> str:
+    """Take a landing folder to the raw tables, laid out by month.
+
+    ``files`` are delimited, in month folders, and replace what those months held;
+    ``messages`` are lines of JSON, read by a stream that takes up where it stopped and
+    keeps broken lines as dead letters.
+    """
+    if kind == "files":
+        rows = files.read_landing_csv(run.spark, folder).withColumn("ingest_ts", F.current_timestamp())
+        writer = rows.hint("rebalance", *SOURCE_MONTH).write.partitionBy(*SOURCE_MONTH).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(run.path(RAW_FILES))
+        return f"files of {folder}"
+    lines = landing.file_lines(run.spark, folder)
+    checkpoint = f"{run.path('checkpoints')}/{RAW_STREAM}"
+    landing.start_landing(landing.landed_rows(lines), run.path(RAW_STREAM), checkpoint).awaitTermination()
+    return f"messages of {folder}"
+
+
+def landed(run: Run) -> DataFrame:
+    """Raw rows of both kinds as text, the dead letters left out; the input of ``profile`` and ``prepare``."""
+    from pyspark.errors import AnalysisException
+
+    columns = [*S.INGEST_COLUMNS, "source_file", "source_year", "source_month"]
+    found = []
+    for table in (RAW_FILES, RAW_STREAM):
+        try:
+            rows = run.read(table)
+        except AnalysisException:
+            continue
+        good = rows.filter(~F.col("broken")) if "broken" in rows.columns else rows
+        found.append(good.select(*[F.col(c).cast("string").alias(c) for c in columns], "ingest_ts"))
+    if not found:
+        raise ValueError(f"nothing has been landed below {run.root}")
+    return found[0].unionByName(found[1]) if len(found) > 1 else found[0]
+
+
 @logged("EDA_COMPLETED")
 def profile(run: Run, raw: DataFrame) -> str:
     """Column profile and quality summary of the raw records."""
@@ -87,40 +139,52 @@ def prepare(run: Run, raw: DataFrame, history_mode: str = "strict_prior", per_ye
     """
     by = ["source_year"] if per_year else []
     typed = cleaning.conform_types(quality.require_rows(raw, "the raw table"))
-    tagged = cleaning.tag_rejects(typed, run.years)
-    valid, rejected = cleaning.split_rows(typed, run.years)
+    tagged = stage(cleaning.tag_rejects(typed, run.years), "tagged-rows")  # raw is read and cast once
+    valid, rejected = (tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
+                       tagged.filter(F.col("reject_reason").isNotNull()))
     sinks.write_run(
         cleaning.reject_log(rejected, run.run_id), run.path("pipeline_rejected_rows"), "run_id"
     )
     clean = stage(cleaning.fill_unknowns(cleaning.latest_flights(valid)), "clean-flights")
     quality.require_rows(clean, "the table of valid rows")
 
-    metrics = quality.run_metrics(tagged, clean)
     caps = stage(cap_quantiles(clean, by=by), "caps")
-    metrics = metrics.unionByName(quality.cap_metrics(caps))
-
     flights = _with_yearly_caps(clean, caps) if per_year else enrich(clean, caps_of(caps))
     curated = flights.select(*S.CURATED_COLUMNS).withColumn("pipeline_run_id", F.lit(run.run_id))
-    sinks.write_by_month(curated, run.path("ontime_curated"))
+    sinks.write_by_month(curated, run.path("ontime_curated"), run=("pipeline_run_id", run.run_id))
     _write_stamped(run, flights.select(*S.POST_EVENT_COLUMNS), "ontime_post_event_analysis")
 
     known = history.lookup_for(clean, history_mode, by)
     table = features.feature_table(history.join_history(flights, known))
     _write_stamped(run, table, "ontime_features")
 
-    per_year_rows = run.read("ontime_features").groupBy(F.col("flight_year").alias("year")).agg(
-        F.count("*").cast("double").alias("metric_value")
-    ).withColumn("metric_name", F.lit("feature_row_count"))
-    run.write_metrics(metrics.unionByName(per_year_rows), "pipeline_quality_metrics", "prepare")
+    metrics = run_metrics(run, tagged, clean, caps, per_year)
+    run.write_metrics(metrics, "pipeline_quality_metrics", "prepare")
     counted = metrics.groupBy("metric_name").agg(F.sum("metric_value").alias("n")).collect()
     totals = {r["metric_name"]: int(r["n"] or 0) for r in counted}
     return (f"valid: {totals['valid_row_count']}, rejected: {totals['rejected_row_count']}, "
             f"duplicates: {totals['duplicate_count']}")
 
 
+def run_metrics(run: Run, tagged: DataFrame, clean: DataFrame, caps: DataFrame, per_year: bool) -> DataFrame:
+    """All metrics of a prepare run, staged: row counts, caps as applied, and the run's own feature rows per year."""
+    metrics = quality.run_metrics(tagged, clean).unionByName(quality.cap_metrics(caps, clean if per_year else None))
+    return stage(metrics.unionByName(feature_rows(run)), "run-metrics")
+
+
+def feature_rows(run: Run) -> DataFrame:
+    """(year, metric_name, metric_value): the rows that this run, not any other, has in the feature table."""
+    own = run.read("ontime_features").filter(F.col("pipeline_run_id") == run.run_id)
+    return own.groupBy(F.col("flight_year").alias("year")).agg(
+        F.lit("feature_row_count").alias("metric_name"), F.count("*").cast("double").alias("metric_value"),
+    )
+
+
 def _write_stamped(run: Run, df: DataFrame, table: str) -> None:
     stamped = df.withColumn("pipeline_run_id", F.lit(run.run_id))
-    sinks.write_by_month(sinks.default_now(stamped, "created_at"), run.path(table))
+    sinks.write_by_month(
+        sinks.default_now(stamped, "created_at"), run.path(table), run=("pipeline_run_id", run.run_id)
+    )
 
 
 def _with_yearly_caps(clean: DataFrame, caps: DataFrame) -> DataFrame:
@@ -198,30 +262,54 @@ def train(
     return f"{len(models)} models{failed}"
 
 
-def main(arguments: list[str] | None = None) -> None:
-    """``python -m skyledger.plans.jobs JOB --root TABLES [--raw RAW] [--run-id ID]``"""
+def parse(arguments: list[str] | None = None):
+    """Command-line options of all jobs."""
     import argparse
     import uuid
 
+    parser = argparse.ArgumentParser(description="Run one job over Parquet tables.")
+    jobs = parser.add_subparsers(dest="job", required=True)
+    for name in ("land", "profile", "prepare", "check", "aggregate", "train"):
+        job = jobs.add_parser(name)
+        job.add_argument("--root", required=True, help="folder of the tables")
+        job.add_argument("--run-id", default=os.environ.get("PIPELINE_RUN_ID") or str(uuid.uuid4()))
+        job.add_argument("--first-year", type=int, default=S.YEARS[0])
+        job.add_argument("--last-year", type=int, default=S.YEARS[1])
+        if name == "land":
+            job.add_argument("--folder", required=True, help="landing folder")
+            job.add_argument("--kind", choices=("files", "messages"), default="files")
+        if name in ("profile", "prepare"):
+            job.add_argument("--raw", help="folder of a raw table; what has been landed if not given")
+        if name == "prepare":
+            job.add_argument("--per-year", action="store_true", help="caps and period history per source year")
+            job.add_argument("--history-mode", choices=("strict_prior", "full_period"), default="strict_prior")
+        if name == "train":
+            job.add_argument("--boundary", default=S.TRAIN_TEST_BOUNDARY, help="first day of the test rows")
+            job.add_argument("--old-boundary", default=S.OLD_DATA_BOUNDARY, help="older training rows weigh less")
+    return parser.parse_args(arguments)
+
+
+def perform(run: Run, given) -> str:
+    """The job that the options ask for."""
+    if given.job == "land":
+        return land(run, given.folder, given.kind)
+    if given.job in ("profile", "prepare"):
+        raw = run.spark.read.parquet(given.raw) if given.raw else landed(run)
+        if given.job == "profile":
+            return profile(run, raw)
+        return prepare(run, raw, given.history_mode, given.per_year)
+    if given.job == "train":
+        return train(run, given.boundary, given.old_boundary)
+    return {"check": check, "aggregate": aggregate}[given.job](run)
+
+
+def main(arguments: list[str] | None = None) -> None:
+    """``python -m skyledger.plans.jobs JOB --root TABLES [options]``"""
     from skyledger.session import build_session
 
-    jobs = {"profile": profile, "prepare": prepare, "check": check, "aggregate": aggregate, "train": train}
-    parser = argparse.ArgumentParser(description="Run one job over Parquet tables.")
-    parser.add_argument("job", choices=jobs)
-    parser.add_argument("--root", required=True, help="folder of the tables")
-    parser.add_argument("--raw", help="folder of the raw table (profile and prepare)")
-    parser.add_argument("--run-id", default=os.environ.get("PIPELINE_RUN_ID") or str(uuid.uuid4()))
-    parser.add_argument("--first-year", type=int, default=S.YEARS[0])
-    parser.add_argument("--last-year", type=int, default=S.YEARS[1])
-    given = parser.parse_args(arguments)
+    given = parse(arguments)
     spark = build_session(f"skyledger-{given.job}")
-    run = Run(spark, given.root, given.run_id, (given.first_year, given.last_year))
-    inputs = []
-    if given.job in ("profile", "prepare"):
-        if not given.raw:
-            parser.error(f"{given.job} needs --raw")
-        inputs = [spark.read.parquet(given.raw)]
-    print(jobs[given.job](run, *inputs))
+    print(perform(Run(spark, given.root, given.run_id, (given.first_year, given.last_year)), given))
 
 
 if __name__ == "__main__":

@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from skyledger import schemas as S
 from skyledger.operators import exploration, profiling, quality, sampling
+from skyledger.plans import jobs
 from skyledger.plans.fixture import FIXTURE_YEARS
 from skyledger.plans.lake import RUN_ID, cap_quantiles
 from skyledger.plans.registry import query, rounded
 from skyledger.sources import sinks
+from skyledger.sources.staging import new_path
 
 _WHOLE = {"Cancelled", "Diverted"}
 
@@ -282,13 +284,31 @@ def _(lk):
     return rounded(quality.run_metrics(lk.tagged, lk.clean))
 
 
+@query("q10_feature_rows_of_two_runs", """
+SELECT CASE WHEN flight_year = 1998 THEN 'run-2' ELSE 'run-1' END AS run_id, flight_year AS year,
+  'feature_row_count' AS metric_name, CAST(COUNT(*) AS DOUBLE) AS metric_value FROM scheduled GROUP BY ALL""")
+def _(lk):
+    """The second run prepares one year again; each run counts its own rows only."""
+    root = new_path(lk.spark, "two-runs")
+    counted = []
+    for run_id, rows in ((RUN_ID, lk.features), ("run-2", lk.features.filter("flight_year = 1998"))):
+        run = jobs.Run(lk.spark, root, run_id, FIXTURE_YEARS)
+        jobs._write_stamped(run, rows, "ontime_features")
+        counted.append(run)
+    return _per_run(counted[0]).unionByName(_per_run(counted[1]))
+
+
+def _per_run(run):
+    return jobs.feature_rows(run).select(F.lit(run.run_id).alias("run_id"), "year", "metric_name", "metric_value")
+
+
 @query("q10_yearly_cap_metrics", """
 SELECT source_year AS year, 'dep_delay_cap_p995' AS metric_name, quantile_disc(DepDelayMinutes, 0.995) AS metric_value
 FROM flights WHERE Cancelled = 0 AND Diverted = 0 GROUP BY source_year
 UNION ALL SELECT source_year, 'arr_delay_cap_p995', quantile_disc(ArrDelayMinutes, 0.995)
 FROM flights WHERE Cancelled = 0 AND Diverted = 0 GROUP BY source_year""")
 def _(lk):
-    return quality.cap_metrics(cap_quantiles(lk.clean, by=["source_year"]))
+    return quality.cap_metrics(cap_quantiles(lk.clean, by=["source_year"]), lk.clean)
 
 
 @query("s14_metric_log", _METRICS_SQL + """
@@ -364,10 +384,8 @@ def _(lk):
 SELECT 'run-1' AS run_id, 'PREPROCESSING_COMPLETED' AS status, 'prepare' AS job_name,
   'clean rows: ' || COUNT(*) AS message FROM flights""")
 def _(lk):
-    counted = lk.clean.agg(F.count("*").alias("n"))
-    message = F.concat(F.lit("clean rows: "), F.col("n").cast("string"))
-    logged = sinks.status_from(counted, RUN_ID, F.lit("PREPROCESSING_COMPLETED"), "prepare", message)
-    return logged.drop("created_at")
+    message = f"clean rows: {lk.clean.count()}"
+    return sinks.status_row(lk.spark, RUN_ID, "PREPROCESSING_COMPLETED", "prepare", message).drop("created_at")
 
 
 @query("s15_default_time", """

@@ -27,11 +27,6 @@ POST_FLIGHT_COLUMNS = [
     "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay",
 ]
 
-TARGET_COLUMNS = [
-    "DepDelay", "DepDelayMinutes", "ArrDelay", "ArrDelayMinutes",
-    "DepDel15", "ArrDel15", "Cancelled",
-]
-
 INGEST_COLUMNS = [
     "Year", "Quarter", "Month", "DayofMonth", "DayOfWeek", "FlightDate",
     "Reporting_Airline", "DOT_ID_Reporting_Airline", "IATA_CODE_Reporting_Airline",
@@ -128,7 +123,7 @@ NUMERIC_FEATURE_INPUTS = [
     "CRSElapsedTime", "Distance", "flight_day", "distance_bucket",
 ]
 
-# --- Table layouts.
+# --- Fixed values: table layouts and the labels' names.
 
 MESSAGE_DDL = """
 Year INT, Quarter INT, Month INT, DayofMonth INT, DayOfWeek INT, FlightDate STRING,
@@ -184,13 +179,6 @@ LABEL_NAMES = {
     "Cancelled": "cancelled_label",
 }
 
-RUN_LOG_DDL = "run_id STRING, status STRING, job_name STRING, message STRING, created_at TIMESTAMP"
-
-METRIC_DDL = (
-    "run_id STRING, metric_name STRING, metric_value DOUBLE, "
-    "year INT, month INT, created_at TIMESTAMP"
-)
-
 
 def struct(ddl: str) -> StructType:
     """Parse DDL text to a StructType (needs an active session)."""

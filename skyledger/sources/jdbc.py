@@ -13,10 +13,6 @@ def connection(prefix: str = "SKYLEDGER_DB") -> dict[str, str]:
     return {k: v for k, v in found.items() if v is not None}
 
 
-def table_options(table: str, fetch_size: int = 50_000) -> dict[str, str]:
-    return {"dbtable": table, "fetchsize": str(fetch_size)}
-
-
 def year_options(table: str, year: int, partitions: int = 12, fetch_size: int = 50_000) -> dict[str, str]:
     """One year, filtered in the database and read in month ranges."""
     return {
@@ -36,15 +32,6 @@ def stride_options(column: str, partitions: int, low: int = 1, high: int = 13) -
     }
 
 
-def month_predicates(years: tuple[int, int], column_year: str = "flight_year",
-                     column_month: str = "flight_month") -> list[str]:
-    """One predicate per month, each becoming one read task."""
-    return [
-        f"{column_year} = {y} AND {column_month} = {m}"
-        for y in range(years[0], years[1] + 1) for m in range(1, 13)
-    ]
-
-
 def read(spark: SparkSession, options: dict[str, str], where: dict[str, str] | None = None) -> DataFrame:
     return spark.read.format("jdbc").options(**(where or connection())).options(**options).load()
 

@@ -1,5 +1,6 @@
 """Table writers whose reruns replace what they wrote before."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +27,33 @@ def lay_out_by_month(df: DataFrame, date_column: str = "FlightDate") -> DataFram
     return with_month(df, date_column).hint("rebalance", *MONTH_PARTITION).sortWithinPartitions(*MONTH_PARTITION, *order)
 
 
-def write_by_month(df: DataFrame, path: str, date_column: str = "FlightDate") -> None:
-    """Replace the months present in ``df`` and leave the others as they are."""
+def write_by_month(
+    df: DataFrame, path: str, date_column: str = "FlightDate", run: tuple[str, str] | None = None,
+) -> None:
+    """Replace the months present in ``df`` and leave the others as they are.
+
+    ``run`` (column, run id) names the run that writes. Months that this run filled
+    before and has no rows for any more are emptied, so a rerun leaves nothing behind.
+    """
+    before = _written_months(df.sparkSession, path, run) if run else {}
     writer = lay_out_by_month(df, date_column).write.partitionBy(*MONTH_PARTITION)
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    after = _written_months(df.sparkSession, path, run) if before else {}
+    for (year, month), written in before.items():
+        if after.get((year, month)) == written:
+            place = f"{path}/{MONTH_PARTITION[0]}={year}/{MONTH_PARTITION[1]}={month}"
+            df.drop(*MONTH_PARTITION).limit(0).write.mode("overwrite").parquet(place)
+
+
+def _written_months(spark: SparkSession, path: str, run: tuple[str, str]) -> dict:
+    """When each month that holds a run's rows was written last; a row per month at most."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException:
+        return {}
+    own = table.filter((F.col(run[0]) == run[1]) & F.col(MONTH_PARTITION[0]).isNotNull())
+    when = F.max("_metadata.file_modification_time")
+    return {tuple(r[:2]): r[2] for r in own.groupBy(*MONTH_PARTITION).agg(when).collect()}
 
 
 def write_run(df: DataFrame, path: str, run_column: str) -> None:
@@ -52,14 +76,6 @@ def status_row(spark: SparkSession, run_id: str, status: str, job: str, message:
     return default_now(df, "created_at")
 
 
-def status_from(df: DataFrame, run_id: str, status: Column, job: str, message: Column) -> DataFrame:
-    """Run-log rows worked out from data, such as a count or a verdict."""
-    return df.select(
-        F.lit(run_id).alias("run_id"), status.alias("status"), F.lit(job).alias("job_name"),
-        message.alias("message"), F.current_timestamp().alias("created_at"),
-    )
-
-
 def metric_rows(metrics: DataFrame, run_id: str, at: Column | None = None) -> DataFrame:
     """Metrics (name, value, optional year and month) in the layout of the metric table."""
     empty = F.lit(None).cast("int")

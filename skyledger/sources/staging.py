@@ -6,6 +6,8 @@ cut the lineage and give the planner real sizes.
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,10 +32,27 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/skyledger/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_staged: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged inside the block when it ends, whatever file system they are on."""
+    _staged.append([])
+    try:
+        yield
+    finally:
+        for path in _staged.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and go on from the written table."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _staged:
+        _staged[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

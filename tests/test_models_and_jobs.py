@@ -1,10 +1,14 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
-from skyledger.operators import modelling, rollups
+from skyledger.operators import modelling, profiling, quality, rollups
 from skyledger.plans import jobs
 from skyledger.plans.fixture import FIXTURE_OLD_DATA, FIXTURE_TRAIN_END, FIXTURE_YEARS
+from skyledger.plans.lake import cap_quantiles
+from skyledger.sources import sinks
 
 
 def test_indexer_keeps_unknown_values_apart(spark):
@@ -90,3 +94,104 @@ def test_train(run):
     assert all(0.5 < r["roc_auc"] <= 1 for r in compared)
     info = run.spark.read.json(run.path("models/model_info")).first()
     assert info["model_final_path"].endswith("A_Weighting__logistic_regression")
+
+
+def test_from_landing_to_rollups(spark, lk, tmp_path):
+    """Delimited files and messages go through the command line's jobs to the rollups."""
+    root = str(tmp_path / "tables")
+    messages_in = str(tmp_path / "messages")
+    lk.messages.write.text(messages_in)
+    years = ["--first-year", str(FIXTURE_YEARS[0]), "--last-year", str(FIXTURE_YEARS[1])]
+
+    def job(*words):
+        given = jobs.parse([*words, "--root", root, "--run-id", "r1", *years])
+        return jobs.perform(jobs.Run(spark, root, given.run_id, (given.first_year, given.last_year)), given)
+
+    with pytest.raises(ValueError, match="nothing has been landed"):
+        job("prepare")
+    job("land", "--folder", messages_in, "--kind", "messages")
+    run = jobs.Run(spark, root, "r1", FIXTURE_YEARS)
+    by_stream = jobs.landed(run).count()
+    assert by_stream == lk.raw.filter("CRSDepTime <> 'abc'").count()
+    job("land", "--folder", messages_in, "--kind", "messages")
+    assert jobs.landed(run).count() == by_stream  # nothing new
+    for _ in range(2):
+        job("land", "--folder", lk_folder(lk), "--kind", "files")
+    assert jobs.landed(run).count() == by_stream + lk.raw.count()
+    job("prepare", "--per-year", "--history-mode", "full_period")
+    # every flight came twice and is there once
+    assert run.read("ontime_curated").count() == lk.clean.count()
+    job("aggregate")
+    want = {(r["year"], r["month"]): r["total_flights"] for r in lk.monthly.collect()}
+    assert {(r["year"], r["month"]): r["total_flights"] for r in run.read("agg_monthly_delay").collect()} == want
+
+
+def lk_folder(lk):
+    """The lake's landing files in folders named as a landing job expects."""
+    import pathlib
+    import shutil
+    import tempfile
+
+    source = pathlib.Path(lk.landing_folder.removeprefix("file:"))
+    target = pathlib.Path(tempfile.mkdtemp(prefix="landing-"))
+    for file in source.rglob("*.csv"):
+        names = [p.replace("source_", "") for p in file.relative_to(source).parts]
+        place = target.joinpath(*names)
+        place.parent.mkdir(parents=True, exist_ok=True)
+        shutil.copy(file, place)
+    return str(target)
+
+
+def test_a_month_without_rows_any_more_is_emptied(spark, make_flights, tmp_path):
+    path = str(tmp_path / "t")
+    mine = ("pipeline_run_id", "r1")
+
+    def write(run, *days):
+        rows = make_flights(*[{"FlightDate": d} for d in days]).withColumn("pipeline_run_id", F.lit(run))
+        sinks.write_by_month(rows, path, run=(mine[0], run))
+
+    jan, feb, mar = (dt.date(2024, m, 3) for m in (1, 2, 3))
+    write("other", mar)
+    write("r1", jan, feb)
+    write("r1", feb)
+    rows = spark.read.parquet(path).select("FlightDate", "pipeline_run_id").collect()
+    assert sorted(map(tuple, rows)) == [(feb, "r1"), (mar, "other")]
+
+
+def test_caps_without_data_are_logged(spark, make_flights):
+    flights = make_flights({"Cancelled": 1, "source_year": 2024})
+    flights = flights.withColumn("source_year", F.lit(2024))
+    for by, years in (([], None), (["source_year"], flights)):
+        caps = cap_quantiles(flights, by=by)
+        got = quality.cap_metrics(caps, years).collect()
+        assert {(r["metric_name"], r["metric_value"]) for r in got} == {
+            ("dep_delay_cap_p995", 999.0), ("arr_delay_cap_p995", 999.0)}
+        assert {r["year"] for r in got} == {2024 if by else None}
+
+
+def test_an_exception_without_text_is_logged(run):
+    @jobs.logged("DONE")
+    def nothing_said(run):
+        raise ValueError()
+
+    with pytest.raises(ValueError):
+        nothing_said(run)
+    failed = run.read("pipeline_run_log").filter("status = 'FAILED' and job_name = 'nothing_said'").collect()
+    assert [r["message"] for r in failed] == ["ValueError"]
+
+
+def test_staged_tables_go_with_the_job(spark):
+    from skyledger.sources import staging
+
+    with staging.temporary(spark):
+        kept = staging.stage(spark.range(5), "short-lived")
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert kept.count() == 5
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+
+
+def test_summary_reads_raw_three_times(spark, lk):
+    plan = profiling.quality_summary(lk.typed, FIXTURE_YEARS)._jdf.queryExecution().executedPlan().toString()
+    # the grouping and the value counts are staged; only the duplicates' keys are left
+    assert plan.count("IATA_CODE_Reporting_Airline") and sum("raw-" in p for p in plan.split("Location: ")[1:]) <= 1
