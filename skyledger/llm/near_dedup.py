@@ -161,13 +161,15 @@ def _block_links(percent: int):
 def _rest_links(others: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links that the stars left open: pairs in one bucket whose components still differ.
 
+    Buckets with the same pivot are taken together, as near copies share many of them.
     Pairs with the pivot are settled already. Of any other pair at least one document lies
-    outside the largest component of the bucket's other members. Those documents, cut into blocks, meet all members, cut into blocks; a block pair is one
-    group, so no group grows with its bucket, and only links leave it.
+    outside the largest component of the pivot's other members. Those documents, cut into
+    blocks, meet all members, cut into blocks; a block pair is one group, so no group grows
+    with its bucket, and only links leave it.
     """
-    spots = stage(others.select("bucket", "node").join(labels, "node"), "near-spots")
-    parts = stage(spots.groupBy("bucket", "component").count(), "near-parts")
-    largest = parts.groupBy("bucket").agg(
+    spots = stage(others.select("pivot", "node").distinct().join(labels, "node"), "near-spots")
+    parts = stage(spots.groupBy("pivot", "component").count(), "near-parts")
+    largest = parts.groupBy("pivot").agg(
         F.max_by("component", F.struct("count", "component")).alias("main"), F.sum("count").alias("n"),
         (F.sum("count") - F.max("count")).alias("n_rest"), F.count("*").alias("n_parts"),
     )
@@ -176,21 +178,21 @@ def _rest_links(others: DataFrame, sets: DataFrame, labels: DataFrame, percent:
         return open_.select(F.col("main").alias("a"), F.col("main").alias("b"))
     right_blocks = F.ceil(F.col("n") / MEMBERS).cast("int")
     left_blocks = F.ceil(F.col("n_rest") / MEMBERS).cast("int")
-    held = spots.join(open_, "bucket").select(
-        "bucket", "node", "component", (F.col("component") != F.col("main")).alias("rest"),
+    held = spots.join(open_, "pivot").select(
+        "pivot", "node", "component", (F.col("component") != F.col("main")).alias("rest"),
         right_blocks.alias("nr"), left_blocks.alias("nl"),
     )
     held = held.join(sets, "node")
     block = F.pmod(F.xxhash64("node"), F.col("nr")).cast("int")
     left_block = F.pmod(F.xxhash64(F.lit("l"), "node"), F.col("nl")).cast("int")
-    columns = ["bucket", "l", "r", "side", "node", "component", "members"]
+    columns = ["pivot", "l", "r", "side", "node", "component", "members"]
     lefts = held.filter("rest").withColumns(
         {"l": left_block, "r": F.explode(F.sequence(F.lit(0), F.col("nr") - 1)), "side": F.lit(0)}
     ).select(columns)
     rights = held.withColumns(
         {"r": block, "l": F.explode(F.sequence(F.lit(0), F.col("nl") - 1)), "side": F.lit(1)}
     ).select(columns)
-    return lefts.union(rights).groupBy("bucket", "l", "r").applyInPandas(_block_links(percent), "a binary, b binary")
+    return lefts.union(rights).groupBy("pivot", "l", "r").applyInPandas(_block_links(percent), "a binary, b binary")
 
 
 def near_groups(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
