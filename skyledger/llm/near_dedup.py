@@ -12,7 +12,8 @@ from skyledger.llm.groups import smallest_labels
 from skyledger.llm.words import coded, fitting, hashes, id_or_lowest, mixed, over_slices, split_words, window_hashes
 from skyledger.sources.staging import stage
 
-BANDS, ROWS = 24, 6
+REGISTERS = 144
+MOST_MISSED = 2e-5  # chance that a pair at the threshold shares no band
 MEMBERS = 1024  # documents of one block of a bucket that is compared in full
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -88,19 +89,28 @@ def signatures(keys: np.ndarray, begins: np.ndarray, size: int) -> np.ndarray:
     return table.reshape(n_texts, size)
 
 
-def _sign(part: pa.RecordBatch, texts: list, shingle: int) -> dict:
+def band_layout(percent: int) -> tuple[int, int]:
+    """Number of bands and registers in each: the widest bands that still catch pairs at the threshold."""
+    for width in range(12, 1, -1):
+        n_bands = REGISTERS // width
+        if (1 - (percent / 100) ** width) ** n_bands <= MOST_MISSED:
+            return n_bands, width
+    return REGISTERS, 1
+
+
+def _sign(part: pa.RecordBatch, texts: list, shingle: int, n_bands: int, width: int) -> dict:
     keys, begins = shingle_sets(texts, shingle)
-    table = signatures(keys, begins, BANDS * ROWS)
-    rows = np.ascontiguousarray(table).view(np.uint64).reshape(len(texts), BANDS, ROWS)
-    bands = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(texts), BANDS)).copy()
-    for r in range(ROWS):
+    table = signatures(keys, begins, n_bands * width)
+    rows = np.ascontiguousarray(table).view(np.uint64).reshape(len(texts), n_bands, width)
+    bands = np.broadcast_to(np.arange(1, n_bands + 1, dtype=np.uint64), (len(texts), n_bands)).copy()
+    for r in range(width):
         bands = mixed(bands * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, r])
     raw = keys.tobytes()
     sets = [xxhash.xxh3_128_digest(raw[8 * a:8 * b]) if b > a else None for a, b in zip(begins[:-1], begins[1:], strict=True)]
     flat = pa.array(bands.view(np.int64).ravel())
     return {
-        "doc_id": part.column("doc_id"), "n_shingles": np.diff(begins), "node": pa.array(sets, pa.binary()),
-        "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), flat),
+        "doc_id": part.column("doc_id"), "_mark": part.column("_mark"), "n_shingles": np.diff(begins), "node": pa.array(sets, pa.binary()),
+        "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * n_bands), flat),
     }
 
 
@@ -195,28 +205,14 @@ def _rest_links(others: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     return lefts.union(rights).groupBy("pivot", "l", "r").applyInPandas(_block_links(percent), "a binary, b binary")
 
 
-def near_groups(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every document.
-
-    Two documents are linked if ``percent`` or more of the union of their shingle sets is
-    shared; components follow from the links. component_id is the least doc_id of the
-    component, and kept marks its document. Documents without words have an empty set and
-    are linked with nothing; a null id is never the least one unless it stands alone.
-    Rows that share id and text are in one component and all marked kept if one is. An
-    empty table gives no rows; other columns are not read.
-
-    Equal sets are one node from the start, so copies cost nothing more. Candidates share
-    a band of the SuperMinHash signature (24 bands of 6: a pair at 0.85 is missed with a
-    probability of 1e-5, at 0.8 of 7e-4); every candidate is settled on its full sets.
-    Members are first compared with their bucket's least node. Where components still
-    differ inside a bucket, the documents outside its largest component are compared with
-    all members, block by block. Sets are 64-bit hashes of the shingles; only those of
-    candidates are staged.
-    """
+def _components(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's _id, _mark (of the text), doc_id, n_shingles and node; and node, component_id of the nodes."""
+    n_bands, width = band_layout(percent)
     signed = stage(
         over_slices(
-            docs.select("doc_id", "text"), _sign, "doc_id long, n_shingles long, node binary, bands array<long>",
-            shingle=shingle,
+            docs.select("doc_id", "text", F.xxhash64("text").alias("_mark")), _sign,
+            "doc_id long, _mark long, n_shingles long, node binary, bands array<long>", shingle=shingle,
+            n_bands=n_bands, width=width,
         ),
         "near-signed",
     )
@@ -247,8 +243,30 @@ def near_groups(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFra
     named = nodes.select("node", "doc_id").join(labels, "node", "left")
     named = stage(named.withColumn("component", F.coalesce("component", "node")), "near-named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = stage(named.join(least, "component").select("node", "component_id"), "near-ids")
-    out = signed.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
+    ids = stage(named.join(least, "component").select("node", "component", "component_id"), "near-ids")
+    return signed.select("doc_id", "_mark", "n_shingles", "node"), ids
+
+
+def near_groups(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every document.
+
+    Two documents are linked if ``percent`` or more of the union of their shingle sets is
+    shared; components follow from the links. component_id is the least doc_id of the
+    component, and kept marks its document. Documents without words have an empty set and
+    are linked with nothing; a null id is never the least one unless it stands alone.
+    Rows that share id and text are in one component and all marked kept if one is. An
+    empty table gives no rows; other columns are not read.
+
+    Equal sets are one node from the start, so copies cost nothing more. Candidates share
+    a band of the SuperMinHash signature, laid out so that a pair at the threshold shares
+    none with a probability of 2e-5 at most; every candidate is settled on its full sets.
+    Members are first compared with their bucket's least node. Where components still
+    differ inside a bucket, the documents outside its largest component are compared with
+    all members, block by block. Sets are 64-bit hashes of the shingles; only those of
+    candidates are staged.
+    """
+    signed, ids = _components(docs, percent, shingle)
+    out = signed.join(ids, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
@@ -265,10 +283,17 @@ def _checked_sets(part: pa.RecordBatch, texts: list, shingle: int) -> dict:
 
 
 def keep_one(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each group; of repeated rows one."""
-    groups = near_groups(docs, percent, shingle)
-    ids = stage(groups.filter("kept").select(id_or_lowest().alias("_id")).distinct(), "near-kept")
-    # one id with several texts stays whole only where all of its rows are kept
-    gone = stage(groups.filter("not kept").select(id_or_lowest().alias("_id")).distinct(), "near-gone")
-    kept = ids.join(gone, "_id", "left_anti")
-    return docs.withColumn("_id", id_or_lowest()).join(kept, "_id", "left_semi").dropDuplicates(["_id"]).drop("_id")
+    """The rows of ``docs`` that stay: of each component the least doc_id, of repeated rows one.
+
+    Rows are told apart by id and text, so rows without an id, or with one id and several
+    texts, are judged each; a row without an id stays only where no other of its component
+    has one. Rows without words are linked with nothing and stay, repeated ones once.
+    """
+    signed, ids = _components(docs, percent, shingle)
+    named = signed.join(ids.select("node", "component"), "node", "left")
+    group = F.struct("component", F.when(F.col("component").isNull(), F.struct("doc_id", "_mark")))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), id_or_lowest().alias("_id"), "_mark")
+    stay = named.groupBy(group.alias("group")).agg(F.min(row).alias("row")).select("row._id", "row._mark")
+    stay = stage(stay.distinct(), "near-stay")
+    rows = docs.select(id_or_lowest().alias("_id"), F.xxhash64("text").alias("_mark"), F.struct(*docs.columns).alias("row"))
+    return rows.join(stay, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]).select("row.*")

@@ -304,21 +304,43 @@ def _scores(part: pa.RecordBatch, texts: list, letters, weights, bits: int) -> d
     }
 
 
+def _models(docs: DataFrame, labels: DataFrame, parts: int, part: int, sample: int) -> dict:
+    """The letter model and the weights, broadcast; alphabet and ``BITS`` bound them."""
+    context = docs.sparkSession.sparkContext
+    letters = context.broadcast(letter_model(docs))
+    weights = context.broadcast(fit(docs, labels, ~held_out(F.col("doc_id"), parts, part), letters, sample))
+    return {"letters": letters, "weights": weights, "bits": BITS}
+
+
 def classify(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2, threshold: float = 0.3, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted and n_restored for every document.
 
     Learns only from labels of rows that are not held out. Null and empty texts score the
     bias alone, equal texts alike; without labels every score is 0.5; an empty table gives
-    no rows; other columns are not read. Alphabet and ``bits`` bound what is broadcast.
+    no rows; other columns are not read.
     """
-    context = docs.sparkSession.sparkContext
-    letters = context.broadcast(letter_model(docs))
-    weights = context.broadcast(fit(docs, labels, ~held_out(F.col("doc_id"), parts, part), letters, sample))
     scored = over_slices(
         docs.select("doc_id", "text"), _scores, "doc_id long, score double, n_restored long",
-        letters=letters, weights=weights, bits=BITS,
+        **_models(docs, labels, parts, part, sample),
     )
     return scored.select(
         "doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"), "n_restored",
     )
+
+
+def _passed(part: pa.RecordBatch, texts: list, threshold: float, **models) -> dict:
+    good = pa.array(_scores(part, texts, **models)["score"] < threshold)
+    return {name: part.column(i).filter(good) for i, name in enumerate(part.schema.names)}
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2, threshold: float = 0.3, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns.
+
+    Each row is judged in place, so nothing is joined back. Without a single label that
+    may be learnt from nothing can be judged, and all rows stay.
+    """
+    usable = labels.filter(~held_out(F.col("doc_id"), parts, part) & F.col("toxic").isNotNull())
+    if usable.join(docs.select("doc_id"), "doc_id", "left_semi").isEmpty():
+        return docs
+    return over_slices(docs, _passed, docs.schema, threshold=threshold, **_models(docs, labels, parts, part, sample))

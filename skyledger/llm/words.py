@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE_BYTES = 6 << 20
 
@@ -36,10 +37,10 @@ def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -
 
 
 def over_slices(
-    docs: DataFrame, work: Callable, schema: str, text: str = "text", most: int = SLICE_BYTES, **given,
+    docs: DataFrame, work: Callable, schema: str | T.StructType, text: str = "text", most: int = SLICE_BYTES, **given,
 ) -> DataFrame:
     """``work(part, texts, **given)`` on every slice; it returns the columns of ``schema`` as a dict."""
-    names = [field.split()[0] for field in schema.split(", ")]
+    names = [field.split()[0] for field in schema.split(", ")] if isinstance(schema, str) else schema.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
