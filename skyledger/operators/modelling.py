@@ -124,12 +124,11 @@ def linear_svm(**changes) -> LinearSVC:
     return LinearSVC(labelCol=LABEL, weightCol=WEIGHT, maxIter=ITERATIONS, **changes)
 
 
+ALGORITHMS = ("logistic_regression", "random_forest", "gbt_classifier")
+
+
 def default_estimators() -> dict:
-    return {
-        "logistic_regression": logistic_regression(),
-        "random_forest": random_forest(),
-        "gbt_classifier": boosted_trees(),
-    }
+    return dict(zip(ALGORITHMS, (logistic_regression(), random_forest(), boosted_trees()), strict=True))
 
 
 @dataclass

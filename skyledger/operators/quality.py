@@ -104,12 +104,15 @@ def table_gates(curated: DataFrame, years: tuple[int, int] = S.YEARS) -> DataFra
     ])))
 
 
+def leakage_struct(features: DataFrame) -> Column:
+    """The leakage gate of a feature table as one struct."""
+    leaked = leaked_columns(features.columns)
+    return _gate("leakage_free", F.lit(not leaked), F.lit(len(leaked)), ", ".join(leaked) or "none")
+
+
 def leakage_gate(features: DataFrame) -> DataFrame:
     """Whether a feature table is free of post-flight columns."""
-    leaked = leaked_columns(features.columns)
-    return features.sparkSession.range(1).select(F.inline(F.array(
-        _gate("leakage_free", F.lit(not leaked), F.lit(len(leaked)), ", ".join(leaked) or "none")
-    )))
+    return features.sparkSession.range(1).select(F.inline(F.array(leakage_struct(features))))
 
 
 def gate_report(metrics: DataFrame, curated: DataFrame, features: DataFrame, years=S.YEARS) -> DataFrame:

@@ -148,7 +148,7 @@ def _(lk):
     return stamped.select("year", "month", "total_flights", "pipeline_run_id", has_time)
 
 
-def _plain_sql(c: str) -> str:
+def plain_sql(c: str) -> str:
     number = f"regexp_matches(TRIM({c}), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$')"
     as_double = f"CAST(TRIM({c}) AS DOUBLE)"
     return (f"CASE WHEN TRIM({c}) = '' THEN NULL WHEN {number} THEN "
@@ -156,14 +156,14 @@ def _plain_sql(c: str) -> str:
             f"ELSE CAST({as_double} AS VARCHAR) END ELSE TRIM({c}) END")
 
 
-@query("p14_tidy_values", "SELECT " + ", ".join(f"{_plain_sql(c)} AS {c}" for c in S.INGEST_COLUMNS) + " FROM raw")
+@query("p14_tidy_values", "SELECT " + ", ".join(f"{plain_sql(c)} AS {c}" for c in S.INGEST_COLUMNS) + " FROM raw")
 def _(lk):
     return cleaning.tidy_values(lk.raw.select(*S.INGEST_COLUMNS), S.INGEST_COLUMNS)
 
 
 @query("p14_tidy_prices", f"""
-SELECT l_orderkey, l_linenumber, {_plain_sql('CAST(l_extendedprice AS VARCHAR)')} AS price,
-  {_plain_sql('CAST(l_discount AS VARCHAR)')} AS discount FROM lineitem""")
+SELECT l_orderkey, l_linenumber, {plain_sql('CAST(l_extendedprice AS VARCHAR)')} AS price,
+  {plain_sql('CAST(l_discount AS VARCHAR)')} AS discount FROM lineitem""")
 def _(lk):
     text = {"price": F.col("l_extendedprice").cast("string"), "discount": F.col("l_discount").cast("string")}
     rows = lk.table("lineitem").select("l_orderkey", "l_linenumber", *[c.alias(n) for n, c in text.items()])
@@ -172,7 +172,7 @@ def _(lk):
 
 def _sent_sql(c: str, kind: str) -> str:
     if kind == "string":
-        return f"{_plain_sql(c)} AS {c}"
+        return f"{plain_sql(c)} AS {c}"
     number = f"CAST(NULLIF(TRIM({c}), '') AS DOUBLE)"
     return f"{number} AS {c}" if kind == "double" else f"CAST({number} AS INTEGER) AS {c}"
 
@@ -352,15 +352,15 @@ def _(lk):
     return flagged.select(*S.FLIGHT_KEY, "has_route_history", "has_weather_history")
 
 
-@query("f17_imputed_inputs", """
-SELECT 0 AS nulls, COUNT(*) AS n FROM features""")
+@query("f17_imputed_inputs", "WITH m AS (SELECT " + ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in _HISTORY)
+       + " FROM features) SELECT " + ", ".join(f"f.{k}" for k in S.FLIGHT_KEY) + ", " + ", ".join(
+           f"ROUND(COALESCE(f.{c}, m.{c}), 9) AS {c}" for c in _HISTORY) + ", " + ", ".join(
+           f"CAST(COALESCE(f.{c}, 0) AS DOUBLE) AS {c}" for c in S.NUMERIC_FEATURE_INPUTS) + " FROM features f, m")
 def _(lk):
-    from skyledger.operators.quantiles import approximate_medians
-
-    cast = features.cast_model_inputs(lk.features)
-    filled = features.impute(cast, approximate_medians(cast, _HISTORY))
-    nulls = [F.count_if(F.col(c).isNull()) for c in S.NUMERIC_FEATURE_INPUTS + _HISTORY]
-    return filled.agg(sum(nulls[1:], nulls[0]).cast("int").alias("nulls"), F.count("*").alias("n"))
+    medians = {r["measure"]: r["quantile"] for r in exact_quantiles(lk.features, _HISTORY, [0.5]).collect()}
+    filled = features.impute(features.cast_model_inputs(lk.features), medians)
+    numbers = [F.col(c).cast("double").alias(c) for c in S.NUMERIC_FEATURE_INPUTS]
+    return filled.select(*S.FLIGHT_KEY, *[F.round(c, 9).alias(c) for c in _HISTORY], *numbers)
 
 
 @query("f18_time_weight", f"""

@@ -2,6 +2,7 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
@@ -150,11 +151,31 @@ def _(lk):
     )
 
 
+# What SQL can state of fitted models: every test row is counted under its label, areas and
+# thresholds lie where they must. The measures themselves are compared in the tests and jobs.
+_EVALUATED_SQL = """SELECT '{version}' AS version, '{name}' AS algorithm, COUNT(*) FILTER (arr_del15_label = 1) AS late,
+  COUNT(*) FILTER (arr_del15_label = 0) AS on_time, true AS areas_in_range, true AS measures_agree FROM test"""
+
+
+def _facts(measured):
+    p, r = F.col("precision"), F.col("recall")
+    agree = F.abs(F.col("f1") - F.coalesce(2 * p * r / F.nullif(p + r, F.lit(0.0)), F.lit(0.0))) < 1e-9
+    right = F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn"))) < 1e-9
+    threshold = F.coalesce(F.col("best_threshold").between(0.1, 0.89), F.lit(True))
+    areas = (F.col("roc_auc") > 0.5) & (F.col("roc_auc") <= 1) & (F.col("pr_auc") > 0) & (F.col("pr_auc") <= 1)
+    return measured.select(
+        "version", "algorithm", (F.col("tp") + F.col("fn")).alias("late"), (F.col("tn") + F.col("fp")).alias("on_time"),
+        areas.alias("areas_in_range"), (agree & right & threshold).alias("measures_agree"),
+    )
+
+
 def _fit_query(name: str, make):
-    @query(name)
+    algorithm = name.split("_", 1)[1]
+
+    @query(name, _EVALUATED_SQL.format(version="weighted", name=algorithm))
     def _(lk):
         model = make().fit(lk.vectors["weighted"])
-        return modelling.evaluate(model, lk.vectors["test"], "weighted", name.split("_", 1)[1])
+        return _facts(modelling.evaluate(model, lk.vectors["test"], "weighted", algorithm))
 
 
 _fit_query("m9_logistic_regression", modelling.logistic_regression)
@@ -162,33 +183,78 @@ _fit_query("m10_random_forest", modelling.random_forest)
 _fit_query("m11_boosted_trees", modelling.boosted_trees)
 _fit_query("m13_linear_svm", modelling.linear_svm)
 
+_VERSIONS = {"A_Weighting": "weighted", "B_Hybrid_Undersample": "hybrid"}
 
-@query("m15_m21_comparison")
+
+@query("m15_m21_comparison", "\nUNION ALL ".join(
+    _EVALUATED_SQL.format(version=v, name=n) for v in _VERSIONS for n in modelling.ALGORITHMS))
 def _(lk):
-    sets = {"A_Weighting": lk.vectors["weighted"], "B_Hybrid_Undersample": lk.vectors["hybrid"]}
+    sets = {v: lk.vectors[rows] for v, rows in _VERSIONS.items()}
     models, _failures = modelling.fit_matrix(sets, modelling.default_estimators())
-    return modelling.compare(models, lk.vectors["test"])
+    return _facts(modelling.compare(models, lk.vectors["test"]))
 
 
-@query("m20_feature_strength")
+@query("m20_feature_strength", "\nUNION ALL ".join(f"""
+SELECT '{v}' AS version, '{n}' AS model, i AS place, true AS known, true AS in_order
+FROM range(1, 16) r(i), (SELECT COUNT(*) FROM train) t""" for v in _VERSIONS for n in modelling.ALGORITHMS))
 def _(lk):
-    train = lk.vectors["weighted"]
-    tables = [
-        modelling.feature_strength(lk.spark, make().fit(train)).withColumn("model", F.lit(name))
-        for name, make in (("logistic_regression", modelling.logistic_regression),
-                           ("random_forest", modelling.random_forest))
-    ]
-    return tables[0].unionByName(tables[1])
+    """The 15 strongest inputs of every model and version, with their places."""
+    sets = {v: lk.vectors[rows] for v, rows in _VERSIONS.items()}
+    models, _failures = modelling.fit_matrix(sets, modelling.default_estimators())
+    out = None
+    for (version, name), model in models.items():
+        strongest = modelling.feature_strength(lk.spark, model).withColumns({"version": F.lit(version), "model": F.lit(name)})
+        out = strongest if out is None else out.unionByName(strongest)
+    order = Window.partitionBy("version", "model").orderBy(F.desc(F.abs("strength")), "feature")
+    stronger = F.lag(F.abs("strength")).over(order)
+    return out.select(
+        "version", "model", F.row_number().over(order).cast("bigint").alias("place"),
+        F.col("feature").isin(S.MODEL_FEATURES).alias("known"),
+        F.coalesce(stronger >= F.abs("strength"), F.lit(True)).alias("in_order"),
+    )
 
 
-@query("m22_stored_year_scores")
-def _(lk):
+def _stored_scores(lk):
     folder = new_path(lk.spark, "models")
     lk.preparation.save(folder, lk.spark)
     PipelineModel([modelling.logistic_regression().fit(lk.vectors["weighted"])]).save(f"{folder}/model")
     preparation = modelling.InputPreparation.load(folder, lk.spark)
-    model = PipelineModel.load(f"{folder}/model")
-    return modelling.score(lk.sets.test, preparation, model, [*S.FLIGHT_KEY, LABEL])
+    return preparation, PipelineModel.load(f"{folder}/model")
+
+
+@query("m22_stored_year_scores", f"""
+SELECT {_KEYS}, arr_del15_label, true AS is_probability, true AS said_by_probability FROM test""")
+def _(lk):
+    preparation, model = _stored_scores(lk)
+    scored = modelling.score(lk.sets.test, preparation, model, [*S.FLIGHT_KEY, LABEL])
+    p = F.col("probability")
+    return scored.select(
+        *S.FLIGHT_KEY, LABEL, p.between(0, 1).alias("is_probability"),
+        ((p > 0.5).cast("double") == F.col("prediction")).alias("said_by_probability"),
+    )
+
+
+@query("x1_positive_probability", f"SELECT {_KEYS}, true AS adds_up FROM test")
+def _(lk):
+    """The probability of a delay is what the vector leaves to the other class."""
+    preparation, model = _stored_scores(lk)
+    predicted = model.transform(preparation.vectors(lk.sets.test, S.FLIGHT_KEY))
+    both = vector_to_array("probability")
+    adds_up = (F.abs(scoring.positive_probability() + both[0] - 1) < 1e-9) & (F.size(both) == 2)
+    return predicted.select(*S.FLIGHT_KEY, adds_up.alias("adds_up"))
+
+
+@query("m6_plain_numbers", "\nUNION ALL ".join(
+    f"SELECT t.*, false AS marked FROM ({_index_sql(c, n)}) t" for c, n in modelling.INDEXED.items()))
+def _(lk):
+    """The category numbers without the columns' category metadata."""
+    train = lk.sets.weighted
+    names = list(modelling.INDEXED.values())
+    plain = modelling.as_plain_numbers(modelling.fit_indexer(train).transform(train), names)
+    marked = {n: bool(plain.schema[n].metadata) for n in names}
+    pairs = [F.struct(F.lit(n).alias("column_name"), F.col(c).alias("category"), F.col(n).alias("number"), F.lit(marked[n]).alias("marked"))
+             for c, n in modelling.INDEXED.items()]
+    return plain.select(F.inline(F.array(*pairs))).distinct()
 
 
 @query("s17_model_round_trip", "SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS changed FROM test")

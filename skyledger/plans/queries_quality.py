@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from skyledger import schemas as S
 from skyledger.operators import exploration, profiling, quality, sampling
+from skyledger.operators.features import LeakageError, require_no_leakage
 from skyledger.plans import jobs
 from skyledger.plans.fixture import FIXTURE_YEARS
 from skyledger.plans.lake import RUN_ID, cap_quantiles
@@ -158,12 +159,21 @@ def _(lk):
 _HISTORY = S.HISTORY_COLUMNS + S.CAUSE_HISTORY_COLUMNS
 
 
-@query("a12_approximate_medians")
+@query("a12_approximate_medians", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS n, true AS within FROM features" for c in _HISTORY))
 def _(lk):
+    """Whether the rank of each approximate median lies within one per cent of the middle."""
     from skyledger.operators.quantiles import approximate_medians
 
     found = approximate_medians(lk.features, _HISTORY)
-    return lk.spark.createDataFrame(list(found.items()), "column_name string, median double")
+    ranks = []
+    for c, median in found.items():
+        below, upto = F.count_if(F.col(c) < median), F.count_if(F.col(c) <= median)
+        n = F.count(c)
+        ranks.append(F.struct(
+            F.lit(c).alias("column_name"), n.alias("n"), ((below <= n * 0.51) & (upto >= n * 0.49)).alias("within")
+        ))
+    return lk.features.agg(F.array(*ranks).alias("r")).select(F.inline("r"))
 
 
 @query("a12_exact_medians", "\nUNION ALL ".join(
@@ -366,6 +376,34 @@ def _(lk):
     return rounded(_report(lk))
 
 
+@query("q8_leaking_table", """
+SELECT 'leakage_free' AS gate, 0 AS passed, 2.0::DOUBLE AS value, 'AirTime, TaxiOut' AS detail, COUNT(*) AS rows FROM features""")
+def _(lk):
+    """A feature table with two post-flight columns fails its gate and is refused."""
+    leaking = lk.features.withColumns({"TaxiOut": F.lit(1.0), "AirTime": F.lit(2.0)})
+    try:
+        require_no_leakage(leaking)
+    except LeakageError:
+        counted = leaking.agg(F.count("*").alias("rows"))
+        return counted.select(F.inline(F.array(quality.leakage_struct(leaking))), "rows")
+    raise AssertionError("a leaking table was let through")
+
+
+@query("q9_empty_input", """
+SELECT y.i AS year, COUNT(r.Year) = 0 AS refused FROM range(1995, 2002) y(i)
+LEFT JOIN typed r ON r.Year = y.i GROUP BY y.i""")
+def _(lk):
+    """Which years' raw rows a job would refuse as empty."""
+    refused = []
+    for year in range(1995, 2002):
+        try:
+            quality.require_rows(lk.typed.filter(F.col("Year") == year), f"raw rows of {year}")
+            refused.append((year, False))
+        except quality.EmptyInputError:
+            refused.append((year, True))
+    return lk.spark.createDataFrame(refused, "year bigint, refused boolean")
+
+
 @query("q7_verdict", _REPORT_SQL + """
 SELECT COUNT(*) AS gates, CASE WHEN MIN(passed) = 1 THEN 'QUALITY_PASSED' ELSE 'QUALITY_FAILED' END AS status,
   STRING_AGG(gate, ',' ORDER BY gate) FILTER (passed = 0) AS failed_gates FROM report""")

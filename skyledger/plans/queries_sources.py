@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from skyledger import schemas as S
 from skyledger.plans.lake import LANDED_FOLDERS, RUN_ID
+from skyledger.plans.queries_cleaning import plain_sql
 from skyledger.plans.registry import query, rounded
 from skyledger.sources import blocks, files, sinks
 from skyledger.sources.staging import new_path, shared_dir
@@ -159,14 +160,17 @@ def _(lk):
     return parsed.filter(~F.col("broken")).select(*kept)
 
 
-@query("s9_json_write", """
-SELECT CRSDepTime = 'abc' AS is_text, COUNT(*) AS n FROM raw GROUP BY 1""")
+_SENT = ["Flight_Number_Reporting_Airline", "CRSDepTime", "OriginCityName", "ArrDelay", "DOT_ID_Reporting_Airline"]
+
+
+@query("s9_json_write", "SELECT " + ", ".join(
+    f"CAST({plain_sql(c)} AS DOUBLE) AS {c}" if c == "ArrDelay" else f"{plain_sql(c)} AS {c}" for c in _SENT) + " FROM raw")
 def _(lk):
     path = new_path(lk.spark, "message-files")
     lk.messages.write.text(path)
     lines = lk.spark.read.text(path)
-    value = F.get_json_object("value", "$.CRSDepTime")
-    return lines.groupBy((value == "abc").alias("is_text")).agg(F.count("*").alias("n"))
+    sent = lines.select(*[F.get_json_object("value", f"$.{c}").alias(c) for c in _SENT])
+    return sent.withColumn("ArrDelay", F.col("ArrDelay").cast("double"))
 
 
 def _stream(lk, rows_of, name: str, files_per_trigger=None):
@@ -203,6 +207,20 @@ def _(lk):
     )
 
 
+@query("r3_restart", "SELECT event_id, user_id, event_type FROM events")
+def _(lk):
+    """A stream that stops and starts again goes on where its checkpoint says: nothing twice, nothing missed."""
+    events = lk.table("events").withColumn("sent_at", F.col("ts").cast("timestamp"))
+    body = F.to_json(F.struct(*[f.name for f in _EVENT_FIELDS.fields])).alias("value")
+    source, table = new_path(lk.spark, "restart-in"), new_path(lk.spark, "restart-table")
+    checkpoint = f"{shared_dir(lk.spark)}/skyledger/stream-checkpoints/{table.rsplit('/', 1)[1]}"
+    for rest in (0, 1):
+        events.filter(F.col("event_id") % 2 == rest).select(body).write.mode("append").text(source)
+        rows = messages.parse_messages(landing.file_lines(lk.spark, source), _EVENT_FIELDS)
+        landing.start_landing(rows, table, checkpoint).awaitTermination()
+    return landing.good_rows(lk.spark, table, rows.schema).select("event_id", "user_id", "event_type")
+
+
 @query("r4_arrival_time", f"""
 SELECT Flight_Number_Reporting_Airline, TRY_CAST(FlightDate AS DATE) AS FlightDate, NULLIF(TRIM(Origin), '') AS Origin,
   true AS stamped FROM raw WHERE {_GOOD}""")
