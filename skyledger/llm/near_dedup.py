@@ -226,7 +226,8 @@ def _components(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame,
     wanted = stage(
         buckets.select("node").distinct().join(nodes, "node").select("node", id_or_lowest().alias("_id")), "near-wanted"
     )
-    rows = docs.select("text", id_or_lowest().alias("_id")).join(wanted, "_id")
+    # always a shuffle: the candidates follow the corpus, so their ids are no small side
+    rows = docs.select("text", id_or_lowest().alias("_id")).join(wanted.hint("shuffle_merge"), "_id")
     # one id may have several texts: the set itself says which row a node stands for
     sets = stage(
         over_slices(rows.select("node", "text"), _checked_sets, "node binary, members array<long>", shingle=shingle)
