@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from skyledger.sources.staging import stage
 
 COORDINATE_BITS = 20
-TIE_BITS = 42
+TIE_BITS = 42  # of which the last ones come from the id, so that equal texts are neighbours
+ID_BITS = 14
 KEY_BITS = COORDINATE_BITS + TIE_BITS
 MOST_BINS = 65_536
 SLOT_ROWS = 20_000
@@ -28,7 +29,10 @@ def _points(docs: DataFrame) -> DataFrame:
         docs.select(
             "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
             F.log2(F.octet_length(text) + 1.0).alias("x0"), _number("source").alias("x1"), _number("lang").alias("x2"),
-            F.shiftrightunsigned(F.xxhash64(text, F.col("doc_id")), 64 - TIE_BITS).alias("tie"),
+            (
+                F.shiftleft(F.shiftrightunsigned(F.xxhash64(text), 64 - TIE_BITS + ID_BITS), ID_BITS)
+                + F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - ID_BITS)
+            ).alias("tie"),
         ),
         "shard-points",
     )
@@ -114,8 +118,9 @@ def kd_shards(docs: DataFrame, n_shards: int = 8, few: int = MOST_BINS) -> DataF
     the dimension in which it is widest (bytes on a log scale, source, language; each
     scaled to the whole table's range), until there are ``n_shards`` leaves of near equal
     bytes. ``n_shards`` is rounded up to a power of two. Within equal coordinates a hash
-    of text and id decides, so one source or one group of copies of any size is divided
-    like everything else; rows alike in text and id stay together. Null names count as
+    of the text decides, then one of the id: copies with equal metadata stay neighbours,
+    and one source or one group of copies of any size is divided like everything else;
+    rows alike in text and id stay together. Null names count as
     empty ones. An empty table gives no rows; other columns are not looked at.
 
     The texts are read once. Everything after works on narrow staged rows: a level is a
