@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import wraps
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +94,7 @@ def land(run: Run, folder: str, kind: str = "files") -> str:
         rows = files.read_landing_csv(run.spark, folder).withColumn("ingest_ts", F.current_timestamp())
         writer = rows.hint("rebalance", *SOURCE_MONTH).write.partitionBy(*SOURCE_MONTH).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(run.path(RAW_FILES))
+        keep_manifest(run, files.file_manifest(run.spark, folder))
         return f"files of {folder}"
     lines = landing.file_lines(run.spark, folder)
     checkpoint = f"{run.path('checkpoints')}/{RAW_STREAM}"
@@ -100,10 +102,17 @@ def land(run: Run, folder: str, kind: str = "files") -> str:
     return f"messages of {folder}"
 
 
+def keep_manifest(run: Run, new: DataFrame) -> None:
+    """Put a folder's manifest into the stored one; its months replace what was known of them."""
+    try:
+        new = files.merge_manifest(run.read("landing_manifest"), new)
+    except AnalysisException:
+        pass  # the first manifest
+    stage(new, "manifest").write.mode("overwrite").parquet(run.path("landing_manifest"))
+
+
 def landed(run: Run) -> DataFrame:
     """Raw rows of both kinds as text, the dead letters left out; the input of ``profile`` and ``prepare``."""
-    from pyspark.errors import AnalysisException
-
     columns = [*S.INGEST_COLUMNS, "source_file", "source_year", "source_month"]
     found = []
     for table in (RAW_FILES, RAW_STREAM):

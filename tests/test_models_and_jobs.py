@@ -118,6 +118,9 @@ def test_from_landing_to_rollups(spark, lk, tmp_path):
     for _ in range(2):
         job("land", "--folder", lk_folder(lk), "--kind", "files")
     assert jobs.landed(run).count() == by_stream + lk.raw.count()
+    manifest = run.read("landing_manifest").collect()
+    months = lk.raw.select("Year", "Month").distinct().count()
+    assert len(manifest) == months and {r["status"] for r in manifest} == {"extracted"}
     job("prepare", "--per-year", "--history-mode", "full_period")
     # every flight came twice and is there once
     assert run.read("ontime_curated").count() == lk.clean.count()
