@@ -17,7 +17,6 @@ from skyledger.sources.staging import stage
 # Perfect difference sets; every number modulo the period is a difference of two members.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (1, 5, 11, 24, 25, 27)}
 PLACE_BITS = 38
-SLICE_BYTES = 10 << 20  # larger slices settle more repeats before the shuffle
 SECOND_BASE = 0xD1B54A32D192ED03
 
 
@@ -47,27 +46,42 @@ def _numbers(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return part.column("_id").to_numpy(), part.column("_mark").to_numpy() << PLACE_BITS
 
 
+ROW = "h long, _id long, place long, weight byte, more array<long>"
+
+
 def _emitted(key: np.ndarray, at: np.ndarray, owner: np.ndarray, ids: np.ndarray, marks: np.ndarray, starts: np.ndarray, more=None) -> dict:
-    """Rows for places with hashes: of equal hashes in one slice only the first travels for the others.
+    """Rows for places with hashes: of equal hashes in one slice only the first travels.
 
-    ``weight`` 2 says that the slice itself holds the hash twice; the other places of such
-    a hash come with weight 0 under scattered keys: they are known to be repeats. So a
-    passage that is in every document is one row per slice at its own key.
+    ``weight`` 2 says that the slice itself holds the hash twice, so a passage that is in
+    every document is one row per slice at its own key. The other places are known to be
+    repeats; each document's come as one row of weight 0 under a key of the document.
     """
     order = np.argsort(key, kind="stable") if more is None else np.lexsort((more, key))
-    sorted_key = key[order]
+    key = key[order]
     first = np.ones(len(key), dtype=bool)
-    first[1:] = sorted_key[1:] != sorted_key[:-1]
+    first[1:] = key[1:] != key[:-1]
     if more is not None:
-        first[1:] |= more[order[1:]] != more[order[:-1]]
-    group = np.cumsum(first) - 1
-    size = np.bincount(group, minlength=1)[group] if len(key) else group
-    weight = np.where(first, np.minimum(size, 2), 0).astype(np.int8)
-    at, owner, key = at[order], owner[order], sorted_key
-    key = np.where(first, key, mixed(key + np.arange(1, len(key) + 1, dtype=np.uint64) * np.uint64(SECOND_BASE)))
-    out = {"h": key.view(np.int64), "_id": ids[owner], "place": marks[owner] | (at - starts[owner]), "weight": weight}
+        more = more[order]
+        first[1:] |= more[1:] != more[:-1]
+    lead = np.flatnonzero(first)
+    weight = np.minimum(np.diff(np.append(lead, len(key))), 2).astype(np.int8)
+    at, owner = at[order], owner[order]
+    place = marks[owner] | (at - starts[owner])
+    rest = np.flatnonzero(~first)
+    rest = rest[np.argsort(owner[rest], kind="stable")]
+    docs, begins = np.unique(owner[rest], return_index=True)
+    packed = mixed((ids[docs] ^ marks[docs]).view(np.uint64))
+    n, k = len(lead), len(docs)
+    offsets = np.concatenate([np.zeros(n, dtype=np.int32), np.append(begins, len(rest)).astype(np.int32)])
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(place[rest]), mask=pa.array(np.arange(n + k) < n))
+    out = {
+        "h": np.concatenate([key[lead], packed]).view(np.int64), "_id": np.concatenate([ids[owner[lead]], ids[docs]]),
+        "place": pa.array(np.concatenate([place[lead], np.zeros(k, np.int64)]), mask=np.arange(n + k) >= n),
+        "weight": np.concatenate([weight, np.zeros(k, np.int8)]), "more": lists,
+    }
     if more is not None:
-        out["h2"] = more[order].view(np.int64)
+        high = (more >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        out["h2"] = np.concatenate([high[lead], np.zeros(k, np.int32)])
     return out
 
 
@@ -88,7 +102,7 @@ def _anchors(part: pa.RecordBatch, texts: list, window: int, period: int) -> dic
 
 
 def _windows(part: pa.RecordBatch, texts: list, window: int, period: int) -> dict:
-    """Full-window hashes, two of 64 bits, of the windows around each repeated anchor."""
+    """Full-window hashes, of 64 and of 32 bits, of the windows around each repeated anchor."""
     _, starts, values = _word_values(texts)
     total = int(starts[-1])
     owner = owners(starts)
@@ -114,7 +128,8 @@ def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """
     seen = F.sum("weight").over(Window.partitionBy(*keys))
     twice = rows.withColumn("n", seen).filter((F.col("weight") == 0) | (F.col("n") > 1))
-    return stage(twice.groupBy("_id").agg(F.collect_list("place").alias("places")), name)
+    places = F.concat(F.collect_list("place"), F.flatten(F.collect_list("more")))
+    return stage(twice.groupBy("_id").agg(places.alias("places")), name)
 
 
 def _plain_rows(part: pa.RecordBatch, texts: list) -> dict:
@@ -162,15 +177,10 @@ def _changes(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
     """_id, _mark, n_removed and kept (the text, or its checksum) of what loses words, once per id and text."""
     period = period_for(window)
     rows = _rows(docs)
-    anchors = over_slices(
-        rows, _anchors, "h long, _id long, place long, weight byte", most=SLICE_BYTES, window=window, period=period
-    )
+    anchors = over_slices(rows, _anchors, ROW, window=window, period=period)
     near = _repeated(anchors, ["h"], "substring-anchors")
     suspects = stage(rows.join(near, "_id"), "substring-suspects")
-    windows = over_slices(
-        suspects, _windows, "h long, h2 long, _id long, place long, weight byte", most=SLICE_BYTES,
-        window=window, period=period,
-    )
+    windows = over_slices(suspects, _windows, "h2 int, " + ROW, window=window, period=period)
     twice = _repeated(windows, ["h", "h2"], "substring-windows")
     told = suspects.drop("places").join(twice, "_id")
     schema = f"_id long, _mark long, n_removed long, kept {'binary' if with_text else 'string'}"
@@ -191,7 +201,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     Anchors are hashed only at positions in a difference cover modulo a period: two equal
     windows, wherever they begin, have an anchor at the same distance from their begin
     (period 21 and anchors of 15 words for windows of 35). A repeated anchor makes the
-    windows around it suspects; these alone are hashed whole, with 128 bits, and settled.
+    windows around it suspects; these alone are hashed whole, with 96 bits, and settled.
     Texts are shuffled once, to the suspects' places.
     """
     changed = _changes(docs, window, with_text=False)
