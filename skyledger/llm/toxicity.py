@@ -121,9 +121,9 @@ def decode(token: str, model: np.ndarray, breaks: bool = False) -> str:
             for letter, extra in _options(token, i):
                 if letter:
                     k = CLASS[letter]
-                    steps = [((b, k), cost + extra - float(model[a, b, k]), (letter, path))]
+                    steps = [((b, k), cost + extra - model[a][b][k], (letter, path))]
                     if breaks and b:
-                        new = cost + extra + BREAK_COST - float(model[a, b, 0]) - float(model[0, 0, k])
+                        new = cost + extra + BREAK_COST - model[a][b][0] - model[0][0][k]
                         steps.append(((0, k), new, (letter, (" ", path))))
                 else:
                     steps = [((a, b), cost + extra, path)]
@@ -131,7 +131,7 @@ def decode(token: str, model: np.ndarray, breaks: bool = False) -> str:
                     if key not in following or value < following[key][0]:
                         following[key] = (value, way)
         states = following
-    _, path = min(((cost - float(model[a, b, 0]), path) for (a, b), (cost, path) in states.items()), key=lambda x: x[0])
+    _, path = min(((cost - model[a][b][0], path) for (a, b), (cost, path) in states.items()), key=lambda x: x[0])
     letters = []
     while path:
         letters.append(path[0])
@@ -219,27 +219,33 @@ def _word_features(words: list[str], bits: int) -> np.ndarray:
     for n in (0, 4, 5, 6, 7):
         asked = [w[:n] if len(w) >= n else "" for w in words] if n else words
         place = {w: i for i, w in enumerate(dict.fromkeys(asked))}
-        hashed = hashes((w.encode() for w in place), len(place), seed=n + 1) & np.uint64((1 << bits) - 1)
+        hashed = hashes(place, len(place), seed=n + 1) & np.uint64((1 << bits) - 1)
         columns.append(hashed.astype(np.int32)[np.fromiter(map(place.__getitem__, asked), np.int64, count=len(asked))])
     return np.stack(columns, axis=1)
 
 
 def _restored_kinds(kinds: list[bytes], model: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The restored form of each distinct word, and whether it was disguised."""
-    words, changed = [], np.zeros(len(kinds), dtype=np.int64)
-    for i, k in enumerate(kinds):
-        # plain ASCII letters, perhaps with one mark after them, need no look at their edges
-        body = k[:-1] if k[-1:] in (b".", b",") else k
-        if body.isalpha():
-            core = body.lower().decode()
-            hidden = _DRAWN.search(core)
+    """The restored form of each distinct word, and whether it was disguised.
+
+    Words of letters only, perhaps with a mark after them, need no look at their edges;
+    drawn-out letters are looked for in all words at once.
+    """
+    changed = np.zeros(len(kinds), dtype=np.int64)
+    if not kinds:
+        return [], changed
+    words = b"\n".join(kinds).decode("utf-8", "replace").lower().split("\n")
+    joined = "\n".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    drawn = set(np.searchsorted(ends, [m.start() for m in _DRAWN.finditer(joined)], side="right").tolist())
+    for i, word in enumerate(words):
+        if word.isalpha():
+            hidden = i in drawn
         else:
-            core = plain(k.decode("utf-8", "replace"))
-            hidden = disguised(core)
-        if hidden:
-            core = decode(core, model)
+            word = words[i] = word[:-1] if word[-1] in ".," and word[:-1].isalpha() else plain(word)
+            hidden = i in drawn or disguised(word)
+        if hidden and disguised(word):
+            words[i] = decode(word, model)
             changed[i] = 1
-        words.append(core)
     return words, changed
 
 
@@ -250,6 +256,7 @@ def text_features(texts: list, model: np.ndarray, bits: int = BITS, useful=None)
     """
     lists, starts = split_words(texts)
     kinds, codes = coded(lists, int(starts[-1]))
+    model = model.tolist()  # single numbers are looked up faster in lists
     words, changed = _restored_kinds(kinds, model)
     per_kind = _word_features(words, bits)
     owner = np.repeat(np.arange(len(texts)), np.diff(starts))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,16 +64,14 @@ def split_words(texts: list) -> tuple[list[list[bytes]], np.ndarray]:
 
 def coded(lists: list[list[bytes]], total: int) -> tuple[list[bytes], np.ndarray]:
     """The distinct words of all texts, and every word as its place among them."""
-    kinds = list(dict.fromkeys(chain.from_iterable(lists)))
-    place = dict(zip(kinds, range(len(kinds)), strict=True))
-    return kinds, np.fromiter(map(place.__getitem__, chain.from_iterable(lists)), dtype=np.int64, count=total)
+    place = defaultdict(count().__next__)
+    codes = np.fromiter(map(place.__getitem__, chain.from_iterable(lists)), dtype=np.int64, count=total)
+    return list(place), codes
 
 
-def hashes(words: Iterable[bytes], count: int, seed: int = 0) -> np.ndarray:
-    """64-bit hashes."""
-    digest = xxhash.xxh3_64_intdigest
-    found = (digest(w, seed) for w in words) if seed else map(digest, words)
-    return np.fromiter(found, dtype=np.uint64, count=count)
+def hashes(words: Iterable[bytes] | Iterable[str], n: int, seed: int = 0) -> np.ndarray:
+    """64-bit hashes; a text is hashed by its UTF-8 bytes."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(seed)), dtype=np.uint64, count=n)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
