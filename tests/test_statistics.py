@@ -47,6 +47,28 @@ def test_attach_broadcasts_only_below_its_bound(spark):
     assert sorted(small.collect()) == sorted(large.collect())
 
 
+def test_wide_lookups_are_not_broadcast(spark):
+    fact = spark.range(100).select((F.col("id") % 5).alias("k"))
+    lookup = spark.range(5).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"), F.array("id").alias("a"))
+    wide = joins.attach(fact, lookup, ["k"], max_broadcast_bytes=2000)
+    assert "SortMergeJoin" in wide._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in joins.attach(fact, lookup, ["k"])._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("mode", ["strict_prior", "full_period"])
+def test_lookups_are_computed_once(make_flights, monkeypatch, mode):
+    """What is counted for the broadcast and joined after is a written table, not a plan with a group-by."""
+    seen = []
+
+    def watched(fact, lookup, *args, **kwargs):
+        seen.append(lookup._jdf.queryExecution().executedPlan().toString())
+        return joins.attach(fact, lookup, *args, **kwargs)
+
+    monkeypatch.setattr(history, "attach", watched)
+    history.add_history(flights_for_history(make_flights), mode).collect()
+    assert len(seen) >= 4 and not any("Aggregate" in plan or "Window" in plan for plan in seen)
+
+
 def test_hot_keys_are_kept_out_of_the_shuffled_match(spark):
     fact = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 3000).alias("k"), "id")
@@ -105,7 +127,7 @@ def brute_history(pdf, mode):
 @pytest.mark.parametrize("mode", ["strict_prior", "full_period"])
 @pytest.mark.parametrize("bound", [joins.BROADCAST_ROWS, 0])
 def test_history_equals_brute_force(make_flights, monkeypatch, mode, bound):
-    monkeypatch.setattr(joins.attach, "__defaults__", ("left", bound, None))
+    monkeypatch.setattr(joins.attach, "__defaults__", ("left", bound, None, joins.BROADCAST_BYTES))
     df = flights_for_history(make_flights)
     number = "Flight_Number_Reporting_Airline"
     got = {r[number]: r for r in history.add_history(df, mode).collect()}
