@@ -18,6 +18,7 @@ MARK = "▁"  # fixed value: the whitespace marker
 UNKNOWN_PENALTY = 10.0  # fixed value: how far below the least piece an unknown letter scores
 ZIPF_SHIFT = 2.7
 LONG = 64  # longer segments are searched one by one
+BLOCK_LETTERS = 1 << 18  # letters searched at a time
 SEGMENT = re.compile(rb" *[^ ]+| +\Z")
 
 
@@ -30,6 +31,7 @@ class Pieces(NamedTuple):
     letters: np.ndarray  # code points in pieces, sorted; a letter's code is its place plus one
     scores: np.ndarray
     spelled: list[bytes]
+    sizes: np.ndarray  # letters of each piece
     first_byte: int
     depth: int
 
@@ -107,7 +109,10 @@ def load(path: str) -> Pieces:
     letters = sorted({c for w in words for c in w})
     base, check, value = double_array(words, {c: i + 1 for i, c in enumerate(letters)})
     points = np.array([ord(c) for c in letters], dtype=np.uint32)
-    return Pieces(base, check, value, points, given, spelled, first_byte, max(map(len, words)))
+    sizes = np.zeros(len(ids), dtype=np.int64)
+    for word, i in words.items():
+        sizes[i] = len(word)
+    return Pieces(base, check, value, points, given, spelled, sizes, first_byte, max(map(len, words)))
 
 
 def _codes(points: np.ndarray, pieces: Pieces) -> np.ndarray:
@@ -145,7 +150,7 @@ def _matches(codes: np.ndarray, room: np.ndarray, pieces: Pieces) -> tuple[np.nd
     return found, score
 
 
-def _search(found: np.ndarray, score: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _search(score: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Length of the last piece of the best path to each place; the place of letter i's end is i.
 
     Segments advance letter by letter together, the longest first in the arrays, so the
@@ -171,38 +176,35 @@ def _search(found: np.ndarray, score: np.ndarray, begins: np.ndarray, sizes: np.
     return back[:n]
 
 
-def _search_one(found: np.ndarray, score: np.ndarray) -> np.ndarray:
-    """The same for one long segment, start by start."""
-    depth, n = score.shape
-    best = [-np.inf] * (n + 1)
-    best[0] = 0.0
-    back = np.zeros(n, dtype=np.int32)
-    starts, lengths = np.nonzero((found != -1).T)
-    for i, d in zip(starts.tolist(), lengths.tolist(), strict=True):
-        value = best[i] + score[d, i]
-        if value > best[i + d + 1]:
-            best[i + d + 1] = value
-            back[i + d] = d + 1
-    return back
-
-
-def encode_segments(segments: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Piece ids of all segments, one after the other, and how many each has."""
-    if not segments:
-        return np.zeros(0, np.int32), np.zeros(0, np.int64)
-    texts = [s.decode("utf-8", "replace") for s in segments]
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+def _long_path(codes: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Ids on the best path of one long segment, start by start; matches are taken in bounded runs of starts."""
+    n = len(codes)
+    best, back, ids = [0.0] + [-np.inf] * n, [0] * (n + 1), [0] * (n + 1)
+    for begin in range(0, n, BLOCK_LETTERS):
+        here = min(n, begin + BLOCK_LETTERS)
+        seen = codes[begin:min(n, here + pieces.depth)]
+        found, score = _matches(seen, len(seen) - np.arange(len(seen)), pieces)
+        starts, lengths = np.nonzero((found[:, :here - begin] != -1).T)
+        given, scored = found[lengths, starts].tolist(), score[lengths, starts].tolist()
+        for i, d, piece, value in zip((starts + begin).tolist(), lengths.tolist(), given, scored, strict=True):
+            value += best[i]
+            if value > best[i + d + 1]:
+                best[i + d + 1], back[i + d + 1], ids[i + d + 1] = value, d + 1, piece
+    path, at = [], n
+    while at:
+        path.append(ids[at])
+        at -= back[at]
+    return np.array(path[::-1], dtype=np.int32)
+
+
+def _short_paths(codes: np.ndarray, sizes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids on the best paths of a block of short segments, and how many each has."""
     ends = np.cumsum(sizes)
     begins = ends - sizes
-    room = np.repeat(ends, sizes) - np.arange(len(points))
-    found, score = _matches(_codes(points, pieces), room, pieces)
-    short = sizes <= LONG
-    back = _search(found, score, begins[short], sizes[short])
-    for a, b in zip(begins[~short], ends[~short], strict=True):
-        back[a:b] = _search_one(found[:, a:b], score[:, a:b])
+    found, score = _matches(codes, np.repeat(ends, sizes) - np.arange(len(codes)), pieces)
+    back = _search(score, begins, sizes)
     # walk back from every segment's last letter
-    last = np.zeros(len(points), dtype=bool)
+    last = np.zeros(len(codes), dtype=bool)
     at, low = ends[sizes > 0] - 1, begins[sizes > 0]
     while len(at):
         last[at] = True
@@ -210,17 +212,57 @@ def encode_segments(segments: list[bytes], pieces: Pieces) -> tuple[np.ndarray,
         on = at >= low
         at, low = at[on], low[on]
     at = np.flatnonzero(last)
-    ids = found[back[at] - 1, at - back[at] + 1]
-    owner = np.repeat(np.arange(len(segments)), sizes)[at]
-    # unknown letters become their bytes
+    owner = np.repeat(np.arange(len(sizes)), sizes)[at]
+    return found[back[at] - 1, at - back[at] + 1], np.bincount(owner, minlength=len(sizes))
+
+
+def encode_segments(segments: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of all segments, one after the other, and how many each has.
+
+    Segments are searched in blocks of bounded letters, a long one by itself.
+    """
+    texts = [s.decode("utf-8", "replace") for s in segments]
+    out_ids, out_counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    begin = held = 0
+    for end in range(len(texts) + 1):
+        long = end < len(texts) and len(texts[end]) > LONG
+        if end > begin and (end == len(texts) or long or held + len(texts[end]) > BLOCK_LETTERS):
+            ids, counts = _encode_block(texts[begin:end], pieces)
+            out_ids.append(ids)
+            out_counts.append(counts)
+            begin, held = end, 0
+        if long:
+            ids, counts = _encode_block([texts[end]], pieces)
+            out_ids.append(ids)
+            out_counts.append(counts)
+            begin = end + 1
+        elif end < len(texts):
+            held += len(texts[end])
+    return np.concatenate(out_ids), np.concatenate(out_counts)
+
+
+def _encode_block(texts: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of a block of segments; letters that are in no piece become their bytes."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    codes = _codes(points, pieces)
+    if len(texts) == 1 and len(points) > LONG:
+        ids = _long_path(codes, pieces)
+        counts = np.array([len(ids)])
+    else:
+        ids, counts = _short_paths(codes, np.array([len(t) for t in texts], dtype=np.int64), pieces)
     unknown = ids == -2
     if unknown.any():
+        # the place of each piece's first letter: known pieces have as many letters as they spell
+        letters = np.where(unknown, 1, pieces.sizes[np.maximum(ids, 0)])
+        at = np.cumsum(letters) - letters
         raw = [chr(p).encode("utf-8", "surrogatepass") for p in points[at[unknown]]]
         width = np.ones(len(ids), dtype=np.int64)
         width[unknown] = [len(r) for r in raw]
-        ids, owner, unknown = np.repeat(ids, width), np.repeat(owner, width), np.repeat(unknown, width)
+        owner = np.repeat(np.repeat(np.arange(len(texts)), counts), width)
+        ids, unknown = np.repeat(ids, width), np.repeat(unknown, width)
         ids[unknown] = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.int32) + pieces.first_byte
-    return ids, np.bincount(owner, minlength=len(segments))
+        counts = np.bincount(owner, minlength=len(texts))
+    return ids, counts
 
 
 def decode(ids, pieces: Pieces) -> bytes:

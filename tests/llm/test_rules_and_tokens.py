@@ -179,6 +179,7 @@ def test_long_segments_match_short_search(vocabulary, monkeypatch):
     texts = ["".join(rnd.choice("abcdeth") for _ in range(n)) for n in (1, 5, 63, 64, 65, 400)]
     one = encoded(texts, vocabulary)
     monkeypatch.setattr(P, "LONG", 0)
+    monkeypatch.setattr(P, "BLOCK_LETTERS", 37)
     assert encoded(texts, vocabulary) == one
 
 
