@@ -68,21 +68,29 @@ def _vectors(part: pa.RecordBatch, texts: list, bits: int) -> dict:
 
 
 def ftrl(rows: list, bits: int, epochs: int = EPOCHS, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05):
-    """FTRL-proximal over sparse rows (label, indices, values); returns weights and the bias."""
-    size = (1 << bits) + 1  # the last place is the bias
-    z, n, w = np.zeros(size), np.zeros(size), np.zeros(size)
-    rows = [(y, np.append(i, size - 1), np.append(x, 1.0).astype(float)) for y, i, x in rows]
+    """FTRL-proximal over sparse rows (label, indices, values); returns weights and the bias.
+
+    The rows are only looked at, never copied, so memory stays at the sample's own size.
+    """
+    z, n = np.zeros(1 << bits), np.zeros(1 << bits)
+    z_bias = n_bias = 0.0
+
+    def weights(zi, ni):
+        return np.where(np.abs(zi) > l1, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2), 0.0)
+
     for _ in range(epochs):
         for y, i, x in rows:
             zi, ni = z[i], n[i]
-            wi = np.where(np.abs(zi) > l1, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2), 0.0)
-            p = 1.0 / (1.0 + np.exp(-np.clip(wi @ x, -35, 35)))
+            wi, w_bias = weights(zi, ni), float(weights(z_bias, n_bias))
+            p = 1.0 / (1.0 + np.exp(-np.clip(wi @ x + w_bias, -35, 35)))
             g = (p - y) * x
             grown = ni + g * g
             z[i] = zi + g - (np.sqrt(grown) - np.sqrt(ni)) / alpha * wi
             n[i] = grown
-    np.divide(-(z - np.sign(z) * l1), (beta + np.sqrt(n)) / alpha + l2, out=w, where=np.abs(z) > l1)
-    return w[:-1].astype(np.float32), float(w[-1])
+            grown = n_bias + (p - y) ** 2
+            z_bias += (p - y) - (np.sqrt(grown) - np.sqrt(n_bias)) / alpha * w_bias
+            n_bias = grown
+    return weights(z, n).astype(np.float32), float(weights(z_bias, n_bias))
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:

@@ -293,7 +293,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn, letters, sample: int = SA
     got = vectors.toArrow().sort_by([("doc_id", "ascending")])
     order = np.random.default_rng(11).permutation(got.num_rows)
     y, i = (got.column(c).combine_chunks() for c in ("label", "i"))
-    rows = [(y[int(k)].as_py(), ids := i[int(k)].values.to_numpy(), np.ones(len(ids))) for k in order]
+    one = np.float64(1.0)  # a feature is there or not: a view of a single number, not an array per row
+    rows = [(y[int(k)].as_py(), ids := i[int(k)].values.to_numpy(), np.broadcast_to(one, len(ids))) for k in order]
     if not rows:
         return np.zeros(1 << bits, np.float32), 0.0
     return ftrl(rows, bits, EPOCHS, alpha=1.0, l1=4.0, l2=0.1)
