@@ -60,14 +60,14 @@ def _trigrams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not kinds:
                 continue
             joined = (b"\n\n" + b"\n\n".join(kinds) + b"\n\n").decode("utf-8", "replace")
-            at = _CLASS_OF[np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)].astype(np.int64)
+            at = _CLASS_OF[np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)].astype(np.int32)
             edge = at == 0
             # the number of the word that each place belongs to; both edges after a word are its own
-            word = np.cumsum(edge[:-2] & edge[1:-1] & ~edge[2:]) - 1
-            weight = np.bincount(codes, minlength=len(kinds))[np.clip(word, 0, len(kinds) - 1)]
-            code = at[:-2] * SIZE * SIZE + at[1:-1] * SIZE + at[2:]
+            word = np.cumsum(edge[:-2] & edge[1:-1] & ~edge[2:], dtype=np.int32) - 1
             useful = (at[:-2] != OTHER) & (at[1:-1] != OTHER) & (at[2:] != OTHER) & ~(edge[1:-1] & edge[2:])
-            counts += np.bincount(code[useful], weights=weight[useful], minlength=SIZE**3).astype(np.int64)
+            code = (at[:-2] * (SIZE * SIZE) + at[1:-1] * SIZE + at[2:])[useful]
+            weight = np.bincount(codes, minlength=len(kinds))[word[useful]]
+            counts += np.bincount(code, weights=weight, minlength=SIZE**3).astype(np.int64)
     found = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["trigram", "n"])
 

@@ -8,33 +8,29 @@ from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 6 << 20
-
-
-def texts_of(column) -> list:
-    """UTF-8 bytes of each text, null as None."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return column.cast(pa.binary()).to_pylist()
+SLICE_BYTES = 3 << 20
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Cuts a batch so that the texts of a part have about ``most`` bytes; a longer text is a part of its own."""
-    texts = texts_of(batch.column(batch.schema.get_field_index(text)))
+    """Cuts a batch so that the texts of a part have about ``most`` bytes; a longer text is a part of its own.
+
+    With each part come its texts as UTF-8 bytes, null as None; only one part's are held.
+    """
+    at = batch.schema.get_field_index(text)
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
     start = held = 0
-    for i, x in enumerate(texts):
-        size = len(x) if x else 0
+    for i, size in enumerate([*sizes, most + 1]):
         if i > start and held + size > most:
-            yield batch.slice(start, i - start), texts[start:i]
+            part = batch.slice(start, i - start)
+            yield part, part.column(at).cast(pa.binary()).to_pylist()
             start, held = i, 0
         held += size
-    if start < len(texts):
-        yield batch.slice(start), texts[start:]
 
 
 def over_slices(
