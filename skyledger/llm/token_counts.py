@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame
 
 from skyledger.llm.words import coded, over_slices, split_words, sums_per_text
 
-# The file's pre-token pattern, for lower-case ASCII without white space.
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# The file's pre-token pattern, for lower-case words of the plain letters below.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 WORD_END = "</w>"
-PLAIN = re.compile(rb"[!-~]+")
+# printable ASCII and Latin-1 letters: the normaliser only lower-cases them, one for one
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+SLICE_BYTES = 8 << 20  # little is held besides the words, and larger slices merge fewer of them
 _loaded: dict = {}
 
 
@@ -44,7 +46,7 @@ def whole_tokens(text: str) -> frozenset[str]:
     found = []
     for token in tokenizer.get_vocab():
         word = token.removesuffix(WORD_END)
-        if word != token and word.isascii() and ASCII_PIECES.fullmatch(word) and ASCII_PIECES.findall(word) == [word]:
+        if word != token and word.isascii() and PIECES.fullmatch(word) and PIECES.findall(word) == [word]:
             found.append(word)
     found.sort()
     return frozenset(w for w, n in zip(found, lengths(tokenizer, found), strict=True) if n == 1)
@@ -53,25 +55,26 @@ def whole_tokens(text: str) -> frozenset[str]:
 def count_kinds(kinds: list[bytes], tokenizer, whole: frozenset[str]) -> np.ndarray:
     """Tokens of each distinct word.
 
-    A printable ASCII word without a special string is cut into pre-tokens: proven
-    whole tokens count one, the others are merged by the library once each. Any other
-    word goes through the library as it is.
+    A word of plain letters and marks without a special string is cut into pre-tokens:
+    proven whole tokens count one, the others are merged by the library once each. Any
+    other word goes through the library as it is.
     """
     counts = np.zeros(len(kinds), dtype=np.int64)
     rest: dict[str, list[int]] = {}
-    for i, word in enumerate(kinds):
-        if PLAIN.fullmatch(word) and b"<|" not in word:
-            lower = word.decode().lower()
+    for i, kind in enumerate(kinds):
+        word = kind.decode("utf-8", "replace")
+        if PLAIN.fullmatch(word) and "<|" not in word:
+            lower = word.lower()
             if lower in whole:
                 counts[i] = 1
                 continue
-            for piece in ASCII_PIECES.findall(lower):
+            for piece in PIECES.findall(lower):
                 if piece in whole:
                     counts[i] += 1
                 else:
                     rest.setdefault(piece, []).append(i)
         else:
-            rest.setdefault(word.decode("utf-8", "replace"), []).append(i)
+            rest.setdefault(word, []).append(i)
     asked = list(rest)
     for begin in range(0, len(asked), 20_000):
         some = asked[begin:begin + 20_000]
@@ -103,4 +106,4 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
     with open(path, encoding="utf-8") as f:
         file_text = f.read()
     shared = docs.sparkSession.sparkContext.broadcast((file_text, whole_tokens(file_text)))
-    return over_slices(docs.select("doc_id", "text"), _work, "doc_id long, n_bytes long, n_tokens long", shared=shared)
+    return over_slices(docs.select("doc_id", "text"), _work, "doc_id long, n_bytes long, n_tokens long", most=SLICE_BYTES, shared=shared)
