@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.groups import smallest_labels
+from skyledger.operators.joins import attach
 from skyledger.sources.staging import stage
 
 NEIGHBOURS = 12  # length of a neighbour list
@@ -20,6 +21,7 @@ OFFERS = 4  # best new neighbours that a join offers to each of its members
 TREES, LEAF = 6, 64
 ROUNDS = 6
 BLOCK = 1024
+SLACK = 1e-6  # radians, far above the rounding of an angle
 AUDITED = 256
 GOOD_RECALL = 0.98
 ATTEMPTS = 4
@@ -205,11 +207,106 @@ def _descend(edges: DataFrame, vectors: DataFrame, least: float, wanted: int, ro
 
 # ---- links
 
+def _ball_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum of the unit vectors of each component in a batch."""
+    for batch in batches:
+        names = batch.column("component").dictionary_encode()
+        codes = names.indices.to_numpy()
+        sizes = np.diff(batch.column("unit").offsets.to_numpy())
+        out_names, out_sums = [], []
+        for dim in np.unique(sizes):
+            at = np.flatnonzero(sizes == dim)
+            kinds, where = np.unique(codes[at], return_inverse=True)
+            sums = np.zeros((len(kinds), int(dim)))
+            np.add.at(sums, where, _matrix(batch.column("unit").take(pa.array(at))))
+            out_names.append(names.dictionary.take(pa.array(kinds)))
+            out_sums += sums.tolist()
+        if out_names:
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays(out_names), pa.array(out_sums, pa.list_(pa.float64()))], names=["component", "centre"]
+            )
+
+
+def _ball_centre(parts: pa.Table) -> pa.Table:
+    """The direction of the sum; any direction will do where the vectors cancel out."""
+    total = _matrix(parts.column("centre")).sum(axis=0)
+    length = math.sqrt(float((total * total).sum()))
+    centre = total / length if length > 1e-9 else np.eye(1, len(total))[0]
+    return pa.table({"component": parts.column("component").slice(0, 1), "centre": pa.array([centre.tolist()], pa.list_(pa.float64()))})
+
+
+def _angles_to_centre(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replaces the column ``centre`` by the angle between it and ``unit``."""
+    for batch in batches:
+        sizes = np.diff(batch.column("unit").offsets.to_numpy())
+        angles = np.zeros(batch.num_rows)
+        for dim in np.unique(sizes):
+            at = pa.array(np.flatnonzero(sizes == dim))
+            cosines = _cosines(_matrix(batch.column("unit").take(at)), _matrix(batch.column("centre").take(at)))
+            angles[at.to_numpy()] = np.arccos(np.clip(cosines, -1.0, 1.0))
+        rest = [c for c in batch.schema.names if c != "centre"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(angles)], names=[*rest, "angle"])
+
+
+def _with_angles(rows: DataFrame) -> DataFrame:
+    kept = [f"`{name}` {kind}" for name, kind in rows.dtypes if name != "centre"]
+    return rows.mapInArrow(_angles_to_centre, ", ".join([*kept, "angle double"]))
+
+
+def _near_balls(reach: float):
+    """Pairs of components, one of each block, between whose balls a link is possible."""
+
+    def meet(block: pa.Table) -> pa.Table:
+        side, dims = block.column("side").to_numpy(), block.column("dim").to_numpy()
+        found_a, found_b = [], []
+        for dim in np.unique(dims):
+            left, right = (block.filter(pa.array((side == s) & (dims == dim))) for s in (0, 1))
+            if not left.num_rows or not right.num_rows:
+                continue
+            angles = np.arccos(np.clip(_matrix(left.column("centre")) @ _matrix(right.column("centre")).T, -1.0, 1.0))
+            far = left.column("radius").to_numpy()[:, None] + right.column("radius").to_numpy()[None, :] + reach
+            i, j = np.nonzero(angles <= far)
+            found_a += left.column("component").take(pa.array(i)).to_pylist()
+            found_b += right.column("component").take(pa.array(j)).to_pylist()
+        return pa.table({"here": pa.array(found_a, pa.binary()), "there": pa.array(found_b, pa.binary())})
+
+    return meet
+
+
+def _meetings(spots: DataFrame, least: float) -> DataFrame:
+    """``spots`` under each pair (here, there) of components: the own one, and all that a vector may have links into.
+
+    A component lies in a ball around its mean direction. By the triangle inequality a
+    vector has no link into a component whose centre is farther off than the ball's radius
+    and the threshold's angle together, so what is left out is out of reach.
+    """
+    own = spots.withColumns({"here": F.col("component"), "there": F.col("component")})
+    reach = math.acos(max(-1.0, min(1.0, least))) + SLACK
+    sums = spots.select("component", "unit").mapInArrow(_ball_sums, "component binary, centre array<double>")
+    centres = stage(sums.groupBy("component").applyInArrow(_ball_centre, "component binary, centre array<double>"), "vectors-centres")
+    angles = _with_angles(attach(spots.select("component", "unit"), centres, ["component"], how="inner"))
+    radii = angles.groupBy("component").agg(F.max("angle").alias("radius"))
+    balls = stage(centres.join(radii, "component").withColumn("dim", F.size("centre")), "vectors-balls")
+    n = balls.count()
+    if n < 2:
+        return own
+    cuts = math.ceil(n / BLOCK)
+    place, every = F.pmod(F.xxhash64("component"), F.lit(cuts)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(cuts - 1)))
+    columns = ["l", "r", "side", "component", "centre", "radius", "dim"]
+    lefts = balls.withColumns({"l": place, "side": F.lit(0)}).withColumn("r", every).select(columns)
+    rights = balls.withColumns({"r": place, "side": F.lit(1)}).withColumn("l", every).select(columns)
+    pairs = lefts.union(rights).groupBy("l", "r").applyInArrow(_near_balls(reach), "here binary, there binary")
+    others = balls.select(F.col("component").alias("there"), "centre", "radius")
+    pairs = stage(pairs.filter("here <> there").join(others, "there").withColumn("component", F.col("here")), "vectors-near-balls")
+    across = _with_angles(attach(spots, pairs, ["component"], how="inner")).filter(F.col("angle") <= F.col("radius") + reach)
+    return own.unionByName(across.select(own.columns))
+
+
 def _block_counts(least: float):
-    """Links between a block of saturated vectors and a block of their component.
+    """Links between a block of saturated vectors and a block of their own or another component.
 
     Links between two saturated vectors are counted, never listed; those to a vector with
-    a short list, which has few, are listed.
+    a short list, which has few, are listed. Components that a link joins come with n = 0.
     """
 
     def compare(block: pa.Table) -> pa.Table:
@@ -229,20 +326,33 @@ def _block_counts(least: float):
         full = right.column("saturated").to_numpy(zero_copy_only=False).astype(bool)
         counts = linked[:, full].astype(np.int64) @ right.column("copies").to_numpy()[full]
         i, j = np.nonzero(linked & ~full)
+        joined, met = _components_met(left.column("component"), right.column("component"), linked)
         return pa.table({
-            "node": pa.concat_arrays([a, a.take(pa.array(i))]),
-            "other": pa.concat_arrays([pa.nulls(len(a), pa.binary()), b.take(pa.array(j))]),
-            "n": pa.concat_arrays([pa.array(counts), pa.nulls(len(i), pa.int64())]),
+            "node": pa.concat_arrays([a, a.take(pa.array(i)), joined]),
+            "other": pa.concat_arrays([pa.nulls(len(a), pa.binary()), b.take(pa.array(j)), met]),
+            "n": pa.concat_arrays([pa.array(counts), pa.nulls(len(i), pa.int64()), pa.array(np.zeros(len(met), np.int64))]),
         })
 
     return compare
 
 
+def _components_met(left: pa.ChunkedArray, right: pa.ChunkedArray, linked: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """The pairs of different components with a link between them, each once."""
+    both = pa.chunked_array([*left.chunks, *right.chunks], pa.binary()).combine_chunks().dictionary_encode()
+    codes = both.indices.to_numpy().astype(np.int64)
+    a, b = codes[:len(left)], codes[len(left):]
+    i, j = np.nonzero(linked & (a[:, None] != b[None, :]))
+    pairs = np.unique(a[i] * len(both.dictionary) + b[j])
+    return tuple(both.dictionary.take(pa.array(x)) for x in np.divmod(pairs, len(both.dictionary)))
+
+
 def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int) -> tuple[DataFrame, DataFrame]:
     """node, component and node, n_links (copies of the node itself left out) of every vector with a link.
 
-    A list of which even the last entry is a link may be too short: such a saturated
-    vector is compared with its whole component instead, block by block.
+    A link with a vector whose list ends below the threshold is in that list. A list of
+    which even the last entry is a link may be too short: such a saturated vector is
+    compared, block by block, with its own component and with all others that hold
+    saturated vectors and are not out of its reach. Components joined thereby are one.
     """
     links = stage(lists.filter(F.col("sim") >= least).select("a", "b"), "vectors-links")
     saturated = stage(links.groupBy("a").count().filter(F.col("count") >= wanted).select(F.col("a").alias("node")), "vectors-saturated")
@@ -252,32 +362,44 @@ def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int) -> t
         .withColumn("saturated", F.coalesce("saturated", F.lit(False))),
         "vectors-flagged",
     )
-    sizes = flagged.groupBy("component").agg(F.count("*").alias("n"), F.count(F.when(F.col("saturated"), 1)).alias("n_full"))
-    dense = stage(sizes.filter("n_full > 0"), "vectors-dense")
-    spots = flagged.join(dense, "component").join(vectors.select("node", "unit", "copies"), "node").select(
-        "component", "node", "saturated", "unit", "copies",
-        F.ceil(F.col("n_full") / BLOCK).cast("int").alias("nl"), F.ceil(F.col("n") / BLOCK).cast("int").alias("nr"),
+    dense = stage(flagged.filter("saturated").select("component").distinct(), "vectors-dense")
+    spots = flagged.join(dense, "component").join(vectors.select("node", "unit", "copies"), "node")
+    spots = stage(spots.select("component", "node", "saturated", "unit", "copies"), "vectors-spots")
+    met = stage(_meetings(spots, least), "vectors-meetings")
+    sizes = stage(met.groupBy("here", "there").agg(F.count("*").alias("n"), F.count(F.when(F.col("saturated"), 1)).alias("n_full")), "vectors-sizes")
+    # a grid for each pair: the saturated vectors here by all vectors there
+    sides = sizes.select("here", "there", F.ceil(F.col("n_full") / BLOCK).cast("int").alias("nl")).filter("nl > 0").join(
+        sizes.select(F.col("here").alias("there"), F.col("there").alias("here"), F.ceil(F.col("n") / BLOCK).cast("int").alias("nr")),
+        ["here", "there"],
     )
-    spots = stage(spots, "vectors-spots")
-    columns = ["component", "l", "r", "side", "node", "saturated", "unit", "copies"]
-    lefts = spots.filter("saturated").withColumns({
+    sides = stage(sides, "vectors-sides")
+    columns = ["here", "there", "l", "r", "side", "component", "node", "saturated", "unit", "copies"]
+    lefts = attach(met.filter("saturated"), sides, ["here", "there"], how="inner").withColumns({
         "l": F.pmod(F.xxhash64(F.lit("l"), "node"), F.col("nl")).cast("int"),
         "r": F.explode(F.sequence(F.lit(0), F.col("nr") - 1)), "side": F.lit(0),
     }).select(columns)
-    rights = spots.withColumns({
+    swapped = met.select(F.col("there").alias("here"), F.col("here").alias("there"), "component", "node", "saturated", "unit", "copies")
+    rights = attach(swapped, sides, ["here", "there"], how="inner").withColumns({
         "r": F.pmod(F.xxhash64("node"), F.col("nr")).cast("int"),
         "l": F.explode(F.sequence(F.lit(0), F.col("nl") - 1)), "side": F.lit(1),
     }).select(columns)
-    blocks = lefts.union(rights).groupBy("component", "l", "r")
+    blocks = lefts.union(rights).groupBy("here", "there", "l", "r")
     found = stage(blocks.applyInArrow(_block_counts(least), "node binary, other binary, n long"), "vectors-blocks")
 
+    # components with a link between them are one
+    joined = stage(found.filter("other is not null and n = 0").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), "vectors-joined")
+    if not joined.isEmpty():
+        wider = smallest_labels(labels.select(F.col("component").alias("node")).distinct(), joined)
+        wider = wider.select(F.col("node").alias("component"), F.col("component").alias("wider"))
+        labels = stage(labels.join(wider, "component").select("node", F.col("wider").alias("component")), "vectors-labels")
+
     # listed links: at least one end has a short list
     is_full = flagged.select("node", "saturated")
     marked = links.join(is_full.withColumnsRenamed({"node": "a", "saturated": "a_full"}), "a").join(
         is_full.withColumnsRenamed({"node": "b", "saturated": "b_full"}), "b"
     )
     listed = marked.filter("not (a_full and b_full)").select("a", "b")
-    listed = listed.union(found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    listed = listed.union(found.filter("other is not null and n is null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     both = listed.union(listed.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     weighed = both.join(vectors.select(F.col("node").alias("b"), F.col("copies").alias("n")), "b").select(F.col("a").alias("node"), "n")
     counted = weighed.union(found.filter("other is null").select("node", "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
@@ -333,7 +455,8 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
 
     The graph starts from leaves of random-hyperplane trees and is refined by joining
     neighbours of neighbours until a round finds next to no new link. Vectors whose list
-    holds nothing but links are compared with their component in blocks. A sample of
+    holds nothing but links are compared in blocks with every dense component in their
+    reach. A sample of
     ``audited`` vectors is then compared with all: below a recall of 0.98 the lists are
     made twice as long, further trees join, and the work is done again, at most four
     times. No link is ever wrong; some may be missed.

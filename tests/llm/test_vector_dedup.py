@@ -70,6 +70,20 @@ def test_lists_and_blocks_agree(spark, monkeypatch):
     assert result(V.link_vectors(table(spark, vectors))) == expected(vectors, 0.9)
 
 
+def test_links_between_dense_groups(spark, monkeypatch):
+    # every list is full of its own group: no listed link leads across, nor does a short list
+    monkeypatch.setattr(V, "BLOCK", 32)
+    monkeypatch.setattr(V, "ATTEMPTS", 1)
+    rnd = np.random.default_rng(4)
+    one, two, far = np.linalg.qr(rnd.standard_normal((64, 3)))[0].T
+    two = 0.935 * one + math.sqrt(1 - 0.935**2) * two
+    vectors = [c + 0.0125 * rnd.standard_normal(64) for c in (one, two, far) for _ in range(100)]
+    vectors = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    want = expected(vectors, 0.9)
+    assert len({r[2] for r in want}) == 2 and max(r[1] for r in want) > 150
+    assert result(V.link_vectors(table(spark, vectors))) == want
+
+
 def test_recall_without_lucky_leaves(spark, monkeypatch):
     # one tree only: the joins and the audit have to make up for it
     monkeypatch.setattr(V, "TREES", 1)
