@@ -23,6 +23,7 @@ ROUNDS = 6
 BLOCK = 1024
 SLACK = 1e-6  # radians, far above the rounding of an angle
 AUDITED = 256
+OTHERS = 4
 GOOD_RECALL = 0.98
 ATTEMPTS = 4
 
@@ -346,26 +347,31 @@ def _components_met(left: pa.ChunkedArray, right: pa.ChunkedArray, linked: np.nd
     return tuple(both.dictionary.take(pa.array(x)) for x in np.divmod(pairs, len(both.dictionary)))
 
 
-def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int) -> tuple[DataFrame, DataFrame]:
-    """node, component and node, n_links (copies of the node itself left out) of every vector with a link.
+def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """node, component, saturated and node, n_links (copies of the node itself left out) of every vector with a link.
 
     A link with a vector whose list ends below the threshold is in that list. A list of
     which even the last entry is a link may be too short: such a saturated vector is
     compared, block by block, with its own component and with all others that hold
-    saturated vectors and are not out of its reach. Components joined thereby are one.
+    saturated vectors and are not out of its reach. Components joined thereby are one. With ``whole`` every vector
+    is taken as saturated and compared with all of its length.
     """
     links = stage(lists.filter(F.col("sim") >= least).select("a", "b"), "vectors-links")
     saturated = stage(links.groupBy("a").count().filter(F.col("count") >= wanted).select(F.col("a").alias("node")), "vectors-saturated")
     labels = smallest_labels(vectors.select("node"), links)
     flagged = stage(
         labels.join(saturated.withColumn("saturated", F.lit(True)), "node", "left")
-        .withColumn("saturated", F.coalesce("saturated", F.lit(False))),
+        .withColumn("saturated", F.lit(True) if whole else F.coalesce("saturated", F.lit(False))),
         "vectors-flagged",
     )
     dense = stage(flagged.filter("saturated").select("component").distinct(), "vectors-dense")
     spots = flagged.join(dense, "component").join(vectors.select("node", "unit", "copies"), "node")
     spots = stage(spots.select("component", "node", "saturated", "unit", "copies"), "vectors-spots")
-    met = stage(_meetings(spots, least), "vectors-meetings")
+    if whole:
+        of_length = F.size("unit").cast("string").cast("binary")
+        met = stage(spots.withColumns({"here": of_length, "there": of_length}), "vectors-meetings")
+    else:
+        met = stage(_meetings(spots, least), "vectors-meetings")
     sizes = stage(met.groupBy("here", "there").agg(F.count("*").alias("n"), F.count(F.when(F.col("saturated"), 1)).alias("n_full")), "vectors-sizes")
     # a grid for each pair: the saturated vectors here by all vectors there
     sides = sizes.select("here", "there", F.ceil(F.col("n_full") / BLOCK).cast("int").alias("nl")).filter("nl > 0").join(
@@ -403,22 +409,28 @@ def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int) -> t
     both = listed.union(listed.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     weighed = both.join(vectors.select(F.col("node").alias("b"), F.col("copies").alias("n")), "b").select(F.col("a").alias("node"), "n")
     counted = weighed.union(found.filter("other is null").select("node", "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
-    return labels, stage(counted, "vectors-counted")
+    told = stage(labels.join(is_full, "node"), "vectors-labels-told")
+    return told, stage(counted, "vectors-counted")
 
 
-def _audit(vectors: DataFrame, counted: DataFrame, least: float, audited: int) -> float:
-    """Share of the links of some vectors, picked by hash, that were found; 1.0 if they have none.
+def _audit(vectors: DataFrame, labels: DataFrame, counted: DataFrame, least: float, audited: int) -> dict[bool, float]:
+    """Mean share of its own links that was found for a vector, apart for saturated (True) and other vectors (False).
 
-    The picked vectors, at most ``audited`` of them, are compared with every vector in
-    blocks; only sums per picked vector come back.
+    Of each kind some vectors are picked by hash, ``audited`` of the saturated and
+    ``OTHERS`` times as many of the others, most of which have no link. They are compared
+    with every vector in blocks; only sums per picked vector come back. Picked vectors
+    without a link say nothing; a kind without any has no entry.
     """
-    picked = vectors.orderBy(F.xxhash64(F.lit("audit"), "node"), "node").limit(audited).select("node", "unit", "dim").toArrow()
-    if not picked.num_rows:
-        return 1.0
-    names = picked.column("node").to_pylist()
+    kinds = vectors.select("node", "unit", "dim", "copies").join(labels.select("node", "saturated"), "node").join(counted, "node", "left")
+    order = [F.xxhash64(F.lit("audit"), "node"), F.col("node")]
+    few, many = (
+        kinds.filter(chosen).orderBy(*order).limit(n)
+        for chosen, n in ((F.col("saturated"), audited), (~F.col("saturated"), audited * OTHERS))
+    )
+    picked = few.union(many).toArrow().to_pylist()
     by_dim = {}
-    for i, (dim, unit) in enumerate(zip(picked.column("dim").to_pylist(), picked.column("unit").to_pylist(), strict=True)):
-        by_dim.setdefault(dim, []).append((i, unit))
+    for i, row in enumerate(picked):
+        by_dim.setdefault(row["dim"], []).append((i, row["unit"]))
     shared = vectors.sparkSession.sparkContext.broadcast({d: ([i for i, _ in rows], np.array([u for _, u in rows])) for d, rows in by_dim.items()})
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,8 +438,9 @@ def _audit(vectors: DataFrame, counted: DataFrame, least: float, audited: int) -
         for batch in batches:
             dims, copies = batch.column("dim").to_numpy(), batch.column("copies").to_numpy()
             for dim, (places, units) in shared.value.items():
-                at = np.flatnonzero(dims == dim)
-                if len(at):
+                all_of_dim = np.flatnonzero(dims == dim)
+                for begin in range(0, len(all_of_dim), BLOCK):
+                    at = all_of_dim[begin:begin + BLOCK]
                     near = units @ _matrix(batch.column("unit").take(pa.array(at))).T >= least
                     for i, n in zip(places, near @ copies[at], strict=True):
                         totals[i] = totals.get(i, 0) + int(n)
@@ -435,11 +448,12 @@ def _audit(vectors: DataFrame, counted: DataFrame, least: float, audited: int) -
 
     true = vectors.select("dim", "unit", "copies").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
     true = {r["i"]: r["n"] for r in true.collect()}
-    some = vectors.sparkSession.createDataFrame([(n,) for n in names], "node binary")
-    own = vectors.select("node", "copies").join(F.broadcast(some), "node").join(counted, "node", "left")
-    found = {bytes(r["node"]): (r["copies"], r["n_links"] or 0) for r in own.collect()}
-    total = sum(true[i] - found[n][0] for i, n in enumerate(names))
-    return sum(found[n][1] for n in names) / total if total else 1.0
+    shares: dict[bool, list[float]] = {}
+    for i, row in enumerate(picked):
+        links = true[i] - row["copies"]
+        if links > 0:
+            shares.setdefault(row["saturated"], []).append(min(1.0, (row["n_links"] or 0) / links))
+    return {kind: sum(found) / len(found) for kind, found in shares.items()}
 
 
 def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -> DataFrame:
@@ -456,10 +470,11 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
     The graph starts from leaves of random-hyperplane trees and is refined by joining
     neighbours of neighbours until a round finds next to no new link. Vectors whose list
     holds nothing but links are compared in blocks with every dense component in their
-    reach. A sample of
-    ``audited`` vectors is then compared with all: below a recall of 0.98 the lists are
-    made twice as long, further trees join, and the work is done again, at most four
-    times. No link is ever wrong; some may be missed.
+    reach. A sample of vectors is then compared with all: where a saturated or another
+    vector has on average less than 0.98 of its links, the lists are made twice as long,
+    further trees join, and the work is done again. If four times are not enough, all
+    vectors are compared with all in blocks, which takes the square of their number but
+    leaves nothing short. No link is ever wrong; up to there some may be missed.
     """
     units = stage(
         table.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(
@@ -480,9 +495,11 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
         edges = first if edges is None else edges.select("a", "b", "sim").unionByName(first)
         edges = _descend(edges, vectors, least, wanted)
         labels, counted = _links(edges, vectors, least, wanted)
-        if _audit(vectors, counted, least, audited) >= GOOD_RECALL:
+        if min(_audit(vectors, labels, counted, least, audited).values(), default=1.0) >= GOOD_RECALL:
             break
         wanted *= 2
+    else:
+        labels, counted = _links(edges, vectors, least, wanted, whole=True)
     named = stage(vectors.select("node", "copies", "least_id").join(labels, "node").join(counted, "node", "left"), "vectors-named")
     least_ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     told = stage(named.join(least_ids, "component").select("node", "copies", "n_links", "component_id"), "vectors-told")

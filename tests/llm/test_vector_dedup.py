@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.llm import vector_dedup as V
 
@@ -84,6 +85,23 @@ def test_links_between_dense_groups(spark, monkeypatch):
     assert result(V.link_vectors(table(spark, vectors))) == want
 
 
+def test_audit_sees_past_a_hot_group(spark, monkeypatch):
+    # the graph knows the hot group only; its many links must not make up for the lost pairs
+    first = V._first_graph
+    monkeypatch.setattr(V, "BLOCK", 64)
+    monkeypatch.setattr(V, "ATTEMPTS", 1)
+    monkeypatch.setattr(V, "_first_graph", lambda *args, **named: first(*args, **named).filter("sim >= 0.97"))
+    monkeypatch.setattr(V, "_descend", lambda edges, vectors, least, wanted: V._best(edges.withColumn("new", F.lit(1)), wanted))
+    rnd = np.random.default_rng(5)
+    vectors = groups(rnd, [150], dim=64, noise=0.006)
+    for centre in groups(rnd, [1] * 20, dim=64, noise=0):
+        aside = rnd.standard_normal(64)
+        aside -= (aside @ centre) * centre
+        vectors += [centre, 0.92 * centre + math.sqrt(1 - 0.92**2) * aside / np.linalg.norm(aside)]
+    vectors = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    assert result(V.link_vectors(table(spark, vectors))) == expected(vectors, 0.9)
+
+
 def test_recall_without_lucky_leaves(spark, monkeypatch):
     # one tree only: the joins and the audit have to make up for it
     monkeypatch.setattr(V, "TREES", 1)
