@@ -18,7 +18,8 @@ from skyledger.sources.staging import stage
 NEIGHBOURS = 12  # length of a neighbour list
 REVERSE = 6  # neighbours the other way that join in
 OFFERS = 4  # best new neighbours that a join offers to each of its members
-TREES, LEAF = 6, 64
+TREES, LEAF = 6, 256  # trees planted at a time; their number is a multiple of it
+MISS = 0.02  # chance that a pair at the threshold shares no leaf of the first trees
 ROUNDS = 6
 BLOCK = 1024
 SLACK = 1e-6  # radians, far above the rounding of an angle
@@ -108,9 +109,26 @@ def _leaf_lists(wanted: int):
     return near
 
 
+def _depth(n: int) -> int:
+    return max(0, math.ceil(math.log2(max(1, n / LEAF))))
+
+
+def _trees(n: int, least: float) -> int:
+    """Trees, a multiple of ``TREES``, so that a pair with a cosine of ``least`` shares no leaf with a chance of ``MISS`` at most.
+
+    A random hyperplane separates two vectors with a chance of their angle over pi.
+    """
+    together = (1 - math.acos(max(-1.0, min(1.0, least))) / math.pi) ** _depth(n)
+    if together >= 1 - MISS:
+        return TREES
+    if together <= 0:  # opposite vectors share no leaf
+        return TREES
+    return TREES * math.ceil(math.log(MISS) / math.log1p(-together) / TREES)
+
+
 def _first_graph(vectors: DataFrame, n: int, trees: int, wanted: int, seed: int) -> DataFrame:
     """Neighbours inside the leaves; an overfull leaf is cut by a hash, so no leaf grows with a group of copies."""
-    depth = max(0, math.ceil(math.log2(max(1, n / LEAF))))
+    depth = _depth(n)
     planted = vectors.select("node", "unit", "dim").mapInArrow(
         _planted(depth, trees, seed), "node binary, unit array<double>, dim int, codes array<long>"
     )
@@ -166,9 +184,10 @@ def _join_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([nodes.take(pa.array(a)), nodes.take(pa.array(b)), pa.array(sim)], names=["a", "b", "sim"])
 
 
-def _offers(lists: DataFrame, vectors: DataFrame, wanted: int, floor: float) -> DataFrame:
+def _offers(lists: DataFrame, vectors: DataFrame, wanted: int, least: float, floor: float) -> DataFrame:
     """New neighbour candidates from the lists that changed, by joining each list with itself."""
-    usable = lists.filter(F.col("sim") >= floor)
+    top = F.max("sim").over(Window.partitionBy("a"))
+    usable = lists.withColumn("top", top).filter((F.col("sim") >= floor) | (F.col("top") < least)).drop("top")
     order = Window.partitionBy("b").orderBy(F.xxhash64("a", "b"))
     backward = usable.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= REVERSE)
     members = (
@@ -190,12 +209,13 @@ def _descend(edges: DataFrame, vectors: DataFrame, least: float, wanted: int, ro
     """Refines the lists until a round finds next to no new link.
 
     Two vectors linked through a common linked neighbour are within twice the threshold's
-    angle of it, so after the first round only edges up to that angle are followed.
+    angle of it, so after the first round a list that holds a link is followed only up to
+    that angle. A list without a link is followed to its end.
     """
     floor = math.cos(min(math.pi, 2 * math.acos(min(1.0, least))))
     lists = stage(_best(edges.withColumn("new", F.lit(1)), wanted), "vectors-lists")
     for turn in range(rounds):
-        more = _offers(lists, vectors, wanted, -1.0 if turn == 0 else floor).withColumn("new", F.lit(1))
+        more = _offers(lists, vectors, wanted, least, -1.0 if turn == 0 else floor).withColumn("new", F.lit(1))
         lists = stage(_best(lists.withColumn("new", F.lit(0)).unionByName(more), wanted), "vectors-lists")
         links = lists.agg(
             F.count(F.when(F.col("sim") >= least, 1)).alias("all"),
@@ -468,7 +488,9 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
     columns are not read.
 
     The graph starts from leaves of random-hyperplane trees and is refined by joining
-    neighbours of neighbours until a round finds next to no new link. Vectors whose list
+    neighbours of neighbours until a round finds next to no new link. There are so many
+    trees that a pair at the threshold shares no leaf with a chance of 0.02 at most, where
+    leaves are not overfull. Vectors whose list
     holds nothing but links are compared in blocks with every dense component in their
     reach. A sample of vectors is then compared with all: where a saturated or another
     vector has on average less than 0.98 of its links, the lists are made twice as long,
@@ -491,8 +513,12 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
     n = vectors.count()
     edges, wanted = None, NEIGHBOURS
     for attempt in range(ATTEMPTS):
-        first = _first_graph(vectors, n, TREES, wanted, seed=attempt)
-        edges = first if edges is None else edges.select("a", "b", "sim").unionByName(first)
+        # a few trees at a time, so that no more copies of the vectors are dealt out at once
+        for turn in range(_trees(n, least) // TREES):
+            first = _first_graph(vectors, n, TREES, wanted, seed=attempt * 1_000_003 + turn).withColumn("new", F.lit(1))
+            edges = first if edges is None else edges.select("a", "b", "sim").withColumn("new", F.lit(1)).unionByName(first)
+            edges = stage(_best(edges, wanted), "vectors-edges")
+        edges = edges.select("a", "b", "sim")
         edges = _descend(edges, vectors, least, wanted)
         labels, counted = _links(edges, vectors, least, wanted)
         if min(_audit(vectors, labels, counted, least, audited).values(), default=1.0) >= GOOD_RECALL:

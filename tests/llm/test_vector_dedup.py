@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,22 @@ def test_audit_sees_past_a_hot_group(spark, monkeypatch):
     assert result(V.link_vectors(table(spark, vectors))) == expected(vectors, 0.9)
 
 
+@pytest.mark.parametrize("n", [200_000, 50_000_000])
+def test_lone_pairs_share_a_leaf(n):
+    # near copies without a common neighbour, among so many vectors, are found by their leaves only
+    rnd = np.random.default_rng(6)
+    one, aside = rnd.standard_normal((2, 1500, 64))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    aside -= (aside * one).sum(axis=1, keepdims=True) * one
+    two = 0.91 * one + math.sqrt(1 - 0.91**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+    units = pa.array([*one.tolist(), *two.tolist()], pa.list_(pa.float64()))
+    nodes = pa.array([b"%d" % i for i in range(3000)], pa.binary())
+    batch = pa.RecordBatch.from_arrays([nodes, units, pa.array([64] * 3000, pa.int32())], names=["node", "unit", "dim"])
+    (planted,) = V._planted(V._depth(n), V._trees(n, 0.9), 0)([batch])
+    codes = np.array(planted.column("codes").to_pylist())
+    assert (codes[:1500] == codes[1500:]).any(axis=1).mean() >= 0.97
+
+
 def test_recall_without_lucky_leaves(spark, monkeypatch):
     # one tree only: the joins and the audit have to make up for it
     monkeypatch.setattr(V, "TREES", 1)
