@@ -11,15 +11,18 @@ from skyledger.llm.words import (
     coded, fitting, hashes, mixed, over_slices, owners, split_words, sums_per_text, window_hashes,
 )
 from skyledger.operators.joins import attach
+from skyledger.operators.quantiles import exact_quantiles
 from skyledger.sources.staging import stage
 
 SYMBOLS = b"#*$%&|<>"
 NOT_COUNTED = bytes(range(0x80, 0xC0)) + b" \t\n\v\f\r"  # continuation bytes and white space
 WINDOW = 5
-LEAST_ROWS = 50
+PRIOR_ROWS = 50  # documents that weigh as much as what is known of the wider group
 WIDTH = 3.0
 MEASURES = ("chars_per_token", "byte_share", "entropy")
-LEAST_REACH = {"chars_per_token": 0.05, "byte_share": 0.01, "entropy": 0.1}
+# judged as a share of the most that so many tokens can have
+JUDGED = ("chars_per_token", "byte_share", "entropy_share")
+LEAST_REACH = {"chars_per_token": 0.05, "byte_share": 0.01, "entropy_share": 0.0125}
 _loaded: dict = {}
 
 BASE_COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -125,6 +128,7 @@ def _rates(measured: DataFrame) -> DataFrame:
     return measured.withColumns({
         "chars_per_token": F.col("word_chars") / tokens,
         "byte_share": F.col("n_byte_tokens") / tokens,
+        "entropy_share": F.col("entropy") / F.log2(F.greatest("n_tokens", F.lit(2)).cast("double")),
         "base_failed": (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20),
         # texts of like length are judged together: entropy rises with the number of words
         "octave": F.floor(F.log2(F.greatest("n_words", F.lit(1)).cast("double"))).cast("int"),
@@ -132,49 +136,52 @@ def _rates(measured: DataFrame) -> DataFrame:
     })
 
 
-def bands(rated: DataFrame, by: list[str], names: tuple[str, ...], width: float = WIDTH) -> DataFrame:
-    """Per group of ``by``, the range of each measure that is let through, and the number of documents behind it.
+def bands(rated: DataFrame, by: list[str], width: float = WIDTH) -> DataFrame:
+    """Per group of ``by``, low and high of each judged measure, and the number of documents behind them.
 
-    From the quartiles of the documents that pass the base rules, ``width`` times their
-    distance (a small least distance) beyond them. Quartiles come from mergeable sketches,
-    so a language of any size is summed before the shuffle.
+    From the exact quartiles of the documents that pass the base rules, ``width`` times
+    their distance (a small least distance) beyond them.
     """
-    quartiles = [F.percentile_approx(m, [0.25, 0.75], 2000).alias(f"q_{m}") for m in names]
-    found = rated.filter("not base_failed").groupBy(*by).agg(F.count("*").alias("n"), *quartiles)
-    out = []
-    for m in names:
-        q = F.col(f"q_{m}")
+    passed = rated.filter("not base_failed")
+    found = exact_quantiles(passed, list(JUDGED), [0.25, 0.75], by)
+    ends = {}
+    for m in JUDGED:
+        q = [F.max(F.when((F.col("measure") == m) & (F.col("probability") == p), F.col("quantile"))) for p in (0.25, 0.75)]
         reach = F.greatest(q[1] - q[0], F.lit(LEAST_REACH[m])) * width
-        out.append(F.struct((q[0] - reach).alias("low"), (q[1] + reach).alias("high")).alias(m))
-    return found.select(*by, F.struct("n", *out).alias("band"))
+        ends[m] = F.struct((q[0] - reach).alias("low"), (q[1] + reach).alias("high"), reach.alias("reach"))
+    ranges = found.groupBy(*by).agg(*[end.alias(m) for m, end in ends.items()])
+    counts = passed.groupBy(*by).agg(F.count("*").alias("n"))
+    return counts.join(ranges, by).select(*by, F.struct("n", *JUDGED).alias("band"))
 
 
-def judge(docs: DataFrame, path: str, width: float = WIDTH, least_rows: int = LEAST_ROWS) -> DataFrame:
+def judge(docs: DataFrame, path: str, width: float = WIDTH, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """All measures of each document with base_failed and kept.
 
-    A document is kept if it passes the base rules and every measure lies in the band of
-    its language and length (in octaves of words). A language with too few documents of a
-    length, under ``least_rows``, judges it by the language's band for all lengths instead,
-    twice as wide and without the entropy; a language with too few of all rejects nothing. A null language is
-    a language of its own. Rows count singly, repeated ones too; an empty table gives no
-    rows; other columns are not read. The texts are read once; the bands come from the
-    staged measures.
+    A document is kept if it passes the base rules and every measure lies in its band;
+    the entropy counts as a share of the most that its number of tokens allows. One law
+    holds for any number n of documents. The band of a language and length (octave of
+    words) counts n / (n + ``prior_rows``), the language's band for all lengths, twice as
+    wide, the rest. The latter's reach grows by the factor 1 + ``prior_rows`` / n, so next
+    to nothing is rejected in a language of which next to nothing is known. A null
+    language is a language of its own. Rows count singly, repeated ones too; an empty
+    table gives no rows; other columns are not read. The texts are read once; the bands
+    come from the staged measures.
     """
     rated = stage(_rates(measures(docs, path)), "quality-measures")
-    near = stage(bands(rated, ["language", "octave"], MEASURES, width), "quality-bands")
-    wide = stage(bands(rated, ["language"], MEASURES[:2], width * 2), "quality-wide-bands")
+    near = stage(bands(rated, ["language", "octave"], width), "quality-bands")
+    wide = stage(bands(rated, ["language"], width * 2), "quality-wide-bands")
     joined = attach(rated, near.withColumnRenamed("band", "near"), ["language", "octave"])
     joined = attach(joined, wide.withColumnRenamed("band", "wide"), ["language"])
 
-    def inside(band: str, names: tuple[str, ...]):
-        fits = F.lit(True)
-        for m in names:
-            fits = fits & F.col(m).between(F.col(f"{band}.{m}.low"), F.col(f"{band}.{m}.high"))
-        return fits
-
-    enough = [F.coalesce(f"{band}.n", F.lit(0)) >= least_rows for band in ("near", "wide")]
-    fits = F.when(enough[0], inside("near", MEASURES)).when(enough[1], inside("wide", MEASURES[:2])).otherwise(True)
+    share = F.coalesce(F.col("near.n"), F.lit(0)) / (F.coalesce(F.col("near.n"), F.lit(0)) + prior_rows)
+    fits = F.lit(True)
+    for m in JUDGED:
+        further = F.col(f"wide.{m}.reach") * prior_rows / F.col("wide.n")
+        ends = {"low": F.col(f"wide.{m}.low") - further, "high": F.col(f"wide.{m}.high") + further}
+        low, high = (share * F.coalesce(F.col(f"near.{m}.{e}"), F.lit(0.0)) + (1 - share) * ends[e] for e in ("low", "high"))
+        fits = fits & F.col(m).between(low, high)
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & fits).alias("kept"), "n_tokens", *MEASURES,
+        # without a document that passes the base rules there is no band, and none to judge
+        (~F.col("base_failed") & F.coalesce(fits, F.lit(True))).alias("kept"), "n_tokens", *MEASURES,
     )

@@ -107,6 +107,20 @@ def test_bands_reject_what_fits_badly(make_docs, invent):
     assert sum(kept[i] for i in range(120)) >= 118
 
 
+def test_rare_lengths_are_judged_too(spark, make_docs):
+    # one text of its length among 120 shorter ones: its few words show in the entropy only
+    rnd = random.Random(7)
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("lang = 'en'").collect()]
+    words = sorted(set(re.findall(r"\b[a-z]{4,6}\b", " ".join(texts))))[:400]
+    good = [(i, " ".join(rnd.choice(words) for _ in range(100)), "en", "s") for i in range(120)]
+    few = rnd.sample(words, 8)
+    long = [(700, " ".join(rnd.choice(few) for _ in range(400)), "en", "s"),
+            (701, " ".join(rnd.choice(words) for _ in range(400)), "en", "s")]
+    got = {r.doc_id: r for r in R.judge(make_docs(good + long), MODEL).collect()}
+    assert not got[700].base_failed and not got[700].kept
+    assert got[701].kept and sum(got[i].kept for i in range(120)) >= 118
+
+
 def test_no_rows_no_verdicts(make_docs):
     assert R.judge(make_docs([]), MODEL).count() == 0
 
