@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import DATA
+from datasets import DATA
 from skyledger.plans.catalogue import ORACLES, QUERIES
 from skyledger.plans.lake import lake
 
