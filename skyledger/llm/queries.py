@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import (
-    mixing, near_dedup, pieces, quality_model, quality_rules, shards, substring_dedup, token_counts, toxicity,
+    collocations, mixing, near_dedup, pieces, quality_model, quality_rules, shards, substring_dedup, token_counts, toxicity,
     vector_dedup,
 )
 
@@ -103,3 +103,9 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every embedding at a cosine of 0.9."""
     return vector_dedup.link_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+@query(sql=collocations.PHRASES_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of every language, with their exact counts."""
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"), least=30, top=2000)
