@@ -47,13 +47,13 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and go on from the written table."""
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once and go on from the written table; ``by`` names a column to lay it out by."""
     spark = df.sparkSession
     path = new_path(spark, name)
     if _staged:
         _staged[-1].append(path)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
