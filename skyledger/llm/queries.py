@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import (
-    collocations, mixing, near_dedup, pieces, quality_model, quality_rules, shards, substring_dedup, token_counts, toxicity,
-    vector_dedup,
+    collocations, mixing, near_dedup, pieces, prefix_trie, quality_model, quality_rules, shards, substring_dedup,
+    token_counts, toxicity, vector_dedup,
 )
 
 TOKENIZERS = "/opt/tokenizers"
@@ -109,3 +109,9 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strongest phrases of every language, with their exact counts."""
     return collocations.mine_phrases(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
+@query(sql=prefix_trie.NODES_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the rebuilt conversations' prefix trie."""
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
