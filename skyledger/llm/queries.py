@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import (
-    collocations, mixing, near_dedup, pieces, prefix_trie, quality_model, quality_rules, shards, substring_dedup,
-    token_counts, toxicity, vector_dedup,
+    collocations, license_scan, mixing, near_dedup, pieces, prefix_trie, quality_model, quality_rules, shards,
+    substring_dedup, token_counts, toxicity, vector_dedup,
 )
 
 TOKENIZERS = "/opt/tokenizers"
@@ -115,3 +115,9 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the rebuilt conversations' prefix trie."""
     return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and expressions of every document."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("places", "found")
