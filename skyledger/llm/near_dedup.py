@@ -217,18 +217,21 @@ def _components(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame,
         "near-signed",
     )
     nodes = stage(
-        signed.filter("node is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id")),
+        signed.filter("node is not null").groupBy("node").agg(
+            F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"), F.min(F.struct(id_or_lowest().alias("_id"), "_mark")).alias("row")
+        ),
         "near-nodes",
     )
     spots = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = stage(spots.groupBy("bucket").count().filter("count > 1").select("bucket"), "near-shared")
     buckets = stage(spots.join(shared, "bucket", "left_semi"), "near-buckets")
     wanted = stage(
-        buckets.select("node").distinct().join(nodes, "node").select("node", id_or_lowest().alias("_id")), "near-wanted"
+        buckets.select("node").distinct().join(nodes, "node").select("node", "row._id", "row._mark"), "near-wanted"
     )
     # always a shuffle: the candidates follow the corpus, so their ids are no small side
-    rows = docs.select("text", id_or_lowest().alias("_id")).join(wanted.hint("shuffle_merge"), "_id")
-    # one id may have several texts: the set itself says which row a node stands for
+    rows = docs.select("text", id_or_lowest().alias("_id"), F.xxhash64("text").alias("_mark"))
+    rows = rows.join(wanted.hint("shuffle_merge"), ["_id", "_mark"])
+    # the set itself has the last word on which row a node stands for
     sets = stage(
         over_slices(rows.select("node", "text"), _checked_sets, "node binary, members array<long>", shingle=shingle)
         .dropDuplicates(["node"]),

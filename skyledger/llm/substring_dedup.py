@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import (
@@ -35,10 +35,18 @@ def _word_values(texts: list) -> tuple[list[list[bytes]], np.ndarray, np.ndarray
     return lists, starts, hashes(kinds, len(kinds))[codes] if total else np.zeros(0, np.uint64)
 
 
+def _key_and_mark() -> tuple[Column, Column]:
+    """A row's number, hashed from id and text, and further bits of the text: 89 bits that tell rows apart.
+
+    Rows of one id, or without one, are thus as far apart as any others.
+    """
+    return F.xxhash64(id_or_lowest(), "text"), F.shiftrightunsigned(F.xxhash64("text"), PLACE_BITS + 1)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    """_id, _mark and text. The mark is a few bits of the text: rows of one id with different texts stay apart."""
-    mark = F.shiftrightunsigned(F.xxhash64("text"), PLACE_BITS + 1)
-    return docs.select(id_or_lowest().alias("_id"), mark.alias("_mark"), "text")
+    """_id (the row's number), _mark, doc_id and text."""
+    key, mark = _key_and_mark()
+    return docs.select(key.alias("_id"), mark.alias("_mark"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def _numbers(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -109,8 +117,7 @@ def _windows(part: pa.RecordBatch, texts: list, window: int, period: int) -> dic
     ids, marks = _numbers(part)
     steps = np.zeros(total + 1, dtype=np.int64)
     for i, places in enumerate(part.column("places")):
-        places = places.values.to_numpy()
-        mine = places[(places >> PLACE_BITS << PLACE_BITS) == marks[i]] & ((1 << PLACE_BITS) - 1)
+        mine = places.values.to_numpy() & ((1 << PLACE_BITS) - 1)
         np.add.at(steps, starts[i] + np.maximum(0, mine - period + 1), 1)
         np.add.at(steps, np.minimum(starts[i] + mine + 1, total), -1)
     inside = fitting(starts, window)
@@ -122,14 +129,16 @@ def _windows(part: pa.RecordBatch, texts: list, window: int, period: int) -> dic
 
 
 def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """_id and places, per document, of the rows whose hash occurs at another place too.
+    """_id, _mark and places of the rows whose hash occurs at another place too.
 
     A hash has at most one row with weight per slice of texts, however many places it has.
+    Places are kept once, however often a row is repeated.
     """
     seen = F.sum("weight").over(Window.partitionBy(*keys))
     twice = rows.withColumn("n", seen).filter((F.col("weight") == 0) | (F.col("n") > 1))
-    places = F.concat(F.collect_list("place"), F.flatten(F.collect_list("more")))
-    return stage(twice.groupBy("_id").agg(places.alias("places")), name)
+    places = twice.select("_id", F.explode(F.coalesce("more", F.array("place"))).alias("place"))
+    mark = F.shiftright("place", PLACE_BITS)
+    return stage(places.groupBy("_id", mark.alias("_mark")).agg(F.collect_set("place").alias("places")), name)
 
 
 def _plain_rows(part: pa.RecordBatch, texts: list) -> dict:
@@ -150,21 +159,16 @@ def _covered(places: np.ndarray, n: int, window: int) -> np.ndarray:
     return np.cumsum(steps)[:n] > 0
 
 
-def _kept_words(places, mark: int, words: list[bytes], window: int) -> tuple[list[bytes], int]:
+def _kept_words(places, words: list[bytes], window: int) -> tuple[list[bytes], int]:
     """The words that stay, and how many go."""
-    places = places.values.to_numpy()
-    mine = np.unique(places[(places >> PLACE_BITS << PLACE_BITS) == mark] & ((1 << PLACE_BITS) - 1))
-    if not len(mine):
-        return words, 0
-    gone = _covered(mine, len(words), window)
+    gone = _covered(places.values.to_numpy() & ((1 << PLACE_BITS) - 1), len(words), window)
     return [w for w, g in zip(words, gone, strict=True) if not g], int(gone.sum())
 
 
 def _changed_rows(part: pa.RecordBatch, texts: list, window: int, with_text: bool) -> dict:
-    marks = _numbers(part)[1]
     removed, joined = [], []
-    for places, mark, text in zip(part.column("places"), marks, texts, strict=True):
-        kept, n = _kept_words(places, mark, (text or b"").split(), window)
+    for places, text in zip(part.column("places"), texts, strict=True):
+        kept, n = _kept_words(places, (text or b"").split(), window)
         removed.append(n)
         joined.append(b" ".join(kept))
     out = {"_id": part.column("_id"), "_mark": part.column("_mark"), "n_removed": np.array(removed, dtype=np.int64)}
@@ -176,13 +180,13 @@ def _changed_rows(part: pa.RecordBatch, texts: list, window: int, with_text: boo
 def _changes(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
     """_id, _mark, n_removed and kept (the text, or its checksum) of what loses words, once per id and text."""
     period = period_for(window)
-    rows = _rows(docs)
+    rows = _rows(docs).drop("doc_id")
     anchors = over_slices(rows, _anchors, ROW, window=window, period=period)
     near = _repeated(anchors, ["h"], "substring-anchors")
-    suspects = stage(rows.join(near, "_id"), "substring-suspects")
+    suspects = stage(rows.join(near, ["_id", "_mark"]), "substring-suspects")
     windows = over_slices(suspects, _windows, "h2 int, " + ROW, window=window, period=period)
     twice = _repeated(windows, ["h", "h2"], "substring-windows")
-    told = suspects.drop("places").join(twice, "_id")
+    told = suspects.drop("places").join(twice, ["_id", "_mark"])
     schema = f"_id long, _mark long, n_removed long, kept {'binary' if with_text else 'string'}"
     changed = over_slices(told, _changed_rows, schema, window=window, with_text=with_text)
     return stage(changed.filter("n_removed > 0").dropDuplicates(["_id", "_mark"]), "substring-changed")
@@ -195,7 +199,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     window of ``window`` words whose sequence also starts anywhere else, in any document
     or the same one; all occurrences go, judged on the input. kept_sha256 is of the kept
     words joined by one space. Null and empty texts have no words; repeated rows are
-    occurrences of each other; a null id counts as one id; an empty table gives no rows;
+    occurrences of each other; rows are told apart by id and text, with an id or without; an empty table gives no rows;
     other columns are not read.
 
     Anchors are hashed only at positions in a difference cover modulo a period: two equal
@@ -205,8 +209,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     Texts are shuffled once, to the suspects' places.
     """
     changed = _changes(docs, window, with_text=False)
-    rows = _rows(docs.select("doc_id", "text")).withColumn("doc_id", F.when(F.col("_id") > -(2**63), F.col("_id")))
-    whole = over_slices(rows, _plain_rows, "_id long, _mark long, doc_id long, n_words long, kept_sha256 string")
+    whole = over_slices(_rows(docs), _plain_rows, "_id long, _mark long, doc_id long, n_words long, kept_sha256 string")
     out = whole.join(changed, ["_id", "_mark"], "left")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
@@ -217,8 +220,8 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """``docs`` with the text of rows that lose words replaced by the kept words; other rows stay as they are."""
     changed = _changes(docs, window, with_text=True).select("_id", "_mark", "kept")
-    mark = F.shiftrightunsigned(F.xxhash64("text"), PLACE_BITS + 1)
-    rows = docs.select(id_or_lowest().alias("_id"), mark.alias("_mark"), F.struct(*docs.columns).alias("row"))
+    key, mark = _key_and_mark()
+    rows = docs.select(key.alias("_id"), mark.alias("_mark"), F.struct(*docs.columns).alias("row"))
     out = rows.join(changed, ["_id", "_mark"], "left")
     text = F.when(F.col("kept").isNotNull(), F.decode("kept", "utf-8")).otherwise(F.col("row.text"))
     return out.select(F.col("row").withField("text", text).alias("row")).select("row.*")

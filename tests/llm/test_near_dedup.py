@@ -126,3 +126,13 @@ def test_components(spark):
         for a, b in links:
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert got == parent
+
+
+def test_rows_without_ids_are_compared_like_any(make_docs, invent):
+    """3,000 rows without an id, half of them in groups of copies: each wanted set is made of one row's text."""
+    rnd = random.Random(21)
+    base = [invent(rnd, 60, 10**6) for _ in range(150)]
+    texts = [f"{base[i % 150]} e{i}" for i in range(1500)] + [invent(rnd, 30, 10**6) for _ in range(1500)]
+    with_ids = N.keep_one(make_docs(list(enumerate(texts))), 85, 3).count()
+    without = N.keep_one(make_docs([(None, t, "en", "s") for t in texts]), 85, 3).count()
+    assert with_ids == without == 1650

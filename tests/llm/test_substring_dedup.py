@@ -84,3 +84,26 @@ def test_texts_without_repeats(make_docs, odd_rows, invent):
 def test_short_windows_are_refused():
     with pytest.raises(ValueError):
         S.period_for(5)
+
+
+def test_rows_without_ids_are_as_far_apart_as_any(make_docs, invent):
+    """20,000 different texts without an id: no list holds more than one text's places, and the result is the same."""
+    rnd = random.Random(12)
+    passages = [invent(rnd, 40) for _ in range(50)]
+    texts = [f"{invent(rnd, 5, 10**6)} {passages[i % 50]} {invent(rnd, 5, 10**6)}" for i in range(20_000)]
+    rows = list(enumerate(texts))
+    no_ids = make_docs([(None, t, "en", "s") for t in texts])
+    anchors = S.over_slices(S._rows(no_ids).drop("doc_id"), S._anchors, S.ROW, window=35, period=21)
+    places = S._repeated(anchors, ["h"], "test-anchors")
+    longest, n = places.selectExpr("max(size(places))", "count(*)").first()
+    assert longest <= 50 and n == 20_000
+    kept = sorted(r["kept_sha256"] for r in S.remove_repeats(no_ids, 35).collect())
+    assert kept == sorted(r[3] for r in expected(rows, 35))
+
+
+def test_many_repeats_of_one_row_without_an_id(make_docs, invent):
+    rnd = random.Random(13)
+    same = invent(rnd, 120)
+    rows = [(None, same, "en", "s")] * 2000 + [(None, invent(rnd, 60), "en", "s") for _ in range(20)]
+    found = S.remove_repeats(make_docs(rows), 35)
+    assert found.filter("n_removed = 120").count() == 2000 and found.filter("n_removed = 0").count() == 20
