@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.operators.joins import attach
+from skyledger.operators.numbering import number_rows
 from skyledger.sources.staging import stage
 
 COORDINATE_BITS = 20
@@ -16,10 +18,10 @@ SLOT_ROWS = 20_000
 DIMENSIONS = ("bytes", "source", "lang")
 
 
-def _number(column: str):
-    """The first five bytes of a name as a number, so that order by number is order by name."""
-    start = F.rpad(F.hex(F.encode(F.coalesce(column, F.lit("")), "utf-8")).substr(1, 10), 10, "0")
-    return F.conv(start, 16, 10).cast("double")
+def _ranked(rows: DataFrame, column: str, rank: str) -> DataFrame:
+    """``rows`` with the dense rank of a name in code point order, a null one 0."""
+    names = number_rows(rows.select(column).filter(F.col(column).isNotNull()).distinct(), [column], rank)
+    return attach(rows, stage(names, "shard-names"), [column]).withColumn(rank, F.coalesce(rank, F.lit(0)).cast("double"))
 
 
 def _points(docs: DataFrame) -> DataFrame:
@@ -28,7 +30,8 @@ def _points(docs: DataFrame) -> DataFrame:
     rows = stage(
         docs.select(
             "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-            F.log2(F.octet_length(text) + 1.0).alias("x0"), _number("source").alias("x1"), _number("lang").alias("x2"),
+            F.log2(F.octet_length(text) + 1.0).alias("x0"), F.col("source").cast("string").alias("source"),
+            F.col("lang").cast("string").alias("lang"),
             (
                 F.shiftleft(F.shiftrightunsigned(F.xxhash64(text), 64 - TIE_BITS + ID_BITS), ID_BITS)
                 + F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - ID_BITS)
@@ -36,6 +39,7 @@ def _points(docs: DataFrame) -> DataFrame:
         ),
         "shard-points",
     )
+    rows = _ranked(_ranked(rows, "source", "x1"), "lang", "x2")
     ends = rows.agg(*[f(f"x{d}").alias(f"{n}{d}") for d in range(len(DIMENSIONS)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
     levels = 2**COORDINATE_BITS - 1
     scaled = []
@@ -65,11 +69,11 @@ def _key(dim) -> F.Column:
     return F.shiftleft(coordinate, TIE_BITS) + F.col("tie")
 
 
-def _medians(keyed: DataFrame, weights: dict[int, int], few: int) -> dict[int, int]:
-    """For each node the key below which half of its weight lies, as near as rows allow.
+def _medians(keyed: DataFrame, weights: dict[int, float], few: int) -> dict[int, int]:
+    """For each node the key below which the given weight lies, as near as rows allow.
 
     Searched by histograms: each round counts weights in equal bins of the interval that
-    still holds the median, so only bins travel, never rows. ``few`` bounds bins times
+    still holds the wanted key, so only bins travel, never rows. ``few`` bounds bins times
     nodes, which is what reaches the driver in a round.
     """
     spark = keyed.sparkSession
@@ -91,7 +95,7 @@ def _medians(keyed: DataFrame, weights: dict[int, int], few: int) -> dict[int, i
         for row in bins.collect():  # at most `few` rows
             counted.setdefault(row["node"], []).append((row["bin"], row["weight"], row["n"]))
         for n in sorted(open_nodes):
-            half, sum_ = weights[n] / 2, below[n]
+            half, sum_ = weights[n], below[n]
             for bin_, weight, rows in sorted(counted.get(n, [])):
                 start = low[n] + (bin_ << step)
                 if sum_ + weight >= half:
@@ -110,37 +114,50 @@ def _medians(keyed: DataFrame, weights: dict[int, int], few: int) -> dict[int, i
     return cut
 
 
+def _of_node(nodes: DataFrame, values: dict[int, int], name: str) -> DataFrame:
+    """A number per node as a column; the first level has one node, and nothing to join."""
+    if len(values) == 1:
+        return nodes.withColumn(name, F.lit(next(iter(values.values()))).cast("long"))
+    table = nodes.sparkSession.createDataFrame(sorted(values.items()), f"node int, {name} long")
+    return nodes.join(F.broadcast(table), "node")
+
+
 def kd_shards(docs: DataFrame, n_shards: int = 8, few: int = MOST_BINS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, shard, by equal bytes.
 
     A document weighs its UTF-8 bytes plus one (a null text one). The documents start as
-    one node; every node above the target bytes is split at the weighted median along
-    the dimension in which it is widest (bytes on a log scale, source, language; each
-    scaled to the whole table's range), until there are ``n_shards`` leaves of near equal
-    bytes. ``n_shards`` is rounded up to a power of two. Within equal coordinates a hash
-    of the text decides, then one of the id: copies with equal metadata stay neighbours,
-    and one source or one group of copies of any size is divided like everything else;
-    rows alike in text and id stay together. Null names count as
-    empty ones. An empty table gives no rows; other columns are not looked at.
+    one node of ``n_shards`` leaves; every node of several leaves is split along the
+    dimension in which it is widest (bytes on a log scale, rank of the source, rank of the
+    language; each scaled to the whole table's range), where the weights stand like the
+    leaves of the two sides, at the weighted median if their number is even. So any
+    number of leaves comes out near equal in bytes. Names are ranked in code point order,
+    null before all. Within equal coordinates a hash of the text decides, then one of the
+    id: copies with equal metadata stay neighbours, and one source or one group of copies
+    of any size is divided like everything else; rows alike in text and id stay together.
+    An empty table gives no rows; other columns are not looked at.
 
     The texts are read once. Everything after works on narrow staged rows: a level is a
     group-by for the widths and a few for the histogram search, with map-side sums.
     """
-    spark = docs.sparkSession
     nodes = _points(docs).withColumn("node", F.lit(0))
-    for level in range(max(0, (n_shards - 1).bit_length())):
+    leaves = {0: n_shards}
+    level = 0
+    while any(n > 1 for n in leaves.values()):
         widths = _widest(nodes)
-        if not widths:
+        split = {n: w for n, w in widths.items() if leaves[n] > 1}
+        if not split:
             break
-        choice = spark.createDataFrame([(n, d) for n, (d, _) in sorted(widths.items())], "node int, dim int")
-        keyed = stage(
-            nodes.join(F.broadcast(choice), "node").withColumn("key", _key(F.col("dim"))).drop("dim"), f"shard-level{level}"
-        )
-        cuts = _medians(keyed, {n: w for n, (_, w) in widths.items()}, few)
-        cut = spark.createDataFrame(sorted(cuts.items()), "node int, cut long")
-        side = (F.col("key") >= F.col("cut")).cast("int")
-        nodes = keyed.join(F.broadcast(cut), "node").withColumn("node", F.col("node") * 2 + side).drop("cut", "key")
-    return nodes.withColumnRenamed("node", "shard")
+        # a node that is whole already is cut beyond its last key
+        dims = {n: d for n, (d, _) in widths.items()}
+        keyed = stage(_of_node(nodes, dims, "dim").withColumn("key", _key(F.col("dim").cast("int"))).drop("dim"), f"shard-level{level}")
+        left = {n: -(-k // 2) for n, k in leaves.items()}
+        cuts = {n: 1 << KEY_BITS for n in widths} | _medians(keyed, {n: w * left[n] / leaves[n] for n, (_, w) in split.items()}, few)
+        steps = {n: left[n] for n in widths}
+        moved = F.when(F.col("key") >= F.col("cut"), F.col("step")).otherwise(0).cast("int")
+        nodes = _of_node(_of_node(keyed, cuts, "cut"), steps, "step").withColumn("node", F.col("node") + moved).drop("cut", "key", "step")
+        leaves = {m: k for n, k in leaves.items() for m, k in ((n, left[n]), (n + left[n], k - left[n])) if k > 0}
+        level += 1
+    return nodes.select("doc_id", "size", "text_crc32", "tie", "c0", "c1", "c2", F.col("node").alias("shard"))
 
 
 def with_slots(sharded: DataFrame, rows: int = SLOT_ROWS) -> DataFrame:

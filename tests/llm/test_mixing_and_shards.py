@@ -1,4 +1,5 @@
 import collections
+import math
 import random
 
 import duckdb
@@ -81,38 +82,62 @@ def test_no_words_nothing_taken(make_docs):
 
 # ---- shards
 
-def plain_tree(points, levels):
-    """The same splits, one node after the other in Python."""
-    nodes = [points]
-    for _ in range(levels):
-        following = []
-        for node in nodes:
-            if not node:
-                following += [[], []]
-                continue
-            widths = [max(p["c"][d] for p in node) - min(p["c"][d] for p in node) for d in range(3)]
-            dim = widths.index(max(widths))
-            ordered = sorted(node, key=lambda p: (p["c"][dim], p["tie"]))
-            half, sum_, cut = sum(p["size"] for p in node) / 2, 0, len(ordered)
-            for i, p in enumerate(ordered):
-                if sum_ + p["size"] >= half:
-                    cut = i if half - sum_ < sum_ + p["size"] - half else i + 1
-                    break
-                sum_ += p["size"]
-            following += [ordered[:cut], ordered[cut:]]
-        nodes = following
-    return {(p["doc_id"], p["text_crc32"]): shard for shard, node in enumerate(nodes) for p in node}
-
-
-@pytest.mark.parametrize("few", [64, 65_536])
-def test_shards_equal_a_plain_tree(make_docs, few):
-    docs = make_docs(many(random.Random(3), 300))
-    points = [
-        {"doc_id": r.doc_id, "text_crc32": r.text_crc32, "size": r.size, "tie": r.tie, "c": (r.c0, r.c1, r.c2)}
-        for r in S._points(docs).collect()
+def plain_points(spark, rows):
+    """Scaled coordinates from the rows alone; only the hashes are Spark's."""
+    import zlib
+
+    from pyspark.sql import functions as F
+
+    levels = 2**20 - 1
+    ranks = [{x: i + 1 for i, x in enumerate(sorted({r[k] for r in rows} - {None}))} for k in (3, 2)]
+    texts = [(r[1] or "").encode() for r in rows]
+    raw = [
+        (math.log(len(t) + 1.0) / math.log(2.0), ranks[0].get(r[3], 0), ranks[1].get(r[2], 0)) for r, t in zip(rows, texts, strict=True)
     ]
-    got = {(r.doc_id, r.text_crc32): r.shard for r in S.kd_shards(docs, 8, few).collect()}
-    assert got == plain_tree(points, 3)
+    hashed = spark.createDataFrame([(r[0], r[1] or "") for r in rows], "i long, t string").select(F.xxhash64("t"), F.xxhash64("i")).collect()
+    points = []
+    for r, t, x, (of_text, of_id) in zip(rows, texts, raw, hashed, strict=True):
+        c = []
+        for d in range(3):
+            low, high = min(y[d] for y in raw), max(y[d] for y in raw)
+            c.append(math.floor((x[d] - low) / (high - low) * levels) if high > low else 0)
+        tie = ((of_text % 2**64) >> (64 - 28)) << 14 | (of_id % 2**64) >> (64 - 14)
+        points.append({"doc_id": r[0], "text_crc32": zlib.crc32(t), "size": len(t) + 1, "tie": tie, "c": c})
+    return points
+
+
+def plain_tree(points, leaves, first=0):
+    """The same splits, one node after the other in Python."""
+    if leaves == 1 or not points:
+        return {(p["doc_id"], p["text_crc32"]): first for p in points}
+    widths = [max(p["c"][d] for p in points) - min(p["c"][d] for p in points) for d in range(3)]
+    dim = widths.index(max(widths))
+    ordered = sorted(points, key=lambda p: (p["c"][dim], p["tie"]))
+    left = -(-leaves // 2)
+    wanted, sum_, cut = sum(p["size"] for p in points) * left / leaves, 0, len(ordered)
+    for i, p in enumerate(ordered):
+        if sum_ + p["size"] >= wanted:
+            cut = i if wanted - sum_ < sum_ + p["size"] - wanted else i + 1
+            break
+        sum_ += p["size"]
+    return plain_tree(ordered[:cut], left, first) | plain_tree(ordered[cut:], leaves - left, first + left)
+
+
+@pytest.mark.parametrize("few, shards", [(64, 8), (65_536, 8), (65_536, 6), (65_536, 7), (65_536, 1)])
+def test_shards_equal_a_plain_tree(spark, make_docs, few, shards):
+    rows = [(r[0], r[1], r[2], None if i % 50 == 0 else f"crawl-part-{i % 9}") for i, r in enumerate(many(random.Random(3), 300))]
+    got = {(r.doc_id, r.text_crc32): r.shard for r in S.kd_shards(make_docs(rows), shards, few).collect()}
+    assert got == plain_tree(plain_points(spark, rows), shards)
+    assert set(got.values()) == set(range(shards))
+
+
+def test_sources_that_share_ten_bytes_are_told_apart(make_docs):
+    # equal sizes and languages: the source alone can part the documents
+    rows = [(i, "w " * 20, "en", f"common-beginning-{i % 6}" if i else None) for i in range(601)]
+    sources = collections.defaultdict(set)
+    for r in S.kd_shards(make_docs(rows), 6).collect():
+        sources[r.shard].add(rows[r.doc_id][3])
+    assert len(sources) == 6 and sum(map(len, sources.values())) <= 7 + 5
 
 
 def check_table(rows, docs):
