@@ -7,12 +7,13 @@ the flights themselves or from cells already summed at a finer grain.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
 from skyledger.functions import expressions as X
 from skyledger.operators.cleaning import latest_per_key
+from skyledger.sources.merged import MergedTable
 
 CELL_KEYS = ["year", "month", "day_of_week", "dep_hour", "airline_code", "origin", "dest"]
 
@@ -170,14 +171,20 @@ CAUSE_NAMES = {
 
 def delay_reasons(post_event: DataFrame) -> DataFrame:
     """Minutes and shares per cause, carrier and month; monthly sums need no daily step."""
-    totals = {n: f"total_{n}_delay_min" for n in CAUSE_NAMES.values()}
-    summed = post_event.groupBy(
+    minutes = post_event.groupBy(
         F.year("FlightDate").alias("year"),
         F.month("FlightDate").alias("month"),
         F.col(S.CARRIER).alias("airline_code"),
-    ).agg(*[F.sum(c).alias(totals[n]) for c, n in CAUSE_NAMES.items()])
+    ).agg(*[F.sum(c).alias(c) for c in CAUSE_NAMES])
+    return reason_shares(minutes)
+
+
+def reason_shares(minutes: DataFrame) -> DataFrame:
+    """Totals and shares out of summed minutes per cause."""
+    totals = {n: f"total_{n}_delay_min" for n in CAUSE_NAMES.values()}
+    named = minutes.withColumnsRenamed({c: totals[n] for c, n in CAUSE_NAMES.items()})
     every = sum((F.col(t) for t in list(totals.values())[1:]), F.col(totals["carrier"]))
-    with_total = summed.withColumn("total_delay_min", every)
+    with_total = named.withColumn("total_delay_min", every)
     return with_total.withColumns(
         {f"pct_{n}": X.ratio(F.col(t), F.col("total_delay_min")) for n, t in totals.items()}
     )
@@ -217,3 +224,19 @@ def stamp_run(df: DataFrame, run_id: str, at: Column | None = None) -> DataFrame
 def newest_rows(df: DataFrame, table: str) -> DataFrame:
     """What a reader of a rollup should see after several runs: the last row per key."""
     return latest_per_key(df, ROLLUP_KEYS[table], "updated_at")
+
+
+def rollup_table(spark: SparkSession, root: str, table: str) -> MergedTable:
+    """Where a rollup is stored, laid out by year where it has one."""
+    return MergedTable(spark, f"{root}/{table}", ["year"] if "year" in ROLLUP_KEYS[table] else [])
+
+
+def store_rollups(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> None:
+    """Bring the stored rollups up to date with a run's stamped ones: of the years it has, the newest row per key stays."""
+    for name, table in tables.items():
+        rollup_table(spark, root, name).merge(table, lambda both, name=name: newest_rows(both, name))
+
+
+def stored_rollup(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A stored rollup as a dashboard sees it: the newest row of each key."""
+    return rollup_table(spark, root, table).read_newest(ROLLUP_KEYS[table], "updated_at")

@@ -224,13 +224,18 @@ def check(run: Run) -> str:
 
 @logged("AGGREGATION_COMPLETED")
 def aggregate(run: Run) -> str:
-    """All six rollup tables. The curated table is read once, into cells the five others share."""
+    """All six rollup tables. The curated table is read once, into cells the five others share.
+
+    Every run's rows are kept; ``served`` holds the newest row of each key for the dashboards.
+    """
     cells = stage(
         rollups.sum_cells(rollups.as_cells(run.read("ontime_curated")), rollups.CELL_KEYS), "cells"
     )
     tables = rollups.all_rollups(cells, run.read("ontime_post_event_analysis"))
     for name, table in tables.items():
         sinks.write_run(rollups.stamp_run(table, run.run_id), run.path(name), "pipeline_run_id")
+    written = {name: run.read(name).filter(F.col("pipeline_run_id") == run.run_id) for name in tables}
+    rollups.store_rollups(run.spark, run.path("served"), written)
     return f"{len(tables)} tables"
 
 

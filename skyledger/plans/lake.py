@@ -196,13 +196,13 @@ class Lake:
         folder = new_path(self.spark, "rollups")
         for run, rows in (("run-0", self.clean.filter(F.col("Year") < FIXTURE_YEARS[1])), (RUN_ID, self.clean)):
             cells = stage(rollups.sum_cells(rollups.as_cells(rows), rollups.CELL_KEYS), "cells")
-            for name, table in rollups.all_rollups(cells, rows.select(*S.POST_EVENT_COLUMNS)).items():
-                sinks.write_run(rollups.stamp_run(table, run), f"{folder}/{name}", "pipeline_run_id")
+            tables = rollups.all_rollups(cells, rows.select(*S.POST_EVENT_COLUMNS))
+            rollups.store_rollups(self.spark, folder, {n: rollups.stamp_run(t, run) for n, t in tables.items()})
         return folder
 
     def served(self, name: str) -> DataFrame:
         """A stored rollup as a dashboard sees it: the newest row of each key."""
-        return rollups.newest_rows(self.spark.read.parquet(f"{self.rollup_folder}/{name}"), name)
+        return rollups.stored_rollup(self.spark, self.rollup_folder, name)
 
 
 _open: dict[tuple[str, str], Lake] = {}

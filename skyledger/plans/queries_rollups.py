@@ -6,7 +6,8 @@ from skyledger import schemas as S
 from skyledger.operators import history, rollups, serving
 from skyledger.operators.joins import attach
 from skyledger.plans.registry import query, rounded
-from skyledger.sources.staging import stage
+from skyledger.sources.merged import MergedTable
+from skyledger.sources.staging import new_path, stage
 
 _KEY = ", ".join(S.FLIGHT_KEY)
 
@@ -89,6 +90,22 @@ def _(lk):
     return rounded(newest.select("year", "month", "total_flights", "arr_delay_rate"))
 
 
+@query("s12_compacted_rollups", f"""
+SELECT state, year, month, total_flights, {_r('arr_delay_rate')} FROM monthly, (VALUES ('before'), ('after')) s(state)""")
+def _(lk):
+    """Three runs appended, read by newest row; then compacted, and read as they lie."""
+    table = MergedTable(lk.spark, new_path(lk.spark, "compacted"), ["year"])
+    for lag, at, rows in ((5, "2024-01-01 00:00:00", lk.monthly), (0, "2024-01-03 00:00:00", lk.monthly),
+                          (9, "2024-01-02 00:00:00", lk.monthly.filter("year >= 1998"))):
+        later = rows.withColumn("total_flights", F.col("total_flights") + lag)
+        table.append(rollups.stamp_run(later, f"run-{lag}", F.lit(at).cast("timestamp")))
+    keys = rollups.ROLLUP_KEYS["agg_monthly_delay"]
+    before = stage(table.read_newest(keys, "updated_at"), "before-compaction")
+    table.compact(keys, "updated_at")
+    both = before.withColumn("state", F.lit("before")).unionByName(table.read().withColumn("state", F.lit("after")))
+    return rounded(both.select("state", "year", "month", "total_flights", "arr_delay_rate"))
+
+
 @query("p19_year_range", "SELECT year, month, total_flights FROM monthly WHERE year BETWEEN 1997 AND 1999")
 def _(lk):
     return serving.in_years(lk.monthly, (1997, 1999)).select("year", "month", "total_flights")

@@ -1,15 +1,20 @@
 """Registered queries: readers, writers, manifests and streams."""
 
+from functools import partial, reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger import schemas as S
+from skyledger.plans.fixture import FIXTURE_YEARS
 from skyledger.plans.lake import LANDED_FOLDERS, RUN_ID
 from skyledger.plans.queries_cleaning import plain_sql
 from skyledger.plans.registry import query, rounded
 from skyledger.sources import blocks, files, sinks
-from skyledger.sources.staging import new_path, shared_dir
-from skyledger.streaming import landing, messages
+from skyledger.sources.merged import MergedTable
+from skyledger.sources.staging import new_path, shared_dir, stage
+from skyledger.streaming import landing, messages, refresh
 
 _KEYS = ", ".join(S.FLIGHT_KEY)
 
@@ -149,6 +154,7 @@ def _(lk):
 # --- messages and streams
 
 _GOOD = "CRSDepTime <> 'abc'"
+_LIKE_GOOD = "value NOT LIKE '%\"CRSDepTime\":\"abc\"%'"
 
 
 @query("s8_json_read", f"""
@@ -196,6 +202,62 @@ def _(lk):
     )
 
 
+# rollup -> (table in SQL, text of its key, a measure); the expressions read the same in both dialects
+_STREAMED = {
+    "agg_monthly_delay": ("monthly", "CONCAT(year, '-', month)", "arr_delay_rate"),
+    "agg_carrier_performance": ("carriers", "CONCAT(year, '-', month, ' ', airline_code)", "avg_arr_delay"),
+    "agg_airport_performance": ("airports", "CONCAT(year, '-', month, ' ', airport_role, ' ', airport_code)", "delay_rate"),
+    "agg_route_performance": ("routes", "CONCAT(year, '-', month, ' ', route)", "avg_distance"),
+    "agg_hourly_delay": ("hourly", "CONCAT(month, ' ', day_of_week, ' ', COALESCE(CAST(dep_hour AS VARCHAR(9)), ''))", "avg_delay"),
+    "agg_delay_reason": ("reasons", "CONCAT(year, '-', month, ' ', airline_code)", "total_delay_min"),
+}
+
+
+def _streamed(rollup: str) -> list[str]:
+    _, key, measure = _STREAMED[rollup]
+    total = "CAST(NULL AS BIGINT)" if rollup == "agg_delay_reason" else "total_flights"
+    return [f"'{rollup}' AS rollup", f"{key} AS key", f"{total} AS total_flights", f"ROUND({measure}, 9) AS measure"]
+
+
+@query("r1_streamed_rollups", "\nUNION ALL ".join(f"SELECT {', '.join(_streamed(r))} FROM {t}" for r, (t, *_) in _STREAMED.items()))
+def _(lk):
+    """All rollups out of sums that a stream has kept current over three landings, one of its batches run again."""
+    source, root = new_path(lk.spark, "refresh-in"), new_path(lk.spark, "refresh-cells")
+    checkpoint = f"{shared_dir(lk.spark)}/skyledger/stream-checkpoints/{root.rsplit('/', 1)[1]}"
+    table = MergedTable(lk.spark, root, ["year", "month"])
+    sent = stage(messages.to_messages(lk.clean), "refresh-messages").union(lk.messages.filter(f"NOT ({_LIKE_GOOD})"))
+    cells = partial(refresh.flight_cells, years=FIXTURE_YEARS)
+    for third in range(3):
+        sent.filter(F.pmod(F.xxhash64("value"), F.lit(3)) == third).write.mode("append").text(source)
+        rows = landing.landed_rows(landing.file_lines(lk.spark, source)).filter(~F.col("broken"))
+        refresh.keep_current(rows, table, cells, refresh.FLIGHT_KEYS, checkpoint).awaitTermination()
+    again = landing.landed_rows(lk.spark.read.text(source)).filter(~F.col("broken"))
+    refresh.merge_batch(table, cells(again), refresh.FLIGHT_KEYS, ("stream", 1))
+    tables = refresh.rollups_of(table.read())
+    return reduce(DataFrame.unionByName, [tables[name].selectExpr(*_streamed(name)) for name in _STREAMED])
+
+
+@query("r1_streamed_events", """
+SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n, ROUND(SUM(value), 6) AS total FROM events GROUP BY ALL""")
+def _(lk):
+    """Events by day and kind, kept current over three landings; the last batch is run again."""
+    events = lk.table("events").withColumn("sent_at", F.col("ts").cast("timestamp"))
+    body = F.to_json(F.struct(*[f.name for f in _EVENT_FIELDS.fields])).alias("value")
+    source, root = new_path(lk.spark, "events-refresh-in"), new_path(lk.spark, "events-cells")
+    checkpoint = f"{shared_dir(lk.spark)}/skyledger/stream-checkpoints/{root.rsplit('/', 1)[1]}"
+    table, keys = MergedTable(lk.spark, root, ["day"]), ["day", "event_type"]
+
+    def cells(rows):
+        return refresh.add_up(rows.select(F.to_date("sent_at").alias("day"), "event_type", F.lit(1).alias("n"), F.col("value").alias("total")), keys)
+
+    for third in range(3):
+        events.filter(F.col("event_id") % 3 == third).select(body).write.mode("append").text(source)
+        rows = messages.parse_messages(landing.file_lines(lk.spark, source), _EVENT_FIELDS)
+        refresh.keep_current(rows, table, cells, keys, checkpoint).awaitTermination()
+    refresh.merge_batch(table, cells(messages.parse_messages(lk.spark.read.text(source), _EVENT_FIELDS)), keys, ("stream", 2))
+    return table.read().withColumn("total", F.round("total", 6))
+
+
 @query("r2_dead_letters", f"""
 SELECT Flight_Number_Reporting_Airline AS flight_number, 'abc' AS dep_time FROM raw WHERE NOT ({_GOOD})""")
 def _(lk):
