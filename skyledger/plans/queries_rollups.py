@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from skyledger import schemas as S
 from skyledger.operators import history, rollups, serving
+from skyledger.operators.daily_history import DailyHistory
 from skyledger.operators.joins import attach
 from skyledger.plans.registry import query, rounded
 from skyledger.sources.merged import MergedTable
@@ -332,6 +333,21 @@ def _(lk):
     return rounded(history.prior_statistics(history.cells(lk.clean, [history.DAY]), [S.CARRIER]))
 
 
+@query("h7_daily_history", f"""
+SELECT {_KEY}, {_r(_ALL_HISTORY)} FROM features
+WHERE FlightDate IN (SELECT DISTINCT FlightDate FROM flights ORDER BY 1 DESC LIMIT 4)""")
+def _(lk):
+    """The last four days, taken in one at a time after all earlier ones, the second of them late."""
+    ledger = DailyHistory(lk.spark, new_path(lk.spark, "daily-history"))
+    days = sorted(r[0] for r in lk.clean.select(history.DAY).distinct().orderBy(F.desc(history.DAY)).limit(4).collect())
+    ledger.start(lk.clean.filter(F.col(history.DAY) < days[0]))
+    for day in (days[0], days[2], days[3], days[1]):
+        ledger.add(lk.clean.filter(F.col(history.DAY) == day))
+    flights = lk.clean.filter(F.col(history.DAY) >= days[0])
+    joined = history.join_history(flights, ledger.lookups.read())
+    return rounded(joined.select(*S.FLIGHT_KEY, *S.HISTORY_COLUMNS, *S.CAUSE_HISTORY_COLUMNS))
+
+
 @query("w2_running_totals", """
 WITH days AS (SELECT Origin, FlightDate, COUNT(*) AS n, SUM(CASE WHEN ArrDel15 = 1 THEN 1 ELSE 0 END) AS late
   FROM flights GROUP BY ALL)

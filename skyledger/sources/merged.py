@@ -143,7 +143,18 @@ class MergedTable:
         """
         return self._change(rows, combine, mark)
 
-    def _change(self, rows: DataFrame, combine, mark) -> bool:
+    def replace(self, rows: DataFrame) -> bool:
+        """Put ``rows`` in the place of what their partitions held; nothing stored is read."""
+        return self._change(rows, None, None, instead=True)
+
+    def drop(self, some: list[str]) -> None:
+        """Leave partitions out from now on."""
+        state = self.state()
+        if state["schema"] is not None and any(p in state["parts"] for p in some):
+            kept = {p: fs for p, fs in state["parts"].items() if p not in some}
+            self._swap(state, kept, state["schema"], state["marks"])
+
+    def _change(self, rows: DataFrame, combine, mark, instead: bool = False) -> bool:
         with temporary(self.spark):
             state = self.state()
             if mark and state["marks"].get(mark[0], -1) >= mark[1]:
@@ -157,7 +168,7 @@ class MergedTable:
                 rows = combine(both).select(rows.columns)
                 parts |= {p: [] for p in touched}
             for partition, folder in self._write(rows).items():
-                parts[partition] = [*parts.get(partition, []), folder]
+                parts[partition] = [folder] if instead else [*parts.get(partition, []), folder]
             marks = state["marks"] | ({mark[0]: mark[1]} if mark else {})
             self._swap(state, {p: fs for p, fs in parts.items() if fs}, rows.schema.json(), marks)
             return True
