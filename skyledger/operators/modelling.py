@@ -7,6 +7,8 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -224,6 +226,29 @@ def feature_strength(spark: SparkSession, model, columns: list[str] = S.MODEL_FE
     return rows.orderBy(F.desc(F.abs("strength")), "feature").limit(k)
 
 
+def gradient(rows: DataFrame, model, ridge: float, columns: list[str] = S.MODEL_FEATURES) -> DataFrame:
+    """feature, n and gradient of a logistic regression's penalised mean loss over ``rows``, per input and for the intercept.
+
+    Inputs count by their spread, as in the fit, so all gradients are on one scale; they
+    vanish where the fit has reached its optimum over just these rows and weights.
+    """
+    spread = rows.select(Summarizer.metrics("std").summary(F.col("features"), F.col(WEIGHT)).alias("s")).first()["s"]["std"].toArray()
+    scored = model.transform(rows).select(
+        F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"),
+        (F.col(WEIGHT) * (scoring.positive_probability() - F.col(LABEL))).alias("pull"), F.col(WEIGHT).alias("w"),
+    )
+    summed = scored.select(F.posexplode("x").alias("place", "value"), "pull", "w").groupBy("place").agg(
+        F.count("*").alias("n"), (F.sum(F.col("pull") * F.col("value")) / F.sum("w")).alias("slope")
+    )
+    known = [(i, c, float(s), float(b)) for i, (c, s, b) in enumerate(zip(columns, spread, model.coefficients.toArray(), strict=True))]
+    known.append((len(columns), "(intercept)", 1.0, 0.0))
+    names = rows.sparkSession.createDataFrame(known, "place int, feature string, spread double, coefficient double")
+    slope = F.when(F.col("spread") > 0, F.col("slope") / F.col("spread")).otherwise(0.0)
+    return summed.join(F.broadcast(names), "place").select(
+        "feature", "n", (slope + ridge * F.col("coefficient") * F.col("spread")).alias("gradient")
+    )
+
+
 def score(rows: DataFrame, preparation: InputPreparation, model, keep: list[str]) -> DataFrame:
     """Probability of delay and prediction for stored rows, with the encoders of training."""
     predicted = model.transform(preparation.vectors(rows, keep))

@@ -6,10 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
-from skyledger.operators import modelling, sampling, scoring
+from skyledger.operators import incremental, modelling, sampling, scoring
 from skyledger.operators.quantiles import exact_quantiles
 from skyledger.plans.registry import query, rounded
-from skyledger.sources.staging import new_path
+from skyledger.sources.staging import new_path, stage
 
 LABEL, WEIGHT = modelling.LABEL, modelling.WEIGHT
 _KEYS = ", ".join(S.FLIGHT_KEY)
@@ -151,31 +151,17 @@ def _(lk):
     )
 
 
-# What SQL can state of fitted models: every test row is counted under its label, areas and
-# thresholds lie where they must. The measures themselves are compared in the tests and jobs.
-_EVALUATED_SQL = """SELECT '{version}' AS version, '{name}' AS algorithm, COUNT(*) FILTER (arr_del15_label = 1) AS late,
-  COUNT(*) FILTER (arr_del15_label = 0) AS on_time, true AS areas_in_range, true AS measures_agree FROM test"""
-
-
-def _facts(measured):
-    p, r = F.col("precision"), F.col("recall")
-    agree = F.abs(F.col("f1") - F.coalesce(2 * p * r / F.nullif(p + r, F.lit(0.0)), F.lit(0.0))) < 1e-9
-    right = F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn"))) < 1e-9
-    threshold = F.coalesce(F.col("best_threshold").between(0.1, 0.89), F.lit(True))
-    areas = (F.col("roc_auc") > 0.5) & (F.col("roc_auc") <= 1) & (F.col("pr_auc") > 0) & (F.col("pr_auc") <= 1)
-    return measured.select(
-        "version", "algorithm", (F.col("tp") + F.col("fn")).alias("late"), (F.col("tn") + F.col("fp")).alias("on_time"),
-        areas.alias("areas_in_range"), (agree & right & threshold).alias("measures_agree"),
-    )
-
+# --- fitted models: SQL cannot fit them, so their measures have no counterpart here. What it can
+# state is below: the optimum of the logistic regression, and the logits of given weights. The
+# tests recompute every measure from the scores that m22 returns.
 
 def _fit_query(name: str, make):
     algorithm = name.split("_", 1)[1]
 
-    @query(name, _EVALUATED_SQL.format(version="weighted", name=algorithm))
+    @query(name)
     def _(lk):
         model = make().fit(lk.vectors["weighted"])
-        return _facts(modelling.evaluate(model, lk.vectors["test"], "weighted", algorithm))
+        return modelling.evaluate(model, lk.vectors["test"], "weighted", algorithm)
 
 
 _fit_query("m9_logistic_regression", modelling.logistic_regression)
@@ -183,22 +169,34 @@ _fit_query("m10_random_forest", modelling.random_forest)
 _fit_query("m11_boosted_trees", modelling.boosted_trees)
 _fit_query("m13_linear_svm", modelling.linear_svm)
 
+
+@query("m9_optimum", "\nUNION ALL ".join(f"""
+SELECT '{c}' AS feature, COUNT(*) AS n, true AS at_optimum FROM train""" for c in [*S.MODEL_FEATURES, "(intercept)"]))
+def _(lk):
+    """The gradient of the ridge-penalised loss over all training rows, which vanishes at the fit of all of them."""
+    rows = lk.vectors["weighted"]
+    model = modelling.logistic_regression(regParam=OPTIMUM_RIDGE, tol=1e-12).fit(rows)
+    return modelling.gradient(rows, model, OPTIMUM_RIDGE).select(
+        "feature", "n", (F.abs("gradient") < GRADIENT_BOUND).alias("at_optimum")
+    )
+
+
+OPTIMUM_RIDGE = 0.01
+GRADIENT_BOUND = 1e-6  # on inputs scaled to a spread of 1
+
 _VERSIONS = {"A_Weighting": "weighted", "B_Hybrid_Undersample": "hybrid"}
 
 
-@query("m15_m21_comparison", "\nUNION ALL ".join(
-    _EVALUATED_SQL.format(version=v, name=n) for v in _VERSIONS for n in modelling.ALGORITHMS))
+@query("m15_m21_comparison")
 def _(lk):
     sets = {v: lk.vectors[rows] for v, rows in _VERSIONS.items()}
     models, _failures = modelling.fit_matrix(sets, modelling.default_estimators())
-    return _facts(modelling.compare(models, lk.vectors["test"]))
+    return modelling.compare(models, lk.vectors["test"])
 
 
-@query("m20_feature_strength", "\nUNION ALL ".join(f"""
-SELECT '{v}' AS version, '{n}' AS model, i AS place, true AS known, true AS in_order
-FROM range(1, 16) r(i), (SELECT COUNT(*) FROM train) t""" for v in _VERSIONS for n in modelling.ALGORITHMS))
+@query("m20_feature_strength")
 def _(lk):
-    """The 15 strongest inputs of every model and version, with their places."""
+    """The 15 strongest inputs of every model and version, with their places and strengths."""
     sets = {v: lk.vectors[rows] for v, rows in _VERSIONS.items()}
     models, _failures = modelling.fit_matrix(sets, modelling.default_estimators())
     out = None
@@ -206,12 +204,7 @@ def _(lk):
         strongest = modelling.feature_strength(lk.spark, model).withColumns({"version": F.lit(version), "model": F.lit(name)})
         out = strongest if out is None else out.unionByName(strongest)
     order = Window.partitionBy("version", "model").orderBy(F.desc(F.abs("strength")), "feature")
-    stronger = F.lag(F.abs("strength")).over(order)
-    return out.select(
-        "version", "model", F.row_number().over(order).cast("bigint").alias("place"),
-        F.col("feature").isin(S.MODEL_FEATURES).alias("known"),
-        F.coalesce(stronger >= F.abs("strength"), F.lit(True)).alias("in_order"),
-    )
+    return out.select("version", "model", F.row_number().over(order).cast("bigint").alias("place"), "feature", "strength")
 
 
 def _stored_scores(lk):
@@ -222,26 +215,52 @@ def _stored_scores(lk):
     return preparation, PipelineModel.load(f"{folder}/model")
 
 
-@query("m22_stored_year_scores", f"""
-SELECT {_KEYS}, arr_del15_label, true AS is_probability, true AS said_by_probability FROM test""")
+@query("m22_stored_year_scores")
 def _(lk):
     preparation, model = _stored_scores(lk)
-    scored = modelling.score(lk.sets.test, preparation, model, [*S.FLIGHT_KEY, LABEL])
-    p = F.col("probability")
-    return scored.select(
-        *S.FLIGHT_KEY, LABEL, p.between(0, 1).alias("is_probability"),
-        ((p > 0.5).cast("double") == F.col("prediction")).alias("said_by_probability"),
-    )
+    return modelling.score(lk.sets.test, preparation, model, [*S.FLIGHT_KEY, LABEL])
 
 
-@query("x1_positive_probability", f"SELECT {_KEYS}, true AS adds_up FROM test")
+@query("x1_positive_probability")
 def _(lk):
-    """The probability of a delay is what the vector leaves to the other class."""
+    """The probability of a delay out of the vector, beside the decision value it follows from."""
     preparation, model = _stored_scores(lk)
     predicted = model.transform(preparation.vectors(lk.sets.test, S.FLIGHT_KEY))
-    both = vector_to_array("probability")
-    adds_up = (F.abs(scoring.positive_probability() + both[0] - 1) < 1e-9) & (F.size(both) == 2)
-    return predicted.select(*S.FLIGHT_KEY, adds_up.alias("adds_up"))
+    logit = vector_to_array("rawPrediction")[1]
+    return predicted.select(*S.FLIGHT_KEY, logit.alias("logit"), scoring.positive_probability().alias("probability"))
+
+
+# --- linear models trained by mini-batches
+
+_LOGIT_INPUTS = {"day_of_week": (4.0, 2.0, 0.75), "flight_month": (6.5, 3.5, -0.5), "distance_bucket": (5.0, 2.5, 0.25)}
+_LOGIT_BIAS = -0.125
+
+
+@query("m14_linear_logits", f"""
+SELECT {_KEYS}, ROUND({_LOGIT_BIAS}{"".join(f" + {w} * ({c} - {m}) / {s}" for c, (m, s, w) in _LOGIT_INPUTS.items())}, 9) AS logit
+FROM features""")
+def _(lk):
+    """Decision values of a model with given weights on scaled inputs."""
+    mean, scale, weights = zip(*_LOGIT_INPUTS.values(), strict=True)
+    model = incremental.LinearModel("logistic", mean, scale, weights, _LOGIT_BIAS)
+    inputs = F.array(*[F.col(c).cast("double") for c in _LOGIT_INPUTS])
+    return lk.features.select(*S.FLIGHT_KEY, F.round(model.logit(inputs), 9).alias("logit"))
+
+
+@query("m13_m14_incremental_training")
+def _(lk):
+    """Mean loss of every epoch, and how each linear model ranks the test rows at the end."""
+    plain = {n: lk.vectors[n].select(
+        vector_to_array("features").alias("x"), F.col(LABEL).alias("label"), (F.col(modelling.WEIGHT) if n == "weighted" else F.lit(1.0)).alias("weight"),
+    ) for n in ("weighted", "test")}
+    train = stage(plain["weighted"], "incremental-train")
+    rows = []
+    for kind in incremental.KINDS:
+        model = incremental.train(train, kind, 3)
+        scored = plain["test"].select("label", model.logit().alias("score"))
+        areas = modelling.ranking_quality(scored, "label", "score")
+        rows += [(kind, e, loss, areas["roc_auc"], areas["pr_auc"]) for e, loss in enumerate(model.losses, 1)]
+    return lk.spark.createDataFrame(rows, "kind string, epoch int, loss double, roc_auc double, pr_auc double")
 
 
 @query("m6_plain_numbers", "\nUNION ALL ".join(

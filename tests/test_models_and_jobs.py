@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +199,26 @@ def test_summary_reads_raw_three_times(spark, lk):
     plan = profiling.quality_summary(lk.typed, FIXTURE_YEARS)._jdf.queryExecution().executedPlan().toString()
     # the grouping and the value counts are staged; only the duplicates' keys are left
     assert plan.count("IATA_CODE_Reporting_Airline") and sum("raw-" in p for p in plan.split("Location: ")[1:]) <= 1
+
+
+def test_measures_follow_from_the_returned_scores(spark, lk):
+    """Counts and areas of the logistic regression, worked out anew from the scores that the query returns."""
+    from skyledger.plans.catalogue import QUERIES
+    from datasets import DATA
+
+    scores = [(r["probability"], r["prediction"], r[modelling.LABEL]) for r in QUERIES["m22_stored_year_scores"](spark, DATA).collect()]
+    told = QUERIES["m9_logistic_regression"](spark, DATA).first()
+    counts = {(a, b): sum(1 for _, p, y in scores if (y, p) == (a, b)) for a in (0, 1) for b in (0, 1)}
+    assert (told["tp"], told["tn"], told["fp"], told["fn"]) == (counts[1, 1], counts[0, 0], counts[0, 1], counts[1, 0])
+    late, on_time = ([p for p, _, y in scores if y == k] for k in (1, 0))
+    wins = sum((a > b) + (a == b) / 2 for a in late for b in on_time)
+    assert told["roc_auc"] == pytest.approx(wins / (len(late) * len(on_time)), abs=1e-9)
+    logits = QUERIES["x1_positive_probability"](spark, DATA).collect()
+    assert all(r["probability"] == pytest.approx(1 / (1 + math.exp(min(-r["logit"], 700.0))), abs=1e-9) for r in logits)
+
+
+def test_a_fit_on_half_the_rows_misses_the_optimum(lk):
+    rows = lk.vectors["weighted"]
+    half = modelling.logistic_regression(regParam=0.01, tol=1e-12).fit(rows.sample(0.5, seed=1))
+    worst = modelling.gradient(rows, half, 0.01).agg(F.max(F.abs("gradient"))).first()[0]
+    assert worst > 1e-3
