@@ -101,12 +101,66 @@ def test_bands_reject_what_fits_badly(make_docs, invent):
     good = [(i, " ".join(rnd.choice(common) for _ in range(120)), "en", "s") for i in range(120)]
     bad = [(500, " ".join("".join(rnd.choice("QXZJKVW#$%") for _ in range(9)) for _ in range(40)), "en", "s"),
            (501, " ".join("☃꙰ꙮ" + str(rnd.randrange(99)) for _ in range(40)), "en", "s")]
-    rare = [(600, bad[0][1], "xx", "s")]  # a language without a band rejects nothing
+    # alone in their language: the script and the corpus judge them
+    rare = [(600, bad[0][1], "xx", "s"), (601, " ".join(rnd.choice(common) for _ in range(120)), "yy", "s")]
     kept = {r.doc_id: r.kept for r in R.judge(make_docs(good + bad + rare), MODEL).collect()}
-    assert not kept[500] and not kept[501] and kept[600]
+    assert not kept[500] and not kept[501] and not kept[600] and kept[601]
     assert sum(kept[i] for i in range(120)) >= 118
 
 
+def plain_verdicts(rows, width=3.0, prior=50):
+    """kept of every row, from the library's pieces and sorted lists."""
+    import sentencepiece
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    told = []
+    for _, text, lang, _ in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        ids = [i for w in words for i in processor.encode(w)]
+        counts = base_counts(text)
+        share = [n / len(ids) for n in collections.Counter(ids).values()]
+        letters = [next((c for c in w if c.isalpha()), None) for w in words]
+        scripts = collections.Counter()
+        for c in letters:
+            if c:
+                scripts[[v for k, v in R.SCRIPTS.items() if k <= ord(c)][-1]] += 1
+        script = min(scripts, key=lambda x: (-scripts[x], x)) if scripts else "none"
+        n = max(len(ids), 1)
+        told.append({
+            "failed": counts[0] < 10 or 100 * counts[4] > 20 * counts[0],
+            "groups": [(0,), (script,), (lang or "",), (lang or "", int(math.log2(max(len(words), 1))))],
+            "values": [counts[1] / n, sum(map(processor.is_byte, ids)) / n, -sum(p * math.log2(p) for p in share) / math.log2(max(len(ids), 2))],
+        })
+    out = []
+    for t in told:
+        fits = True
+        for k, least in enumerate((0.05, 0.01, 0.0125)):
+            low = high = None
+            for level in range(4):
+                own = sorted(o["values"][k] for o in told if o["groups"][level] == t["groups"][level] and not o["failed"])
+                if own:
+                    q = [own[max(math.ceil(p * len(own)), 1) - 1] for p in (0.25, 0.75)]
+                    reach = max(q[1] - q[0], least) * width * (1 if level == 3 else 2)
+                    part = len(own) / (len(own) + prior) if low is not None else 1.0
+                    low = part * (q[0] - reach) + (1 - part) * (low or 0.0)
+                    high = part * (q[1] + reach) + (1 - part) * (high or 0.0)
+            fits = fits and (low is None or low <= t["values"][k] <= high)
+        out.append(not t["failed"] and fits)
+    return out
+
+
+def test_verdicts_equal_a_plain_version(spark, make_docs):
+    texts = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rnd = random.Random(11)
+    odd = ["".join(rnd.choice("qxzjkvw#$%ß ") for _ in range(300)), "привет мир как дела " * 3 + "это простой текст о погоде", "日本 語 の 文 章 で す か ら 長 い"]
+    rows = [(i, t[1], None if i % 37 == 0 else t[2], t[3]) for i, t in enumerate(texts)]
+    rows += [(1000 + i, t, lang, "s") for i, t in enumerate(odd) for lang in ("en", "xx", None)]
+    got = {r.doc_id: r.kept for r in R.judge(make_docs([(i, *r[1:]) for i, r in enumerate(rows)]), MODEL).collect()}
+    want = plain_verdicts(rows)
+    assert [got[i] for i in range(len(rows))] == want
+    assert 0 < sum(want) < len(want)
+
+
 def test_rare_lengths_are_judged_too(spark, make_docs):
     # one text of its length among 120 shorter ones: its few words show in the entropy only
     rnd = random.Random(7)
