@@ -47,12 +47,16 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-    """Write ``df`` once and go on from the written table; ``by`` names a column to lay it out by."""
+def stage(df: DataFrame, name: str, by: str | None = None, outer: bool = False) -> DataFrame:
+    """Write ``df`` once and go on from the written table; ``by`` names a column to lay it out by.
+
+    Inside of ``temporary`` the table goes when the block ends, or with ``outer`` when the
+    block around that one does.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    if _staged:
-        _staged[-1].append(path)
+    if len(_staged) > outer:
+        _staged[-1 - outer].append(path)
     (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
