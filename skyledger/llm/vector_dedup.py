@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterable, Iterator
 
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.groups import smallest_labels
 from skyledger.operators.joins import attach
-from skyledger.sources.staging import stage
+from skyledger.sources.staging import stage, temporary
 
+LOG = logging.getLogger(__name__)
 NEIGHBOURS = 12  # length of a neighbour list
 REVERSE = 6  # neighbours the other way that join in
 OFFERS = 4  # best new neighbours that a join offers to each of its members
@@ -25,6 +27,9 @@ BLOCK = 1024
 SLACK = 1e-6  # radians, far above the rounding of an angle
 AUDITED = 256
 OTHERS = 4
+ENOUGH = 200  # vectors with a link that an audit of a kind has to see
+MOST_DRAWN = 65_536
+DRAWS = 1 << 30
 GOOD_RECALL = 0.98
 ATTEMPTS = 4
 
@@ -433,47 +438,84 @@ def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int, whol
     return told, stage(counted, "vectors-counted")
 
 
-def _audit(vectors: DataFrame, labels: DataFrame, counted: DataFrame, least: float, audited: int) -> dict[bool, float]:
-    """Mean share of its own links that was found for a vector, apart for saturated (True) and other vectors (False).
+def _settled(lists: DataFrame, vectors: DataFrame, least: float, wanted: int, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``_links`` as tables of their own; those it was made through are removed."""
+    with temporary(vectors.sparkSession):
+        labels, counted = _links(lists, vectors, least, wanted, whole)
+        return stage(labels, "vectors-settled", outer=True), stage(counted, "vectors-settled", outer=True)
 
-    Of each kind some vectors are picked by hash, ``audited`` of the saturated and
-    ``OTHERS`` times as many of the others, most of which have no link. They are compared
-    with every vector in blocks; only sums per picked vector come back. Picked vectors
-    without a link say nothing; a kind without any has no entry.
+
+def _shares(vectors: DataFrame, picked: DataFrame, least: float) -> list[float]:
+    """Share of its own links that was found, for each picked vector that has any.
+
+    The picked vectors are compared with every vector in blocks; only sums come back.
     """
-    kinds = vectors.select("node", "unit", "dim", "copies").join(labels.select("node", "saturated"), "node").join(counted, "node", "left")
-    order = [F.xxhash64(F.lit("audit"), "node"), F.col("node")]
-    few, many = (
-        kinds.filter(chosen).orderBy(*order).limit(n)
-        for chosen, n in ((F.col("saturated"), audited), (~F.col("saturated"), audited * OTHERS))
-    )
-    picked = few.union(many).toArrow().to_pylist()
+    rows = picked.select("unit", "dim", "copies", "n_links").toArrow()
+    dims = rows.column("dim").to_numpy()
     by_dim = {}
-    for i, row in enumerate(picked):
-        by_dim.setdefault(row["dim"], []).append((i, row["unit"]))
-    shared = vectors.sparkSession.sparkContext.broadcast({d: ([i for i, _ in rows], np.array([u for _, u in rows])) for d, rows in by_dim.items()})
+    for dim in np.unique(dims):
+        at = np.flatnonzero(dims == dim)
+        by_dim[int(dim)] = (at, _matrix(rows.column("unit").take(pa.array(at))))
+    shared = vectors.sparkSession.sparkContext.broadcast(by_dim)
+    n_picked = rows.num_rows
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, int] = {}
+        totals = np.zeros(n_picked, dtype=np.int64)
         for batch in batches:
-            dims, copies = batch.column("dim").to_numpy(), batch.column("copies").to_numpy()
+            lengths, copies = batch.column("dim").to_numpy(), batch.column("copies").to_numpy()
             for dim, (places, units) in shared.value.items():
-                all_of_dim = np.flatnonzero(dims == dim)
+                all_of_dim = np.flatnonzero(lengths == dim)
                 for begin in range(0, len(all_of_dim), BLOCK):
                     at = all_of_dim[begin:begin + BLOCK]
-                    near = units @ _matrix(batch.column("unit").take(pa.array(at))).T >= least
-                    for i, n in zip(places, near @ copies[at], strict=True):
-                        totals[i] = totals.get(i, 0) + int(n)
-        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], names=["i", "n"])
+                    x = _matrix(batch.column("unit").take(pa.array(at))).T
+                    for first in range(0, len(places), BLOCK):
+                        near = units[first:first + BLOCK] @ x >= least
+                        totals[places[first:first + BLOCK]] += near @ copies[at]
+        seen = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(totals[seen])], names=["i", "n"])
 
     true = vectors.select("dim", "unit", "copies").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
-    true = {r["i"]: r["n"] for r in true.collect()}
-    shares: dict[bool, list[float]] = {}
-    for i, row in enumerate(picked):
-        links = true[i] - row["copies"]
-        if links > 0:
-            shares.setdefault(row["saturated"], []).append(min(1.0, (row["n_links"] or 0) / links))
-    return {kind: sum(found) / len(found) for kind, found in shares.items()}
+    links = np.zeros(n_picked, dtype=np.int64)
+    for row in true.collect():  # a number per picked vector
+        links[row["i"]] = row["n"]
+    shared.destroy()
+    links -= rows.column("copies").to_numpy()
+    found = rows.column("n_links").fill_null(0).to_numpy()
+    some = links > 0
+    return np.minimum(1.0, found[some] / links[some]).tolist()
+
+
+def _audit(vectors: DataFrame, labels: DataFrame, counted: DataFrame, least: float, audited: int) -> dict[bool, tuple[float | None, int, bool]]:
+    """Of saturated (True) and other vectors (False): mean share of its links found for a vector, vectors it is of, and whether all were looked at.
+
+    Vectors are drawn by hash, ever more of them, until ``ENOUGH`` with a true link were
+    seen, or all were looked at, or ``MOST_DRAWN`` drawn: where links are rare, a sample
+    that saw none says nothing, so it is not the end. A mean of nothing is None.
+    """
+    kinds = vectors.select("node", "unit", "dim", "copies").join(labels.select("node", "saturated"), "node").join(counted, "node", "left")
+    place = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(DRAWS)) / F.lit(float(DRAWS))
+    kinds = stage(kinds.withColumn("place", place), "vectors-audit")
+    sizes = {r["saturated"]: r["count"] for r in kinds.groupBy("saturated").count().collect()}
+    told = {}
+    for kind, draw in ((True, audited), (False, audited * OTHERS)):
+        n, done, shares = sizes.get(kind, 0), 0.0, []
+        while done < min(1.0, MOST_DRAWN / max(n, 1)) and n and len(shares) < ENOUGH:
+            upto = min(1.0, done + draw / n)
+            some = kinds.filter((F.col("saturated") == kind) & (F.col("place") >= done) & (F.col("place") < upto))
+            shares += _shares(vectors, some, least)
+            done, draw = upto, draw * 4
+        told[kind] = (sum(shares) / len(shares) if shares else None, len(shares), not n or done >= 1.0)
+    return told
+
+
+def _good(told: dict[bool, tuple[float | None, int, bool]]) -> bool:
+    """Whether every kind that has links was found to have most; says so where too few were seen to tell."""
+    for kind, (share, seen, whole) in told.items():
+        name = "saturated" if kind else "other"
+        LOG.info("recall of %s vectors: %s, on %d with links%s", name, share, seen, ", all looked at" if whole else "")
+        if seen < ENOUGH and not whole:
+            LOG.warning("recall of %s vectors is measured on %d only: links are rarer than the draws can tell", name, seen)
+    return all(share is None or share >= GOOD_RECALL for share, _, _ in told.values())
 
 
 def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -> DataFrame:
@@ -492,7 +534,8 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
     trees that a pair at the threshold shares no leaf with a chance of 0.02 at most, where
     leaves are not overfull. Vectors whose list
     holds nothing but links are compared in blocks with every dense component in their
-    reach. A sample of vectors is then compared with all: where a saturated or another
+    reach. A sample of vectors is then compared with all, until 200 of each kind that have
+    a link were seen, all were looked at or 65,536 drawn: where a saturated or another
     vector has on average less than 0.98 of its links, the lists are made twice as long,
     further trees join, and the work is done again. If four times are not enough, all
     vectors are compared with all in blocks, which takes the square of their number but
@@ -511,21 +554,24 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
         "vectors-nodes",
     )
     n = vectors.count()
-    edges, wanted = None, NEIGHBOURS
+    spark, edges, wanted = table.sparkSession, None, NEIGHBOURS
     for attempt in range(ATTEMPTS):
         # a few trees at a time, so that no more copies of the vectors are dealt out at once
         for turn in range(_trees(n, least) // TREES):
-            first = _first_graph(vectors, n, TREES, wanted, seed=attempt * 1_000_003 + turn).withColumn("new", F.lit(1))
-            edges = first if edges is None else edges.select("a", "b", "sim").withColumn("new", F.lit(1)).unionByName(first)
-            edges = stage(_best(edges, wanted), "vectors-edges")
+            with temporary(spark):
+                first = _first_graph(vectors, n, TREES, wanted, seed=attempt * 1_000_003 + turn).withColumn("new", F.lit(1))
+                edges = first if edges is None else edges.select("a", "b", "sim").withColumn("new", F.lit(1)).unionByName(first)
+                edges = stage(_best(edges, wanted), "vectors-edges", outer=True)
+        with temporary(spark):
+            edges = stage(_descend(edges.select("a", "b", "sim"), vectors, least, wanted), "vectors-edges", outer=True)
         edges = edges.select("a", "b", "sim")
-        edges = _descend(edges, vectors, least, wanted)
-        labels, counted = _links(edges, vectors, least, wanted)
-        if min(_audit(vectors, labels, counted, least, audited).values(), default=1.0) >= GOOD_RECALL:
-            break
+        labels, counted = _settled(edges, vectors, least, wanted)
+        with temporary(spark):
+            if _good(_audit(vectors, labels, counted, least, audited)):
+                break
         wanted *= 2
     else:
-        labels, counted = _links(edges, vectors, least, wanted, whole=True)
+        labels, counted = _settled(edges, vectors, least, wanted, whole=True)
     named = stage(vectors.select("node", "copies", "least_id").join(labels, "node").join(counted, "node", "left"), "vectors-named")
     least_ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     told = stage(named.join(least_ids, "component").select("node", "copies", "n_links", "component_id"), "vectors-told")

@@ -103,6 +103,55 @@ def test_audit_sees_past_a_hot_group(spark, monkeypatch):
     assert result(V.link_vectors(table(spark, vectors))) == expected(vectors, 0.9)
 
 
+def lone_pairs(rnd, centres, cosine, dim):
+    """Each centre and a vector at the given cosine of it."""
+    out = []
+    for centre in centres:
+        aside = rnd.standard_normal(dim)
+        aside -= (aside @ centre) * centre
+        out += [centre, cosine * centre + math.sqrt(1 - cosine**2) * aside / np.linalg.norm(aside)]
+    return out
+
+
+def test_audit_has_to_see_links(spark):
+    """Twenty pairs among 20,000 vectors, none of them in the lists: the first draws see next to no link."""
+    rnd = np.random.default_rng(15)
+    x = rnd.standard_normal((20_000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    kept = list(x[:1])
+    for v in x[1:20_000]:  # far enough from a few fixed ones to plant pairs there
+        kept.append(v)
+    planted = lone_pairs(rnd, np.eye(16)[:10], 0.93, 16) + lone_pairs(rnd, -np.eye(16)[:10], 0.93, 16)
+    units = [v for v in kept if max(abs(v)) < 0.8][:19_960] + planted
+    rows = [(b"%d" % i, [float(c) for c in v], 1, 16) for i, v in enumerate(units)]
+    vectors = spark.createDataFrame(rows, "node binary, unit array<double>, copies long, dim int").repartition(4)
+    # a threshold that only the planted pairs reach
+    labels = vectors.select("node", F.lit(False).alias("saturated"))
+    nothing = vectors.limit(0).select("node", F.lit(0).cast("long").alias("n_links"))
+    true = np.array(units) @ np.array(units[-40:]).T
+    assert ((true >= 0.925).sum(axis=0) >= 2).all()
+    told = V._audit(vectors, labels, nothing, 0.925, 64)
+    share, seen, whole = told[False]
+    assert seen >= 40 and (whole or seen >= V.ENOUGH) and share == 0.0 and not V._good(told)
+    assert told[True] == (None, 0, True)
+
+
+def test_recall_in_a_cloud(spark):
+    """Vectors that all lie close together, as text embeddings do, with lone pairs among them."""
+    rnd = np.random.default_rng(16)
+    middle = np.zeros(64)
+    middle[0] = 1.7
+    x = rnd.standard_normal((2500, 64)) / 8 + middle
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vectors = [*x, *lone_pairs(rnd, x[:100], 0.93, 64)[1::2]]
+    vectors = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    want = expected(vectors, 0.92)
+    assert 0.6 < np.median(x[:300] @ x[300:600].T) < 0.9 and sum(r[1] > 0 for r in want) >= 200
+    got = result(V.link_vectors(table(spark, vectors), 0.92))
+    found = [g[1] / w[1] for g, w in zip(got, want, strict=True) if w[1]]
+    assert np.mean(found) >= 0.98 and all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
+
+
 @pytest.mark.parametrize("n", [200_000, 50_000_000])
 def test_lone_pairs_share_a_leaf(n):
     # near copies without a common neighbour, among so many vectors, are found by their leaves only
