@@ -1,13 +1,18 @@
 """Registered queries: sampling, weights, encoding, training and evaluation."""
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
-from skyledger.operators import incremental, modelling, sampling, scoring
+from skyledger.operators import boosting, incremental, modelling, sampling, scoring
+from skyledger.operators import features as feat
+from skyledger.operators.cleaning import clean_binary_label
 from skyledger.operators.quantiles import exact_quantiles
+from skyledger.plans.fixture import FIXTURE_TRAIN_END
 from skyledger.plans.registry import query, rounded
 from skyledger.sources.staging import new_path, stage
 
@@ -263,6 +268,74 @@ def _(lk):
     return lk.spark.createDataFrame(rows, "kind string, epoch int, loss double, roc_auc double, pr_auc double")
 
 
+# --- second-order boosted trees
+
+_SPLIT_INPUTS = ["dep_hour", "arr_hour", "day_of_week", "flight_month", "Distance"]
+_SPLIT_BINS, _SPLIT_RIDGE = 8, 1.0
+
+
+def _split_level(nodes: str, name: str) -> str:
+    """The best split of every node of a table (id, node); sums of a first tree, where p is a half."""
+    half = f"(gl * gl / (hl + {_SPLIT_RIDGE}) + (g - gl) * (g - gl) / (h - hl + {_SPLIT_RIDGE}) - g * g / (h + {_SPLIT_RIDGE})) / 2"
+    return f"""
+{name}_sums AS (
+  SELECT n.node, l.feature, c.cut, SUM(0.5::DOUBLE - y) AS g, COUNT(*) * 0.25::DOUBLE AS h,
+    COALESCE(SUM(0.5::DOUBLE - y) FILTER (x <= cut), 0) AS gx, COUNT(*) FILTER (x <= cut) * 0.25::DOUBLE AS hx,
+    COALESCE(SUM(0.5::DOUBLE - y) FILTER (x IS NULL), 0) AS gm, COUNT(*) FILTER (x IS NULL) * 0.25::DOUBLE AS hm
+  FROM {nodes} n JOIN long l USING (id) JOIN cuts c USING (feature) GROUP BY ALL),
+{name}_sides AS (
+  SELECT *, gx + gm AS gl, hx + hm AS hl, true AS missing_left FROM {name}_sums
+  UNION ALL SELECT *, gx, hx, false FROM {name}_sums),
+{name} AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY node ORDER BY ROUND(gain, 9) DESC, feature, cut, missing_left DESC) AS place
+    FROM (SELECT *, {half} AS gain FROM {name}_sides WHERE hl >= 1 AND h - hl >= 1) WHERE gain > 1e-12) WHERE place = 1)"""
+
+
+_SPLITS_SQL = f"""
+WITH numbered AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS id, * FROM train),
+long AS MATERIALIZED (
+{" UNION ALL ".join(f"SELECT id, arr_del15_label AS y, {i} AS feature, CAST({c} AS DOUBLE) AS x FROM numbered" for i, c in enumerate(_SPLIT_INPUTS))}),
+cuts AS MATERIALIZED (
+  SELECT DISTINCT feature, cut FROM (
+{" UNION ALL ".join(f"SELECT feature, quantile_disc(x, {k / _SPLIT_BINS}) AS cut FROM long GROUP BY feature" for k in range(1, _SPLIT_BINS))}) WHERE cut IS NOT NULL),
+root AS (SELECT id, 1 AS node FROM numbered),
+{_split_level("root", "one")},
+below AS MATERIALIZED (
+  SELECT l.id, 2 + CASE WHEN COALESCE(l.x <= o.cut, o.missing_left) THEN 0 ELSE 1 END AS node
+  FROM long l JOIN one o USING (feature)),
+{_split_level("below", "two")}
+SELECT node, feature, cut, missing_left, ROUND(gain, 6) AS gain FROM one
+UNION ALL SELECT node, feature, cut, missing_left, ROUND(gain, 6) FROM two"""
+
+
+def _boost_rows(lk, rows):
+    inputs = [F.col(c).cast("double") for c in _SPLIT_INPUTS]
+    return rows.select(F.array(*inputs).alias("x"), F.col(LABEL).alias("label"), F.lit(1.0).alias("weight"))
+
+
+@query("m12_tree_splits", _SPLITS_SQL)
+def _(lk):
+    """The splits of a first tree of depth two: feature, cut and the side of missing values."""
+    rows = stage(_boost_rows(lk, feat.split_by_date(clean_binary_label(lk.features, LABEL), FIXTURE_TRAIN_END)[0]), "boost-rows")
+    model = boosting.train(rows, n_trees=1, depth=2, bins=_SPLIT_BINS, ridge=_SPLIT_RIDGE, least_weight=1.0)
+    tree = model.trees[0]
+    found = [(n, f, model.cuts[f][tree.cut_bin[n]], tree.missing_left[n], round(tree.gain[n], 6)) for n, f in enumerate(tree.feature) if f >= 0]
+    return lk.spark.createDataFrame(found, "node int, feature int, cut double, missing_left boolean, gain double")
+
+
+@query("m12_second_order_trees")
+def _(lk):
+    """How the trees rank the test rows, after a few rounds and after all."""
+    train, test = (stage(_boost_rows(lk, rows), "boost-rows") for rows in (lk.sets.weighted, lk.sets.test))
+    model, rows = boosting.train(train, n_trees=6, depth=3), []
+    for n in (1, 6):
+        scored = replace(model, trees=model.trees[:n]).score(test, ["label"])
+        areas = modelling.ranking_quality(scored, "label", "margin")
+        rows.append((n, areas["roc_auc"], areas["pr_auc"]))
+    return lk.spark.createDataFrame(rows, "n_trees int, roc_auc double, pr_auc double")
+
+
 @query("m6_plain_numbers", "\nUNION ALL ".join(
     f"SELECT t.*, false AS marked FROM ({_index_sql(c, n)}) t" for c, n in modelling.INDEXED.items()))
 def _(lk):

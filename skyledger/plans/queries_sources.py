@@ -2,6 +2,7 @@
 
 from functools import partial, reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -322,6 +323,52 @@ def _(lk):
     return landing.without_resends(landed, ["event_id"], "sent_at").select("event_id", "user_id", "event_type", "value")
 
 
+@query("r6_in_stream", "SELECT event_id, user_id, event_type, value FROM events")
+def _(lk):
+    """What the stream keeps of a faulty feed, and what came too late for it, from the landed messages."""
+    source = _faulty_feed(lk)
+    landed_at, schema = _land_events(lk, source)
+    kept_at = new_path(lk.spark, "events-kept")
+    checkpoint = f"{shared_dir(lk.spark)}/skyledger/stream-checkpoints/{kept_at.rsplit('/', 1)[1]}"
+    rows = messages.parse_messages(landing.file_lines(lk.spark, source, 1), _EVENT_FIELDS)
+    landing.start_deduplicated(rows, ["event_id"], "sent_at", "2 days", kept_at, checkpoint).awaitTermination()
+    kept = lk.spark.read.schema(_EVENT_FIELDS).parquet(kept_at)
+    late = landing.late_messages(landing.good_rows(lk.spark, landed_at, schema), kept, ["event_id"], "sent_at")
+    return kept.unionByName(late).select("event_id", "user_id", "event_type", "value")
+
+
+@query("r2_broken_limit", """
+SELECT step, COUNT(*) FILTER (step = 'mended' OR event_id % 2 = 0) AS good, CASE WHEN step = 'mended' THEN 21 ELSE 10 END AS broken
+FROM events, (VALUES ('stopped'), ('mended')) s(step) GROUP BY step""")
+def _(lk):
+    """Ten broken messages of a block pass, eleven stop the stream; with a higher limit it goes on, and all lands once."""
+    events = lk.table("events").withColumn("sent_at", F.col("ts").cast("timestamp"))
+    body = F.to_json(F.struct(*[f.name for f in _EVENT_FIELDS.fields])).alias("value")
+    source, root = new_path(lk.spark, "limited-in"), new_path(lk.spark, "limited-table")
+    checkpoint = f"{shared_dir(lk.spark)}/skyledger/stream-checkpoints/{root.rsplit('/', 1)[1]}"
+    table, counted = MergedTable(lk.spark, root), []
+
+    def block(rest: int, n_broken: int, limit: int) -> None:
+        spoilt = events.orderBy("event_id").limit(n_broken).select(F.substring(body, 1, 9).alias("value"))
+        if n_broken:
+            events.filter(F.col("event_id") % 2 == rest).select(body).union(spoilt).write.mode("append").text(source)
+        rows = messages.parse_messages(landing.file_lines(lk.spark, source), _EVENT_FIELDS)
+        landing.start_limited(rows, table, checkpoint, limit).awaitTermination()
+
+    def count(step: str) -> None:
+        counts = table.read().agg(F.count_if(~F.col("broken")).alias("good"), F.count_if("broken").cast("int").alias("broken"))
+        counted.append(stage(counts.select(F.lit(step).alias("step"), "good", "broken"), "limited-counts"))
+
+    block(0, 10, 10)
+    try:
+        block(1, 11, 10)
+    except StreamingQueryException:
+        count("stopped")
+    block(1, 0, 11)
+    count("mended")
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query("r6_message_balance", _BALANCE_SQL)
 def _(lk):
     """Every message of a faulty feed is good, sent again or a dead letter."""
@@ -339,25 +386,33 @@ def _(lk):
     )
 
 
-def _event_stream(lk, faulty: bool = False):
-    """Events as messages, landed a file at a time.
-
-    A faulty feed holds a third of the events twice, a broken and a blank message for
-    every tenth, and sends its oldest events last.
-    """
+def _faulty_feed(lk) -> str:
+    """A folder of messages with a third of the events twice, a broken and a blank message for every tenth, the oldest last."""
     events = lk.table("events").withColumn("sent_at", F.col("ts").cast("timestamp"))
     body = F.to_json(F.struct(*[f.name for f in _EVENT_FIELDS.fields])).alias("value")
-    source, table = new_path(lk.spark, "events-in"), new_path(lk.spark, "events-table")
-    if faulty:
-        early = F.col("event_id") % 7 == 0
-        events.filter(~early).select(body).write.text(source)
-        events.filter("event_id % 3 = 0").select(body).write.mode("append").text(source)
-        spoilt = F.array(F.substring(F.to_json(F.struct("event_id", "event_type")), 1, 12), F.lit("  "))
-        events.filter("event_id % 10 = 0").select(F.explode(spoilt).alias("value")).write.mode("append").text(source)
-        events.filter(early).select(body).write.mode("append").text(source)
-    else:
-        events.select(body).write.text(source)
+    source = new_path(lk.spark, "events-in")
+    early = F.col("event_id") % 7 == 0
+    events.filter(~early).select(body).write.text(source)
+    events.filter("event_id % 3 = 0").select(body).write.mode("append").text(source)
+    spoilt = F.array(F.substring(F.to_json(F.struct("event_id", "event_type")), 1, 12), F.lit("  "))
+    events.filter("event_id % 10 = 0").select(F.explode(spoilt).alias("value")).write.mode("append").text(source)
+    events.filter(early).select(body).write.mode("append").text(source)
+    return source
+
+
+def _land_events(lk, source: str):
+    table = new_path(lk.spark, "events-table")
     rows = messages.parse_messages(landing.file_lines(lk.spark, source, 1), _EVENT_FIELDS)
     checkpoint = f"{shared_dir(lk.spark)}/skyledger/stream-checkpoints/{table.rsplit('/', 1)[1]}"
     landing.start_landing(rows, table, checkpoint).awaitTermination()
     return table, rows.schema
+
+
+def _event_stream(lk, faulty: bool = False):
+    """Events as messages, whole or a faulty feed of them, landed a file at a time."""
+    if faulty:
+        return _land_events(lk, _faulty_feed(lk))
+    events = lk.table("events").withColumn("sent_at", F.col("ts").cast("timestamp"))
+    source = new_path(lk.spark, "events-in")
+    events.select(F.to_json(F.struct(*[f.name for f in _EVENT_FIELDS.fields])).alias("value")).write.text(source)
+    return _land_events(lk, source)
