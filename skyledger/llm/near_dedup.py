@@ -301,3 +301,24 @@ def keep_one(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
     stay = stage(stay.distinct(), "near-stay")
     rows = docs.select(id_or_lowest().alias("_id"), F.xxhash64("text").alias("_mark"), F.struct(*docs.columns).alias("row"))
     return rows.join(stay, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]).select("row.*")
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT ROW_NUMBER() OVER () AS r, doc_id, regexp_extract_all(translate(COALESCE(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+spots AS (SELECT r, UNNEST(words) AS word, generate_subscripts(words, 1) AS p FROM docs WHERE len(words) >= 3),
+triples AS (SELECT r, word || ' ' || LEAD(word) OVER w || ' ' || LEAD(word, 2) OVER w AS s FROM spots WINDOW w AS (PARTITION BY r ORDER BY p)),
+sets AS MATERIALIZED (
+  SELECT DISTINCT r, s FROM triples WHERE s IS NOT NULL
+  UNION ALL SELECT r, array_to_string(words, ' ') FROM docs WHERE len(words) BETWEEN 1 AND 2),
+sizes AS MATERIALIZED (SELECT r, COUNT(*) AS n FROM sets GROUP BY r),
+shared AS (SELECT a.r AS a, b.r AS b, COUNT(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT r AS a, r AS b FROM docs UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b),
+least AS (SELECT reach.a AS r, MIN(d.doc_id) AS component_id FROM reach JOIN docs d ON d.r = reach.b GROUP BY reach.a)
+SELECT d.doc_id, COALESCE(z.n, 0) AS n_shingles, l.component_id, l.component_id IS NOT DISTINCT FROM d.doc_id AS kept
+FROM docs d JOIN least l USING (r) LEFT JOIN sizes z USING (r)
+"""

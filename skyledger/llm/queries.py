@@ -43,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
+@query(sql=substring_dedup.REPEATS_SQL)
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without repeated passages of 35 words."""
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
@@ -55,7 +55,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query
+@query(sql=near_dedup.NEAR_SQL)
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, over word triples at 85 per cent."""
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), percent=85, shingle=3)
@@ -99,7 +99,7 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_table(table(spark, sf_dir, "documents"), 8)
 
 
-@query
+@query(sql=vector_dedup.LINKS_SQL)
 def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every embedding at a cosine of 0.9."""
     return vector_dedup.link_vectors(table(spark, sf_dir, "embeddings"), least=0.9)

@@ -225,3 +225,22 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     out = rows.join(changed, ["_id", "_mark"], "left")
     text = F.when(F.col("kept").isNotNull(), F.decode("kept", "utf-8")).otherwise(F.col("row.text"))
     return out.select(F.col("row").withField("text", text).alias("row")).select("row.*")
+
+
+REPEATS_SQL = r"""
+WITH docs AS (
+  SELECT ROW_NUMBER() OVER () AS r, doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+spots AS MATERIALIZED (SELECT r, UNNEST(words) AS word, generate_subscripts(words, 1) AS p FROM docs),
+windows AS (
+  SELECT r, p, string_agg(word, ' ') OVER w AS text, COUNT(*) OVER w AS n FROM spots
+  WINDOW w AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+marked AS MATERIALIZED (SELECT r, p, md5(text) AS mark FROM windows WHERE n = 35),
+starts AS (SELECT r, p FROM marked WHERE mark IN (SELECT mark FROM marked GROUP BY mark HAVING COUNT(*) > 1)),
+gone AS (SELECT DISTINCT r, p + i AS p FROM starts, range(0, 35) AS steps(i)),
+kept AS (
+  SELECT r, COUNT(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM spots s WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.r = s.r AND g.p = s.p) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(len(d.words) - COALESCE(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(COALESCE(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (r)
+"""

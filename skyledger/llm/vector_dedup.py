@@ -585,3 +585,20 @@ def _rows(joined: DataFrame) -> DataFrame:
         "vec_id", links.cast("long").alias("n_links"), component.alias("component_id"),
         component.eqNullSafe(F.col("vec_id")).alias("kept"),
     )
+
+
+LINKS_SQL = """
+WITH RECURSIVE given AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS MATERIALIZED (
+  SELECT r, v, sqrt(list_dot_product(v, v)) AS size FROM given
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0),
+links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b ON a.r < b.r AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.9),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT r AS a, r AS b FROM given UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b),
+least AS (SELECT reach.a AS r, MIN(g.vec_id) AS component_id FROM reach JOIN given g ON g.r = reach.b GROUP BY reach.a),
+counts AS (SELECT a AS r, COUNT(*) AS n FROM ways GROUP BY a)
+SELECT g.vec_id, COALESCE(c.n, 0) AS n_links, l.component_id, l.component_id IS NOT DISTINCT FROM g.vec_id AS kept
+FROM given g JOIN least l USING (r) LEFT JOIN counts c USING (r)
+"""
