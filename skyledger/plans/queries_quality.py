@@ -3,13 +3,15 @@
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
-from skyledger.operators import exploration, profiling, quality, sampling
+from skyledger.operators import exploration, profiling, quality, sampling, sketches
 from skyledger.operators.features import LeakageError, require_no_leakage
+from skyledger.operators.quantiles import exact_quantiles, value_counts
 from skyledger.plans import jobs
 from skyledger.plans.fixture import FIXTURE_YEARS
-from skyledger.plans.lake import RUN_ID, cap_quantiles
+from skyledger.plans.lake import DELAYS, RUN_ID, cap_quantiles
 from skyledger.plans.registry import query, rounded
 from skyledger.sources import sinks
+from skyledger.sources.merged import MergedTable
 from skyledger.sources.staging import new_path
 
 _WHOLE = {"Cancelled", "Diverted"}
@@ -33,6 +35,58 @@ def _(lk):
     return profiling.column_profile(lk.typed)
 
 
+_COUNTED = {"carrier": [S.CARRIER], "route": ["Origin", "Dest"], "flight": S.FLIGHT_KEY, "Distance": ["Distance"], "CRSDepTime": ["CRSDepTime"]}
+
+
+def _sketch_table(lk):
+    """Sketches of all months, stored month by month."""
+    table = MergedTable(lk.spark, new_path(lk.spark, "sketches"), sketches.PERIOD)
+    months = lk.clean.withColumns({"flight_year": F.year("FlightDate"), "flight_month": F.month("FlightDate")})
+    table.replace(sketches.month_sketches(months, _COUNTED, DELAYS))
+    return table
+
+
+def _counted_sql(years: str) -> str:
+    return "\nUNION ALL ".join(f"""
+SELECT '{n}' AS name, {years} AS years, COUNT(*) AS exact, true AS within
+FROM (SELECT DISTINCT {', '.join(c)} FROM flights WHERE EXTRACT(YEAR FROM FlightDate) IN ({years.replace("'", "").replace('-', ',')}))"""
+                              for n, c in _COUNTED.items())
+
+
+@query("a8_merged_distincts", "\nUNION ALL ".join(_counted_sql(y) for y in ("'1997'", "'1997-1998'")))
+def _(lk):
+    """Exact distinct counts of two ranges of years, and whether those merged from monthly sketches lie within three standard errors."""
+    table, out = _sketch_table(lk), None
+    for years in ([1997], [1997, 1998]):
+        told = sketches.distinct_counts(table.read().filter(F.col("flight_year").isin(years)), list(_COUNTED))
+        rows = lk.clean.filter(F.year("FlightDate").isin(years))
+        for n, columns in _COUNTED.items():
+            exact = rows.select(*columns).distinct().agg(F.count("*").alias("exact")).withColumn("name", F.lit(n))
+            both = exact.join(told, "name").select(
+                "name", F.lit("-".join(map(str, years))).alias("years"), "exact",
+                (F.abs(F.col("estimate") - F.col("exact")) <= 3 * sketches.DISTINCT_ERROR * F.col("exact") + 0.5).alias("within"),
+            )
+            out = both if out is None else out.unionByName(both)
+    return out
+
+
+@query("a7_merged_caps", "\nUNION ALL ".join(f"""
+SELECT '{m}' AS measure, quantile_disc({m}, 0.995) AS exact, true AS within
+FROM flights WHERE EXTRACT(YEAR FROM FlightDate) IN (1997, 1998)""" for m in ("DepDelayMinutes", "ArrDelayMinutes")))
+def _(lk):
+    """Exact 99.5th percentiles of two years, and whether those merged from monthly sketches have their rank within the bound."""
+    rows = lk.clean.filter(F.year("FlightDate").isin(1997, 1998))
+    told = sketches.quantiles(_sketch_table(lk).read().filter(F.col("flight_year").isin(1997, 1998)), DELAYS, [0.995])
+    exact = exact_quantiles(rows, DELAYS, [0.995]).select("measure", F.col("quantile").alias("exact"))
+    values = value_counts(rows, DELAYS).join(F.broadcast(told.select("measure", "quantile")), "measure")
+    ranks = values.groupBy("measure").agg(
+        (F.sum(F.when(F.col("value") < F.col("quantile"), F.col("n")).otherwise(0)) / F.sum("n")).alias("low"),
+        (F.sum(F.when(F.col("value") <= F.col("quantile"), F.col("n")).otherwise(0)) / F.sum("n")).alias("high"),
+    )
+    within = (F.col("low") <= 0.995 + sketches.RANK_ERROR) & (F.col("high") >= 0.995 - sketches.RANK_ERROR)
+    return exact.join(ranks, "measure").select("measure", "exact", within.alias("within"))
+
+
 @query("a9a_total_rows", "SELECT COUNT(*) AS total_rows FROM raw")
 def _(lk):
     return lk.raw.agg(F.count("*").alias("total_rows"))
