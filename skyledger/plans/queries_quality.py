@@ -1,5 +1,8 @@
 """Registered queries: profiles, summaries, gates and explorations."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import schemas as S
@@ -60,13 +63,15 @@ def _(lk):
     for years in ([1997], [1997, 1998]):
         told = sketches.distinct_counts(table.read().filter(F.col("flight_year").isin(years)), list(_COUNTED))
         rows = lk.clean.filter(F.year("FlightDate").isin(years))
-        for n, columns in _COUNTED.items():
-            exact = rows.select(*columns).distinct().agg(F.count("*").alias("exact")).withColumn("name", F.lit(n))
-            both = exact.join(told, "name").select(
-                "name", F.lit("-".join(map(str, years))).alias("years"), "exact",
-                (F.abs(F.col("estimate") - F.col("exact")) <= 3 * sketches.DISTINCT_ERROR * F.col("exact") + 0.5).alias("within"),
-            )
-            out = both if out is None else out.unionByName(both)
+        exact = [
+            rows.select(*columns).distinct().agg(F.count("*").alias("exact")).select(F.lit(n).alias("name"), "exact")
+            for n, columns in _COUNTED.items()
+        ]
+        both = reduce(DataFrame.unionByName, exact).join(told, "name").select(
+            "name", F.lit("-".join(map(str, years))).alias("years"), "exact",
+            (F.abs(F.col("estimate") - F.col("exact")) <= 3 * sketches.DISTINCT_ERROR * F.col("exact") + 0.5).alias("within"),
+        )
+        out = both if out is None else out.unionByName(both)
     return out
 
 
