@@ -1,14 +1,18 @@
 """Toxicity: noisy-channel restoring of disguised words, then a score of the restored text.
 
-Disguised words (leetspeak, masked letters, letters set apart, drawn-out letters) become
-lattices of possible letters. A Viterbi search under a character trigram model, counted
-over all documents, picks the likeliest word. A word whose lattice has one path stays.
+Disguised words (leetspeak, masked letters, letters set apart, words cut by a mark, drawn-out
+or doubled letters) become lattices of possible letters. A Viterbi search under a character
+trigram model, counted over all documents, picks the likeliest word. A word whose lattice has
+one path stays. A mark inside a word may also be what it seems, the end of one word and the
+beginning of another, so that ordinary compounds stay. Letters that the model does not know
+stand for themselves. Words set apart in chunks of several letters are not joined.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +29,8 @@ LEET = {
 }
 MASKED = "aeiou"
 SEPARATORS = "._-~'*/\\"
+HIDING = "#%&"  # may hide a vowel, as the asterisk does
+KEPT = "-_.#%&"  # may as well be meant
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if chr(c).isalpha())
 
 SIZE = 64  # classes: 0 is a word's edge, 1.. are the letters, the last is anything else
@@ -36,12 +42,17 @@ _CLASS_OF[[ord(c.upper()) for c in CLASS if len(c.upper()) == 1]] = [k for c, k
 _CLASS_OF[ord("\n")] = 0
 
 LEET_COST, MASK_COST, DROP_COST, PAIR_COST, BREAK_COST = 0.7, 1.5, 0.3, 3.0, 1.0
+UNKNOWN_COST = 1.0  # of a letter that the model does not know, which stands for itself
+PAIRS = 4  # pairs of equal letters in a row that count as a disguise; no plain word has more than three
+MEMO, MEMO_LETTERS = 65_536, 64  # restored words that a worker keeps at hand, and the longest of them
 RUN = 3  # single letters in a row, or equal letters in a row, that count as a disguise
 BITS = 20
 SAMPLE = 8_000
 EPOCHS = 5
 _EDGE = re.compile(r"^[^\w@$!|+(<€£¥*]+|[^\w@*]+$")
-_DRAWN = re.compile(r"([^\W\d_])\1\1")
+_DRAWN = re.compile(r"([^\W\d_])\1\1|(?:([^\W\d_])\2){%d}" % PAIRS)
+_PAIRED = re.compile(r"(?:([^\W\d_])\1){%d,}" % PAIRS)
+_CUT = re.compile(r"[^\W\d_][-_.#%&]+[^\W\d_]")
 _APART = re.compile(r"[^\W_](?:[._\-~'*/\\]+[^\W_]){2,}")
 _DISGUISE = re.compile(r"[0-9@$!|+(<€£¥*]")
 _SINGLE = re.compile(r"(?:[^\W_]|[@$!|+(<€£¥*])[.,\-]?")  # one letter, or what may stand for one
@@ -92,41 +103,59 @@ def letter_model(docs: DataFrame) -> np.ndarray:
 
 # ---- restoring
 
-def _options(token: str, i: int) -> list[tuple[str, float]]:
-    """What the token's place ``i`` may stand for, with costs."""
+def _options(token: str, i: int, paired: bool = False) -> list[tuple[str, float]]:
+    """What the token's place ``i`` may stand for, with costs; ``paired`` says that all letters around it are doubled."""
     c = token[i]
-    if c in CLASS:
+    if c.isalpha():
+        cost = 0.0 if c in CLASS else UNKNOWN_COST
         same = i > 0 and token[i - 1] == c
         if not same:
-            return [(c, 0.0)]
-        drawn = (i > 1 and token[i - 2] == c) or (i + 1 < len(token) and token[i + 1] == c)
-        return [(c, DROP_COST if drawn else 0.0), ("", DROP_COST if drawn else PAIR_COST)]
+            return [(c, cost)]
+        drawn = paired or (i > 1 and token[i - 2] == c) or (i + 1 < len(token) and token[i + 1] == c)
+        return [(c, cost + DROP_COST if drawn else cost), ("", DROP_COST if drawn else PAIR_COST)]
     found = [(x, LEET_COST) for x in LEET.get(c, "")]
-    if c == "*":
+    if c == "*" or c in HIDING:
         found += [(x, MASK_COST) for x in MASKED]
     if not found or c in SEPARATORS or not c.isalnum():
         found.append(("", DROP_COST if c in SEPARATORS else MASK_COST))
     return found
 
 
+def lattice(token: str) -> list[list[tuple[str, float]]]:
+    """For each place of a token what it may stand for, with costs.
+
+    A mark between letters may stand for itself, unless every letter is set apart.
+    """
+    paired = {i for m in _PAIRED.finditer(token) for i in range(*m.span())}
+    meant = not _APART.fullmatch(token)
+    places = []
+    for i, c in enumerate(token):
+        options = _options(token, i, i in paired)
+        places.append([*options, (c, 0.0)] if meant and c in KEPT else options)
+    return places
+
+
 def decode(token: str, model: np.ndarray, breaks: bool = False) -> str:
     """The likeliest letters for a disguised token, by Viterbi; the states are the last two letters.
 
+    A mark that stands for itself ends a word, and the letter after it begins one.
     ``breaks`` lets a new word begin between any two places, for letters set apart.
     """
     states = {(0, 0): (0.0, None)}
-    for i in range(len(token)):
+    for options in lattice(token):
         following: dict = {}
         for (a, b), (cost, path) in states.items():
-            for letter, extra in _options(token, i):
-                if letter:
-                    k = CLASS[letter]
+            for letter, extra in options:
+                if not letter:
+                    steps = [((a, b), cost + extra, path)]
+                elif letter in KEPT:
+                    steps = [((0, 0), cost + extra - (model[a][b][0] if b else 0.0), (letter, path))]
+                else:
+                    k = CLASS.get(letter, OTHER)
                     steps = [((b, k), cost + extra - model[a][b][k], (letter, path))]
                     if breaks and b:
                         new = cost + extra + BREAK_COST - model[a][b][0] - model[0][0][k]
                         steps.append(((0, k), new, (letter, (" ", path))))
-                else:
-                    steps = [((a, b), cost + extra, path)]
                 for key, value, way in steps:
                     if key not in following or value < following[key][0]:
                         following[key] = (value, way)
@@ -139,6 +168,25 @@ def decode(token: str, model: np.ndarray, breaks: bool = False) -> str:
     return "".join(reversed(letters))
 
 
+_latest: dict = {}
+
+
+def remembering(model: np.ndarray) -> Callable[..., str]:
+    """``decode`` under one model, with the words restored lately at hand: the same ones recur in every slice.
+
+    At most ``MEMO`` words of up to ``MEMO_LETTERS`` letters are kept, for one model at a time.
+    """
+    if _latest.get("model") is not model:
+        table = model.tolist()  # single numbers are looked up faster in lists
+        kept = lru_cache(MEMO)(lambda token, breaks: decode(token, table, breaks))
+
+        def known(token: str, breaks: bool = False) -> str:
+            return kept(token, breaks) if len(token) <= MEMO_LETTERS else decode(token, table, breaks)
+
+        _latest.update(model=model, known=known)
+    return _latest["known"]
+
+
 def plain(word: str) -> str:
     """Lower case without the punctuation around it."""
     return _EDGE.sub("", word.lower())
@@ -148,7 +196,7 @@ def disguised(word: str) -> bool:
     """Whether the lattice of a word, already lower and stripped, has more than one path."""
     if not _LETTER.search(word):
         return False
-    return bool(_DISGUISE.search(word) or _DRAWN.search(word) or _APART.fullmatch(word))
+    return bool(_DISGUISE.search(word) or _DRAWN.search(word) or _CUT.search(word) or _APART.fullmatch(word))
 
 
 def restored(word: str, model: np.ndarray) -> str:
@@ -224,7 +272,7 @@ def _word_features(words: list[str], bits: int) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
-def _restored_kinds(kinds: list[bytes], model: np.ndarray) -> tuple[list[str], np.ndarray]:
+def _restored_kinds(kinds: list[bytes], known: Callable[..., str]) -> tuple[list[str], np.ndarray]:
     """The restored form of each distinct word, and whether it was disguised.
 
     Words of letters only, perhaps with a mark after them, need no look at their edges;
@@ -244,8 +292,8 @@ def _restored_kinds(kinds: list[bytes], model: np.ndarray) -> tuple[list[str], n
             word = words[i] = word[:-1] if word[-1] in ".," and word[:-1].isalpha() else plain(word)
             hidden = i in drawn or disguised(word)
         if hidden and disguised(word):
-            words[i] = decode(word, model)
-            changed[i] = 1
+            words[i] = known(word)
+            changed[i] = words[i] != word
     return words, changed
 
 
@@ -256,15 +304,15 @@ def text_features(texts: list, model: np.ndarray, bits: int = BITS, useful=None)
     """
     lists, starts = split_words(texts)
     kinds, codes = coded(lists, int(starts[-1]))
-    model = model.tolist()  # single numbers are looked up faster in lists
-    words, changed = _restored_kinds(kinds, model)
+    known = remembering(model)
+    words, changed = _restored_kinds(kinds, known)
     per_kind = _word_features(words, bits)
     owner = np.repeat(np.arange(len(texts)), np.diff(starts))
     n_restored = np.bincount(owner, weights=changed[codes], minlength=len(texts)).astype(np.int64)
     more_owner, more = [], []
     for t, runs in _short_runs(lists, kinds, codes, starts).items():
         for run in runs:
-            for w in decode(run, model, breaks=True).split() + [decode(run, model)]:
+            for w in known(run, breaks=True).split() + [known(run)]:
                 more_owner.append(t)
                 more.append(w)
             n_restored[t] += 1

@@ -92,6 +92,10 @@ def letters(spark):
     ("1d10t", "idiot"), ("tr@sh", "trash"), ("p@th3t1c", "pathetic"), ("$tupid", "stupid"), ("st*pid", "stupid"),
     ("l0ser!!", "loser"), ("s.c.u.m", "scum"), ("m-o-r-o-n", "moron"), ("stuuuupid", "stupid"), ("idiot###", "idiot"),
     ("4.0", "4.0"), ("Of%%%", "of"), ("plain", "plain"),
+    ("stu-pid", "stupid"), ("st_upid", "stupid"), ("st.upid", "stupid"), ("st#pid", "stupid"), ("st%pid", "stupid"),
+    ("id-i0t", "idiot"), ("ssttuuppiidd", "stupid"), ("mmoorroonn", "moron"),
+    ("well-known", "well-known"), ("self-made", "self-made"), ("bookkeeper", "bookkeeper"),
+    ("łódź3", "łódźe"), ("идиооот", "идиот"),
 ])
 def test_restored_words(letters, hidden, word):
     assert T.restored(hidden, letters) == word
@@ -127,6 +131,43 @@ def test_viterbi_is_the_best_path(letters):
         assert T.decode(word, letters) == best[1]
 
 
+def test_marks_that_stand_for_themselves(letters):
+    """Against every path of the lattice, where a mark may end a word."""
+    import itertools
+
+    for word in ("a-b1", "on_1y", "th3-a", "a--b0", "no.w3"):
+        best = None
+        for path in itertools.product(*T.lattice(word)):
+            text = "".join(x for x, _ in path)
+            cost, a, b = sum(c for _, c in path), 0, 0
+            for x in text:
+                if x in T.KEPT:
+                    cost -= float(letters[a, b, 0]) if b else 0.0
+                    a = b = 0
+                else:
+                    cost -= float(letters[a, b, T.CLASS[x]])
+                    a, b = b, T.CLASS[x]
+            cost -= float(letters[a, b, 0])
+            best = min(best or (cost, text), (cost, text))
+        assert T.decode(word, letters) == best[1]
+
+
+def test_no_letter_is_lost(letters):
+    """Letters that the model does not know stay; so do those of words that are no disguise."""
+    for word in ("идиот1", "ηλίθιος0", "œuvre3", "şey4"):
+        assert T.restored(word, letters)[:-1] == word[:-1]
+    assert not T.disguised("идиот") and not T.disguised("bookkeeper") and not T.disguised("aujourd'hui")
+
+
+def test_remembered_words_follow_the_model(letters):
+    words = ["1d10t", "stu-pid", "x" * 100 + "1"]
+    known = T.remembering(letters)
+    assert [known(w) for w in words] == [known(w) for w in words] == [T.decode(w, letters) for w in words]
+    flat = np.full_like(letters, -3.0)
+    assert [T.remembering(flat)(w) for w in words] == [T.decode(w, flat) for w in words]
+    assert known("s0s", breaks=True) == T.decode("s0s", letters, breaks=True)
+
+
 def test_disguised_words_count(spark, make_docs):
     rnd = random.Random(2)
     plain = "the rain on the plain was mild and the stupid moron said so".split()
