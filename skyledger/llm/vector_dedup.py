@@ -25,6 +25,7 @@ MISS = 0.02  # chance that a pair at the threshold shares no leaf of the first t
 ROUNDS = 6
 BLOCK = 1024
 SLACK = 1e-6  # radians, far above the rounding of an angle
+MARGIN = 1e-6  # of a cosine, above what single precision of the components can make of it
 AUDITED = 256
 OTHERS = 4
 ENOUGH = 200  # vectors with a link that an audit of a kind has to see
@@ -71,8 +72,13 @@ def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 # ---- the first graph: leaves of random-hyperplane trees
 
+def _short(vectors: DataFrame) -> DataFrame:
+    """The vectors in single precision, half as much to shuffle; what lies near the threshold is worked out anew later."""
+    return vectors.withColumn("unit", F.col("unit").cast("array<float>"))
+
+
 def _planted(depth: int, trees: int, seed: int):
-    """Adds each vector's leaf code in every tree: which side of ``depth`` random hyperplanes it lies on."""
+    """Each vector's leaf code in every tree: which side of ``depth`` random hyperplanes it lies on."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,14 +89,18 @@ def _planted(depth: int, trees: int, seed: int):
             for dim in np.unique(sizes):
                 at = np.flatnonzero(sizes == dim)
                 x = _matrix(batch.column("unit").take(pa.array(at)))
-                planes = np.random.default_rng([seed, int(dim)]).standard_normal((int(dim), trees * max(1, depth)))
-                sides = (x @ planes > 0).reshape(len(at), trees, -1)
-                for bit in range(depth):
-                    codes[at] = codes[at] * 2 + sides[:, :, bit]
+                draw = np.random.default_rng([seed, int(dim)])
+                for first in range(0, trees, TREES):  # a few at a time, so that the sides take little room
+                    some = min(TREES, trees - first)
+                    sides = (x @ draw.standard_normal((int(dim), some * max(1, depth))) > 0).reshape(len(at), some, -1)
+                    code = np.zeros((len(at), some), dtype=np.int64)
+                    for bit in range(depth):
+                        code = code * 2 + sides[:, :, bit]
+                    codes[at, first:first + some] = code
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * trees), pa.array(codes.ravel())
             )
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("unit"), batch.column("dim"), lists], names=["node", "unit", "dim", "codes"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("dim"), lists], names=["node", "dim", "codes"])
 
     return run
 
@@ -109,7 +119,7 @@ def _leaf_lists(wanted: int):
         np.fill_diagonal(sims, -2.0)
         best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
         left, right = np.repeat(np.arange(n), k), best.ravel()
-        return pa.table({"a": nodes.take(pa.array(left)), "b": nodes.take(pa.array(right)), "sim": _cosines(x[left], x[right])})
+        return pa.table({"a": nodes.take(pa.array(left)), "b": nodes.take(pa.array(right)), "sim": _cosines(x[left].astype(np.float64), x[right])})
 
     return near
 
@@ -131,19 +141,26 @@ def _trees(n: int, least: float) -> int:
     return TREES * math.ceil(math.log(MISS) / math.log1p(-together) / TREES)
 
 
-def _first_graph(vectors: DataFrame, n: int, trees: int, wanted: int, seed: int) -> DataFrame:
-    """Neighbours inside the leaves; an overfull leaf is cut by a hash, so no leaf grows with a group of copies."""
-    depth = _depth(n)
+def _leaves(vectors: DataFrame, n: int, trees: int, seed: int) -> DataFrame:
+    """node, dim, tree, code, cut and turn of every vector in every tree, ``TREES`` of them a turn; no vectors.
+
+    An overfull leaf is cut by a hash, so no leaf grows with a group of copies.
+    """
     planted = vectors.select("node", "unit", "dim").mapInArrow(
-        _planted(depth, trees, seed), "node binary, unit array<double>, dim int, codes array<long>"
+        _planted(_depth(n), trees, seed), "node binary, dim int, codes array<long>"
     )
-    leaves = stage(
-        planted.select("node", "dim", F.posexplode("codes").alias("tree", "code")), "vectors-leaves"
-    )
-    full = stage(leaves.groupBy("dim", "tree", "code").count().withColumn("cuts", F.ceil(F.col("count") / (2 * LEAF)).cast("int")), "vectors-full")
-    cut = F.pmod(F.xxhash64("node", "tree", F.lit(seed)), F.col("cuts")).cast("int")
-    placed = leaves.join(full.drop("count"), ["dim", "tree", "code"]).withColumn("cut", cut).drop("cuts")
-    held = placed.join(vectors.select("node", "unit"), "node")
+    turn = F.floor(F.col("tree") / TREES).cast("int")
+    leaves = planted.select("node", "dim", F.posexplode("codes").alias("tree", "code")).withColumn("turn", turn)
+    leaves = stage(leaves, "vectors-leaves", by="turn")
+    sizes = leaves.groupBy("dim", "tree", "code").count().filter(F.col("count") > 2 * LEAF)
+    full = stage(sizes.select("dim", "tree", "code", F.ceil(F.col("count") / (2 * LEAF)).cast("int").alias("cuts")), "vectors-full")
+    cut = F.pmod(F.xxhash64("node", "tree", F.lit(seed)), F.coalesce("cuts", F.lit(1))).cast("int")
+    return leaves.join(full, ["dim", "tree", "code"], "left").withColumn("cut", cut).drop("cuts")
+
+
+def _first_graph(vectors: DataFrame, leaves: DataFrame, turn: int, wanted: int) -> DataFrame:
+    """Neighbours inside the leaves of one turn's trees."""
+    held = leaves.filter(F.col("turn") == turn).drop("turn").join(vectors.select("node", "unit"), "node")
     return held.groupBy("dim", "tree", "code", "cut").applyInArrow(_leaf_lists(wanted), "a binary, b binary, sim double")
 
 
@@ -179,7 +196,7 @@ def _join_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows, left = np.meshgrid(np.arange(len(some)), np.arange(size), indexing="ij")
                 rows, left = np.repeat(rows.ravel(), k), np.repeat(left.ravel(), k)
                 right = best.ravel()
-                exact = _cosines(x[rows, left], x[rows, right])
+                exact = _cosines(x[rows, left].astype(np.float64), x[rows, right])
                 good = exact > lows[at[rows, left]]
                 out_a.append(at[rows, left][good])
                 out_b.append(at[rows, right][good])
@@ -211,14 +228,14 @@ def _offers(lists: DataFrame, vectors: DataFrame, wanted: int, least: float, flo
 
 
 def _descend(edges: DataFrame, vectors: DataFrame, least: float, wanted: int, rounds: int = ROUNDS) -> DataFrame:
-    """Refines the lists until a round finds next to no new link.
+    """Refines the lists, which are the best ``wanted`` neighbours of each vector, until a round finds next to no new link.
 
     Two vectors linked through a common linked neighbour are within twice the threshold's
     angle of it, so after the first round a list that holds a link is followed only up to
     that angle. A list without a link is followed to its end.
     """
     floor = math.cos(min(math.pi, 2 * math.acos(min(1.0, least))))
-    lists = stage(_best(edges.withColumn("new", F.lit(1)), wanted), "vectors-lists")
+    lists = edges.withColumn("new", F.lit(1))
     for turn in range(rounds):
         more = _offers(lists, vectors, wanted, least, -1.0 if turn == 0 else floor).withColumn("new", F.lit(1))
         lists = stage(_best(lists.withColumn("new", F.lit(0)).unionByName(more), wanted), "vectors-lists")
@@ -372,6 +389,33 @@ def _components_met(left: pa.ChunkedArray, right: pa.ChunkedArray, linked: np.nd
     return tuple(both.dictionary.take(pa.array(x)) for x in np.divmod(pairs, len(both.dictionary)))
 
 
+def _exact_links(least: float):
+    """The pairs (a, b) whose vectors x and y are linked in double precision."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.diff(batch.column("x").offsets.to_numpy())
+            linked = np.zeros(batch.num_rows, dtype=bool)
+            for dim in np.unique(sizes):
+                at = pa.array(np.flatnonzero(sizes == dim))
+                linked[at.to_numpy()] = _cosines(_matrix(batch.column("x").take(at)), _matrix(batch.column("y").take(at))) >= least
+            yield batch.select(["a", "b"]).filter(pa.array(linked))
+
+    return run
+
+
+def _confirmed(lists: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
+    """The pairs of ``lists`` that are links; those within rounding of the threshold are worked out anew from whole vectors."""
+    sure = lists.filter(F.col("sim") >= least + MARGIN).select("a", "b")
+    close = lists.filter((F.col("sim") >= least - MARGIN) & (F.col("sim") < least + MARGIN)).select("a", "b")
+    if close.isEmpty():
+        return sure
+    held = vectors.select(F.col("node").alias("a"), F.col("unit").alias("x"))
+    held = attach(held, stage(close, "vectors-close"), ["a"], how="inner")
+    held = held.join(vectors.select(F.col("node").alias("b"), F.col("unit").alias("y")), "b")
+    return sure.union(held.select("a", "b", "x", "y").mapInArrow(_exact_links(least), "a binary, b binary"))
+
+
 def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """node, component, saturated and node, n_links (copies of the node itself left out) of every vector with a link.
 
@@ -381,8 +425,9 @@ def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int, whol
     saturated vectors and are not out of its reach. Components joined thereby are one. With ``whole`` every vector
     is taken as saturated and compared with all of its length.
     """
-    links = stage(lists.filter(F.col("sim") >= least).select("a", "b"), "vectors-links")
-    saturated = stage(links.groupBy("a").count().filter(F.col("count") >= wanted).select(F.col("a").alias("node")), "vectors-saturated")
+    links = stage(_confirmed(lists, vectors, least), "vectors-links")
+    near = lists.filter(F.col("sim") >= least - MARGIN).groupBy("a").count()
+    saturated = near.filter(F.col("count") >= wanted).select(F.col("a").alias("node"))
     labels = smallest_labels(vectors.select("node"), links)
     flagged = stage(
         labels.join(saturated.withColumn("saturated", F.lit(True)), "node", "left")
@@ -434,8 +479,7 @@ def _links(lists: DataFrame, vectors: DataFrame, least: float, wanted: int, whol
     both = listed.union(listed.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     weighed = both.join(vectors.select(F.col("node").alias("b"), F.col("copies").alias("n")), "b").select(F.col("a").alias("node"), "n")
     counted = weighed.union(found.filter("other is null").select("node", "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
-    told = stage(labels.join(is_full, "node"), "vectors-labels-told")
-    return told, stage(counted, "vectors-counted")
+    return labels.join(is_full, "node"), counted
 
 
 def _settled(lists: DataFrame, vectors: DataFrame, least: float, wanted: int, whole: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -530,7 +574,8 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
     columns are not read.
 
     The graph starts from leaves of random-hyperplane trees and is refined by joining
-    neighbours of neighbours until a round finds next to no new link. There are so many
+    neighbours of neighbours until a round finds next to no new link. Lists are made of
+    vectors in single precision; cosines within rounding of ``least`` are worked out anew. There are so many
     trees that a pair at the threshold shares no leaf with a chance of 0.02 at most, where
     leaves are not overfull. Vectors whose list
     holds nothing but links are compared in blocks with every dense component in their
@@ -553,17 +598,19 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
         ).withColumn("dim", F.size("unit")),
         "vectors-nodes",
     )
-    n = vectors.count()
+    n, short = vectors.count(), _short(vectors)
     spark, edges, wanted = table.sparkSession, None, NEIGHBOURS
     for attempt in range(ATTEMPTS):
-        # a few trees at a time, so that no more copies of the vectors are dealt out at once
-        for turn in range(_trees(n, least) // TREES):
-            with temporary(spark):
-                first = _first_graph(vectors, n, TREES, wanted, seed=attempt * 1_000_003 + turn).withColumn("new", F.lit(1))
+        with temporary(spark):
+            trees = _trees(n, least)
+            leaves = _leaves(vectors, n, trees, seed=attempt)
+            # a few trees at a time, so that no more copies of the vectors are dealt out at once
+            for turn in range(trees // TREES):
+                first = _first_graph(short, leaves, turn, wanted).withColumn("new", F.lit(1))
                 edges = first if edges is None else edges.select("a", "b", "sim").withColumn("new", F.lit(1)).unionByName(first)
                 edges = stage(_best(edges, wanted), "vectors-edges", outer=True)
         with temporary(spark):
-            edges = stage(_descend(edges.select("a", "b", "sim"), vectors, least, wanted), "vectors-edges", outer=True)
+            edges = stage(_descend(edges.select("a", "b", "sim"), short, least, wanted), "vectors-edges", outer=True)
         edges = edges.select("a", "b", "sim")
         labels, counted = _settled(edges, vectors, least, wanted)
         with temporary(spark):
@@ -574,7 +621,7 @@ def link_vectors(table: DataFrame, least: float = 0.9, audited: int = AUDITED) -
         labels, counted = _settled(edges, vectors, least, wanted, whole=True)
     named = stage(vectors.select("node", "copies", "least_id").join(labels, "node").join(counted, "node", "left"), "vectors-named")
     least_ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    told = stage(named.join(least_ids, "component").select("node", "copies", "n_links", "component_id"), "vectors-told")
+    told = named.join(least_ids, "component").select("node", "copies", "n_links", "component_id")
     return _rows(units.select("vec_id", "node").join(told, "node", "left"))
 
 

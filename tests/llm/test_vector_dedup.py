@@ -195,6 +195,21 @@ def test_at_the_threshold(spark):
     assert {r[0]: r[1] for r in result(V.link_vectors(table(spark, vectors), 0.5 - 1e-12))} == {1: 1, 2: 1, 3: 0}
 
 
+def test_within_rounding_of_the_threshold(spark, monkeypatch):
+    # sixty lone pairs whose cosines differ by less than single precision can tell; half of them are links
+    rnd = np.random.default_rng(21)
+    x = rnd.standard_normal((60, 64))
+    vectors = lone_pairs(rnd, x / np.linalg.norm(x, axis=1, keepdims=True), 0.93, 64)
+    vectors = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    units = [(u := np.array(v, dtype=np.float32).astype(float)) / np.linalg.norm(u) for _, v in vectors]
+    cosines = sorted(float(a @ b) for a, b in zip(units[::2], units[1::2], strict=True))
+    least = (cosines[29] + cosines[30]) / 2
+    assert cosines[-1] - cosines[0] < V.MARGIN and cosines[30] - cosines[29] > 1e-13
+    want = expected(vectors, least)
+    assert sum(r[1] for r in want) == 60
+    assert result(V.link_vectors(table(spark, vectors), least)) == want
+
+
 @pytest.mark.parametrize("vectors", [[], [(1, None)], [(1, [1.0, 2.0])]])
 def test_tiny_tables(spark, vectors):
     assert result(V.link_vectors(table(spark, vectors))) == expected(vectors, 0.9)
