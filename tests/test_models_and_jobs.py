@@ -222,3 +222,17 @@ def test_a_fit_on_half_the_rows_misses_the_optimum(lk):
     half = modelling.logistic_regression(regParam=0.01, tol=1e-12).fit(rows.sample(0.5, seed=1))
     worst = modelling.gradient(rows, half, 0.01).agg(F.max(F.abs("gradient"))).first()[0]
     assert worst > 1e-3
+
+
+def test_a_fit_reads_even_splits(spark):
+    from skyledger.sources.staging import SORTED_SPLIT
+
+    class Telling:
+        def copy(self):
+            return self
+
+        def fit(self, rows):
+            return rows.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")
+
+    assert modelling.fit_evenly(Telling(), spark.range(1)) == str(SORTED_SPLIT)
+    assert modelling.fit_matrix({"a": spark.range(1)}, {"one": Telling()}) == ({("a", "one"): str(SORTED_SPLIT)}, {})
