@@ -236,3 +236,14 @@ def test_a_fit_reads_even_splits(spark):
 
     assert modelling.fit_evenly(Telling(), spark.range(1)) == str(SORTED_SPLIT)
     assert modelling.fit_matrix({"a": spark.range(1)}, {"one": Telling()}) == ({("a", "one"): str(SORTED_SPLIT)}, {})
+
+
+@pytest.mark.parametrize("name", ["m15_m21_comparison", "m20_feature_strength"])
+def test_a_failed_fit_fails_the_comparison(spark, lk, monkeypatch, name):
+    from skyledger.plans.catalogue import QUERIES
+
+    made = {"bad": modelling.logistic_regression(featuresCol="none"), "good": modelling.linear_svm(regParam=0.1)}
+    monkeypatch.setattr(modelling, "default_estimators", lambda: made)
+    with pytest.raises(modelling.FitsFailed, match="A_Weighting bad: .*; B_Hybrid_Undersample bad: ") as raised:
+        QUERIES[name](spark, lk.sf_dir)
+    assert "good" not in str(raised.value)
