@@ -20,7 +20,7 @@ from skyledger.operators import cleaning, features, history, modelling, profilin
 from skyledger.operators.joins import attach
 from skyledger.plans.lake import DELAYS, cap_quantiles, caps_of, enrich
 from skyledger.sources import files, sinks
-from skyledger.sources.staging import stage, temporary
+from skyledger.sources.staging import shuffles_removed, stage, temporary
 from skyledger.streaming import landing
 
 @dataclass(frozen=True)
@@ -93,7 +93,8 @@ def land(run: Run, folder: str, kind: str = "files") -> str:
     if kind == "files":
         rows = files.read_landing_csv(run.spark, folder).withColumn("ingest_ts", F.current_timestamp())
         writer = rows.hint("rebalance", *SOURCE_MONTH).write.partitionBy(*SOURCE_MONTH).mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(run.path(RAW_FILES))
+        with shuffles_removed(run.spark):
+            writer.option("partitionOverwriteMode", "dynamic").parquet(run.path(RAW_FILES))
         keep_manifest(run, files.file_manifest(run.spark, folder))
         return f"files of {folder}"
     lines = landing.file_lines(run.spark, folder)
