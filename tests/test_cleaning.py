@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -116,3 +117,22 @@ def test_latest_per_key_property(spark, rows):
     for k, t, v in rows:
         best[k] = max(best.get(k, (-1, -1)), (t, v))
     assert got == best
+
+
+def test_numbers_are_told_from_other_text_as_before(spark):
+    numbers = ["7", "+7", "-7", "7.", ".5", "1.50", "1e3", "-1E+3", "1.e-3", "007", "-0"]
+    others = ["", ".", "+", "-", "e3", "1e", "1e+", "5D", "5f", "0x1p3", "NaN", "Infinity", "1,5", "/1", "1 2", "--1", "1.2.3", "abc", "\x015", "5\x01", "٥", "7 "]
+    df = spark.createDataFrame([(v,) for v in [*numbers, *others, None]], "t string")
+    got = {r["t"]: r["n"] for r in df.select("t", X.written_number(F.col("t")).alias("n")).collect()}
+    assert {v: got[v] for v in numbers} == {v: float(v) for v in numbers}
+    assert all(got[v] is None for v in [*others, None])
+
+
+def test_messages_take_few_projections(spark, lk):
+    from skyledger.streaming.messages import message_schema, to_messages
+
+    rows = spark.range(1).select(*[F.lit("1.50").alias(c) for c in S.INGEST_COLUMNS])
+    assert to_messages(lk.raw)._jdf.queryExecution().optimizedPlan().toString().count("Project") <= 4
+    sent = json.loads(to_messages(rows).first()["value"])
+    texts = {f.name for f in message_schema().fields if f.dataType.simpleString() == "string"}
+    assert all(sent[c] == ("1.5" if c in texts else 1.5) for c in S.INGEST_COLUMNS)
